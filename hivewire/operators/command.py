@@ -26,7 +26,8 @@ DOC_KEY = ["event_id", "building"]
 
 def routed_commands(commands_raw: DataFrame, buildings: DataFrame) -> DataFrame:
     """P8 -> A8 -> J1 for command envelopes."""
-    return route_to_registered_buildings(explode_envelope(commands_raw, COMMAND_BODY, last_wins=True), buildings)
+    return route_to_registered_buildings(
+        explode_envelope(commands_raw, COMMAND_BODY, last_wins=True, keep_text=True), buildings)
 
 
 def _group_exists(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def command_dispatch_status(routed: DataFrame, groups: DataFrame, registry_df: D
     present = cmds.join(grp.where("group_exists").select(*DOC_KEY, "group_pos"), [*DOC_KEY, "group_pos"], "left_semi")
     dev = _with_device(present, registry_df)
     smart = F.col("dev_type").isin(*registry.smart_names)
-    cmd_text = F.to_json(F.col("command"))
+    cmd_text = F.col("command_text")
     message = (F.when(F.col("dev_type").isNull(),
                       F.concat(F.lit(K.DEVICE_PREFIX), F.col("device_id"), F.lit(K.DOES_NOT_EXIST)))
                .when(~smart, F.concat(F.lit(K.FAILED_TO_PUBLISH), cmd_text, F.lit(" for "), F.col("device_id"),

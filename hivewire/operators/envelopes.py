@@ -56,7 +56,7 @@ def envelope_quarantine(decoded: DataFrame) -> DataFrame:
 
 
 def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
-                     payload: str = "payload") -> DataFrame:
+                     payload: str = "payload", keep_text: bool = False) -> DataFrame:
     """One row per (document, building entry) of good documents.
 
     ``last_wins`` (A8) keeps the last entry of a building repeated inside one
@@ -65,8 +65,16 @@ def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
     d = decode_envelope(docs, body, payload).where("env_ok")
     entries = _last_wins(F.col("entries")) if last_wins else F.col("entries")
     keep = [c for c in docs.columns if c != payload]
-    return (d.select(*keep, F.explode(entries).alias("e"))
-            .select(*keep, "e.pos", "e.building", "e.body"))
+    extra = [payload] if keep_text else []
+    out = (d.select(*keep, *extra, F.explode(entries).alias("e"))
+           .select(*keep, *extra, "e.pos", "e.building", "e.body"))
+    if keep_text:
+        # The body's own text as sent (numbers keep their written form, which a
+        # VARIANT does not): one path lookup per entry, then the document text
+        # is dropped.
+        path = f"concat('$.buildings[', pos, '].{body}')"
+        out = out.withColumn("body_text", F.expr(f"get_json_object(`{payload}`, {path})")).drop(payload)
+    return out
 
 
 def route_to_registered_buildings(entries: DataFrame, buildings: DataFrame) -> DataFrame:
@@ -134,19 +142,28 @@ def explode_commands(entries: DataFrame) -> DataFrame:
     group with no commands keeps one row with NULL device."""
     b = F.col("body")
     staged = entries.withColumn("_cmds", J.as_array(J.field(b, "commands")))
-    groups = F.transform("_cmds", lambda g: F.struct(
+    if "body_text" in entries.columns:
+        staged = staged.withColumn("_texts", F.from_json(
+            "body_text", "commands ARRAY<STRUCT<devices: ARRAY<STRUCT<command: STRING>>>>").getField("commands"))
+        text_of = lambda gi, di: F.element_at(F.element_at(F.col("_texts"), gi + 1).getField("devices"),
+                                              di + 1).getField("command")
+    else:
+        text_of = lambda gi, di: F.lit(None).cast("string")
+    groups = F.transform("_cmds", lambda g, gi: F.struct(
         J.get_string(J.field(g, "groupId")).alias("group_id"),
-        F.transform(J.as_array(J.field(g, "devices")), lambda d: F.struct(
+        F.transform(J.as_array(J.field(g, "devices")), lambda d, di: F.struct(
             J.get_string(J.field(d, "deviceId")).alias("device_id"),
-            J.field(d, "command").alias("command"))).alias("devices")))
-    keep = [c for c in entries.columns if c != "body"]
+            J.field(d, "command").alias("command"),
+            F.coalesce(text_of(gi, di), F.to_json(J.field(d, "command"))).alias("command_text"))).alias("devices")))
+    keep = [c for c in entries.columns if c not in ("body", "body_text")]
     p = staged.where(_commands_ok(b, F.col("_cmds"))).select(*keep, groups.alias("groups"))
     g = (p.select(*keep, F.posexplode_outer("groups").alias("group_pos", "g"))
          .select(*keep, F.col("group_pos").cast("long").alias("group_pos"),
                  F.col("g.group_id").alias("group_id"), F.col("g.devices").alias("devices")))
     return (g.select(*keep, "group_pos", "group_id", F.posexplode_outer("devices").alias("device_pos", "d"))
             .select(*keep, "group_pos", "group_id", F.col("device_pos").cast("long").alias("device_pos"),
-                    F.col("d.device_id").alias("device_id"), F.col("d.command").alias("command")))
+                    F.col("d.device_id").alias("device_id"), F.col("d.command").alias("command"),
+                    F.col("d.command_text").alias("command_text")))
 
 
 def commands_quarantine(entries: DataFrame) -> DataFrame:

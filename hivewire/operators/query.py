@@ -113,10 +113,21 @@ def gather_with(items: DataFrame, keys: list[str], order: list[str], item: Colum
     return items.groupBy(*keys).agg(fold(arr).alias(name))
 
 
-def gather_query_results(replies: DataFrame) -> DataFrame:
-    """A4: per query, the ordered list of reply items (group_pos, device_pos)."""
-    return gather_with(replies, QUERY_KEY, ["group_pos", "device_pos"],
-                       F.struct("group", "device", "kind", "reading_offset", "json"), lambda a: a, "results")
+def query_keys(routed: DataFrame) -> DataFrame:
+    """One row per good routed building query (A8 keeps one per document and building)."""
+    from .envelopes import parse_query
+    return parse_query(routed).where("query_ok").select(*QUERY_KEY)
+
+
+def gather_query_results(replies: DataFrame, routed: DataFrame) -> DataFrame:
+    """A4: per query, the ordered list of reply items (group_pos, device_pos).
+
+    A query whose groups all are unknown still answers, with an empty list
+    (the gather ends on its idle timeout)."""
+    g = gather_with(replies, QUERY_KEY, ["group_pos", "device_pos"],
+                    F.struct("group", "device", "kind", "reading_offset", "json"), lambda a: a, "results")
+    return (query_keys(routed).join(g, QUERY_KEY, "left")
+            .withColumn("results", F.coalesce("results", F.array().cast(g.schema["results"].dataType))))
 
 
 def gather_completeness(routed: DataFrame, groups: DataFrame) -> DataFrame:

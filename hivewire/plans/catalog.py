@@ -232,7 +232,10 @@ def gather_query_results(c: Ctx) -> DataFrame:
     g = Q.gather_with(rep, Q.QUERY_KEY, ["group_pos", "device_pos"], _item_text(),
                       lambda a: F.struct(F.size(a).cast("long").alias("n_items"), F.array_join(a, ";").alias("items")),
                       "r")
-    return g.select(*Q.QUERY_KEY, "r.n_items", "r.items")
+    g = g.select(*Q.QUERY_KEY, "r.n_items", "r.items")
+    return (Q.query_keys(c.routed_queries).join(g, Q.QUERY_KEY, "left")
+            .select(*Q.QUERY_KEY, F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+                    F.coalesce("items", F.lit("")).alias("items")))
 
 
 def gather_completeness(c: Ctx) -> DataFrame:
