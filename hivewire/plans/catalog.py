@@ -28,11 +28,15 @@ from ..sources import topic_log as TL
 class Ctx:
     """Feeds and shared intermediate plans of one (session, data folder)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None,
+                 overrides: dict[str, DataFrame] | None = None):
         self.spark, self.sf = spark, sf_dir
         self.types = registry or Registry()
+        self.overrides = overrides or {}
 
     def feed(self, name: str) -> DataFrame:
+        if name in self.overrides:
+            return self.overrides[name]
         return feeds.load(self.spark, self.sf, name)
 
     @property

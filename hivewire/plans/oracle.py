@@ -501,4 +501,12 @@ def oracle_sql() -> dict[str, str]:
                count(*) FILTER (WHERE kind = 'data' AND reading_offset IS NULL) AS n_no_data,
                count(*) FILTER (WHERE kind = 'error') AS n_errors
         FROM items GROUP BY event_id, building, query_id"""
+    # Streaming jobs must equal the batch operator they continuously compute.
+    same_as = {"committed_sink": "read_topic_log", "stream_ingest": "encode_telemetry",
+               "stream_registration": "registration_status", "stream_latest": "latest_per_device",
+               "stream_route_envelopes": "route_to_topics", "stream_gather": "gather_idle_cutoff",
+               "stream_query_answers": "gather_query_results", "stream_command_status": "gather_command_status",
+               "stream_device_state": "reconcile_commands"}
+    for k, v in same_as.items():
+        o[k] = o[v]
     return o
