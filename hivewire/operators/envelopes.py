@@ -121,7 +121,11 @@ def explode_query_groups(entries: DataFrame) -> DataFrame:
 def explode_query_devices(entries: DataFrame) -> DataFrame:
     """(query_id, group_pos, group, device_pos, device); a group with an
     empty device list keeps one row with NULL device."""
-    g = explode_query_groups(entries)
+    return devices_of_groups(explode_query_groups(entries))
+
+
+def devices_of_groups(g: DataFrame) -> DataFrame:
+    """P7 second level: one row per requested device of the group rows."""
     keep = [c for c in g.columns if c != "devices"]
     return (g.select(*keep, F.posexplode_outer("devices").alias("device_pos", "device"))
             .withColumn("device_pos", F.col("device_pos").cast("long")))

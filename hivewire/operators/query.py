@@ -21,9 +21,7 @@ from ..functions import constants as K
 from .carry import DEFAULT_BUCKET_SECONDS, Carry, carry_forward
 from .decode import READING_COLUMNS, encode_by_type
 from .devices import DEFAULT_REGISTRY, Registry
-from .envelopes import QUERY_BODY, explode_envelope, explode_query_devices, explode_query_groups, \
-    route_to_registered_buildings
-from .latest import delivered_readings
+from .envelopes import QUERY_BODY, devices_of_groups, explode_envelope, route_to_registered_buildings
 from .registry import DEVICE_KEY
 
 QUERY_KEY = ["event_id", "building", "query_id"]
@@ -56,12 +54,13 @@ def query_unknown_groups(query_groups: DataFrame, groups: DataFrame) -> DataFram
     return _existing(query_groups.where("group IS NOT NULL"), groups, "left_anti")
 
 
-def query_latest_values(known: DataFrame, telemetry: DataFrame, registry_df: DataFrame,
+def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
                         registry: Registry = DEFAULT_REGISTRY,
                         bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Each known requested device with its latest valid delivered reading
-    at query time; ``json`` is the reply ("NO DATA YET" when none)."""
-    readings = (delivered_readings(telemetry, registry_df, registry).where("reason IS NULL")
+    at query time (``delivered_valid``: valid rows of ``delivered_readings``);
+    ``json`` is the reply ("NO DATA YET" when none)."""
+    readings = (delivered_valid
                 .select(*DEVICE_KEY, "ts", F.lit(0).alias("_kind"), F.col("msg_offset").alias("_seq"),
                         F.struct("msg_offset", "ts", *READING_COLUMNS).alias("_reading")))
     q = known.withColumnRenamed("group", "group_id").withColumnRenamed("device", "dev_id")
@@ -82,17 +81,18 @@ def query_latest_values(known: DataFrame, telemetry: DataFrame, registry_df: Dat
             .withColumnRenamed("group_id", "group").withColumnRenamed("dev_id", "device"))
 
 
-def query_replies(routed: DataFrame, telemetry: DataFrame, registry_df: DataFrame,
+def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: DataFrame,
                   groups: DataFrame, registry: Registry = DEFAULT_REGISTRY,
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Every reply item of every routed query: device values (J6) and one error
-    item per existing group that has no known requested device."""
-    devices = explode_query_devices(routed)
+    """Every reply item of every routed query (``qgroups``: requested group
+    rows): device values (J6) and one error item per existing group that has
+    no known requested device."""
+    devices = devices_of_groups(qgroups)
     known = query_known_devices(devices, registry_df)
-    values = query_latest_values(known, telemetry, registry_df, registry, bucket_seconds)
+    values = query_latest_values(known, delivered_valid, registry, bucket_seconds)
     item_cols = [*QUERY_KEY, "ts", "group_pos", "group", "device_pos", "device"]
     dev_items = values.select(*item_cols, F.lit("data").alias("kind"), "reading_offset", "json")
-    qg = explode_query_groups(routed).where("group IS NOT NULL")
+    qg = qgroups.where("group IS NOT NULL")
     existing = _existing(qg, groups, "left_semi")
     with_known = known.select(*QUERY_KEY, "group_pos").distinct()
     empty = existing.join(with_known, [*QUERY_KEY, "group_pos"], "left_anti")
@@ -113,29 +113,28 @@ def gather_with(items: DataFrame, keys: list[str], order: list[str], item: Colum
     return items.groupBy(*keys).agg(fold(arr).alias(name))
 
 
-def query_keys(routed: DataFrame) -> DataFrame:
-    """One row per good routed building query (A8 keeps one per document and building)."""
-    from .envelopes import parse_query
-    return parse_query(routed).where("query_ok").select(*QUERY_KEY)
+def query_keys(qgroups: DataFrame) -> DataFrame:
+    """One row per good routed building query: its first group row (or the
+    single NULL row of a query without groups); no shuffle."""
+    return qgroups.where("group_pos = 0 OR group_pos IS NULL").select(*QUERY_KEY)
 
 
-def gather_query_results(replies: DataFrame, routed: DataFrame) -> DataFrame:
+def gather_query_results(replies: DataFrame, qgroups: DataFrame) -> DataFrame:
     """A4: per query, the ordered list of reply items (group_pos, device_pos).
 
     A query whose groups all are unknown still answers, with an empty list
     (the gather ends on its idle timeout)."""
     g = gather_with(replies, QUERY_KEY, ["group_pos", "device_pos"],
                     F.struct("group", "device", "kind", "reading_offset", "json"), lambda a: a, "results")
-    return (query_keys(routed).join(g, QUERY_KEY, "left")
+    return (query_keys(qgroups).join(g, QUERY_KEY, "left")
             .withColumn("results", F.coalesce("results", F.array().cast(g.schema["results"].dataType))))
 
 
-def gather_completeness(routed: DataFrame, groups: DataFrame) -> DataFrame:
+def gather_completeness(qgroups: DataFrame, groups: DataFrame) -> DataFrame:
     """A5: expected replies = requested groups, received = groups that exist;
     complete only when equal and at least one reply was expected (unknown
     groups never answer, so such a gather ends on the timeout)."""
-    qg = explode_query_groups(routed)
-    ex = _existing(qg, groups.withColumn("_exists", F.lit(1)), "left")
+    ex = _existing(qgroups, groups.withColumn("_exists", F.lit(1)), "left")
     agg = (ex.groupBy(*QUERY_KEY)
            .agg(F.count("group").alias("expected_groups"),
                 F.count("_exists").alias("received_groups")))

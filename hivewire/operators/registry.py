@@ -29,7 +29,12 @@ def decoded_requests(requests: DataFrame) -> DataFrame:
 def device_registry(requests: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """A1: first valid request per (building, group, device) -> registry row
     with the registration instant (reg_ts, reg_event_id)."""
-    ok = filter_known_types(decoded_requests(requests), registry).where("accepted")
+    return registry_of(decoded_requests(requests), registry)
+
+
+def registry_of(decoded: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """A1 over already decoded (good) registration rows."""
+    ok = filter_known_types(decoded, registry).where("accepted")
     first = F.min_by(F.struct("ts", "event_id", "dev_type", "module_path"), F.struct("ts", "event_id"))
     return (ok.groupBy(*DEVICE_KEY).agg(first.alias("r"))
             .select(*DEVICE_KEY, "r.dev_type", "r.module_path",
@@ -39,8 +44,12 @@ def device_registry(requests: DataFrame, registry: Registry = DEFAULT_REGISTRY)
 def list_groups(requests: DataFrame) -> DataFrame:
     """A2: groups exist from their first mention by any decoded request,
     even when that request's device is rejected."""
-    return (decoded_requests(requests).groupBy("building", "group_id")
-            .agg(F.min("ts").alias("created_ts")))
+    return groups_of(decoded_requests(requests))
+
+
+def groups_of(decoded: DataFrame) -> DataFrame:
+    """A2 over already decoded (good) registration rows."""
+    return decoded.groupBy("building", "group_id").agg(F.min("ts").alias("created_ts"))
 
 
 def registration_status(requests: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
@@ -50,8 +59,12 @@ def registration_status(requests: DataFrame, registry: Registry = DEFAULT_REGIST
     (COULD NOT CREATE ...); the first valid one is REGISTERED; every later
     one, valid or not, is DEVICE ALREADY RUNNING.
     """
-    req = decoded_requests(requests)
-    reg = device_registry(requests, registry).select(*DEVICE_KEY, "reg_ts", "reg_event_id")
+    return statuses_of(decoded_requests(requests), registry)
+
+
+def statuses_of(req: DataFrame, registry: Registry = DEFAULT_REGISTRY, reg_df: DataFrame | None = None) -> DataFrame:
+    """W1 over already decoded (good) registration rows."""
+    reg = (reg_df if reg_df is not None else registry_of(req, registry)).select(*DEVICE_KEY, "reg_ts", "reg_event_id")
     j = req.join(reg, DEVICE_KEY, "left")
     at = F.struct("ts", "event_id")
     first = F.struct(F.col("reg_ts").alias("ts"), F.col("reg_event_id").alias("event_id"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +27,35 @@ from ..sources import topic_log as TL
 
 
 class Ctx:
-    """Feeds and shared intermediate plans of one (session, data folder)."""
+    """Feeds and shared intermediate plans of one (session, data folder).
+
+    An intermediate used by several branches of a plan (decoded requests,
+    registry, groups, routed documents, requested groups, delivered readings)
+    is built once and persisted (memory, spilling to disk; lost blocks are
+    rebuilt from lineage), so the raw log is scanned and parsed once per
+    query instead of once per branch."""
+
+    STATIC = ("decoded_requests", "registry", "groups", "delivered_valid", "valid_readings", "buildings")
 
     def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None,
                  overrides: dict[str, DataFrame] | None = None):
         self.spark, self.sf = spark, sf_dir
         self.types = registry or Registry()
         self.overrides = overrides or {}
+        self._memo: dict[str, DataFrame] = {}
+
+    def derive(self, feed: str, df: DataFrame) -> "Ctx":
+        """Same data with ``feed`` replaced (a micro-batch); static intermediates are shared."""
+        c = Ctx(self.spark, self.sf, self.types, {**self.overrides, feed: df})
+        for k in self.STATIC:
+            if k in self._memo:
+                c._memo[k] = self._memo[k]
+        return c
+
+    def _keep(self, key: str, build) -> DataFrame:
+        if key not in self._memo:
+            self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo[key]
 
     def feed(self, name: str) -> DataFrame:
         if name in self.overrides:
@@ -48,15 +71,26 @@ class Ctx:
     @property
     def commands_raw(self): return self.feed("commands_raw")
     @property
-    def buildings(self): return feeds.buildings(self.spark, self.sf)
+    def buildings(self): return self._keep("buildings", lambda: feeds.buildings(self.spark, self.sf))
+    @property
+    def decoded_requests(self): return self._keep("decoded_requests", lambda: R.decoded_requests(self.requests))
+    @property
+    def registry(self): return self._keep("registry", lambda: R.registry_of(self.decoded_requests, self.types))
+    @property
+    def groups(self): return self._keep("groups", lambda: R.groups_of(self.decoded_requests))
+    @property
+    def routed_queries(self): return self._keep("routed_queries", lambda: Q.routed_queries(self.queries_raw, self.buildings))
     @property
-    def registry(self): return R.device_registry(self.requests, self.types)
+    def query_groups(self): return self._keep("query_groups", lambda: E.explode_query_groups(self.routed_queries))
     @property
-    def groups(self): return R.list_groups(self.requests)
+    def routed_commands(self): return self._keep("routed_commands", lambda: C.routed_commands(self.commands_raw, self.buildings))
     @property
-    def routed_queries(self): return Q.routed_queries(self.queries_raw, self.buildings)
+    def delivered_valid(self):
+        return self._keep("delivered_valid", lambda: L.delivered_readings(self.telemetry, self.registry, self.types)
+                          .where("reason IS NULL").drop("reason"))
     @property
-    def routed_commands(self): return C.routed_commands(self.commands_raw, self.buildings)
+    def valid_readings(self):
+        return self._keep("valid_readings", lambda: L.valid_readings(self.telemetry, self.registry, self.types))
 
 
 def _cols(df: DataFrame, *cols: str) -> DataFrame:
@@ -114,7 +148,7 @@ def quarantine_telemetry(c: Ctx) -> DataFrame:
 
 
 def encode_telemetry(c: Ctx) -> DataFrame:
-    d = L.valid_readings(c.telemetry, c.registry, c.types)
+    d = c.valid_readings
     out = d.withColumn("json", D.encode_by_type(d, "dev_type", c.types)).where("json IS NOT NULL")
     return out.select("msg_offset", "building", "group_id", "dev_id",
                       F.concat(F.lit(K.DATA_PREFIX + "-"), "building").alias("out_topic"), "json")
@@ -126,8 +160,7 @@ def decode_register(c: Ctx) -> DataFrame:
 
 
 def filter_known_types(c: Ctx) -> DataFrame:
-    good = R.decoded_requests(c.requests)
-    return _cols(D.filter_known_types(good, c.types), "event_id", "building", "dev_id", "dev_type",
+    return _cols(D.filter_known_types(c.decoded_requests, c.types), "event_id", "building", "dev_id", "dev_type",
                  "accepted", "error")
 
 
@@ -150,7 +183,7 @@ def route_to_registered_buildings(c: Ctx) -> DataFrame:
 
 
 def explode_query_devices(c: Ctx) -> DataFrame:
-    return _cols(E.explode_query_devices(c.routed_queries), "event_id", "building", "query_id",
+    return _cols(E.devices_of_groups(c.query_groups), "event_id", "building", "query_id",
                  "group_pos", "group", "device_pos", "device")
 
 
@@ -188,18 +221,18 @@ def replay_since_registration(c: Ctx) -> DataFrame:
 
 
 def query_known_devices(c: Ctx) -> DataFrame:
-    k = Q.query_known_devices(E.explode_query_devices(c.routed_queries), c.registry)
+    k = Q.query_known_devices(E.devices_of_groups(c.query_groups), c.registry)
     return _cols(k, "event_id", "building", "query_id", "group_pos", "group", "device_pos", "device", "dev_type")
 
 
 def query_unknown_groups(c: Ctx) -> DataFrame:
-    u = Q.query_unknown_groups(E.explode_query_groups(c.routed_queries), c.groups)
+    u = Q.query_unknown_groups(c.query_groups, c.groups)
     return _cols(u, "event_id", "building", "query_id", "group_pos", "group")
 
 
 def query_latest_values(c: Ctx) -> DataFrame:
-    k = Q.query_known_devices(E.explode_query_devices(c.routed_queries), c.registry)
-    v = Q.query_latest_values(k, c.telemetry, c.registry, c.types)
+    k = Q.query_known_devices(E.devices_of_groups(c.query_groups), c.registry)
+    v = Q.query_latest_values(k, c.delivered_valid, c.types)
     return v.select("event_id", "building", "query_id", "group_pos", "device_pos", "device", "dev_type",
                     "reading_offset", F.col("reading_offset").isNotNull().alias("has_data"),
                     "value", "percentage", "status")
@@ -232,18 +265,18 @@ def _item_text():
 
 
 def gather_query_results(c: Ctx) -> DataFrame:
-    rep = Q.query_replies(c.routed_queries, c.telemetry, c.registry, c.groups, c.types)
+    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types)
     g = Q.gather_with(rep, Q.QUERY_KEY, ["group_pos", "device_pos"], _item_text(),
                       lambda a: F.struct(F.size(a).cast("long").alias("n_items"), F.array_join(a, ";").alias("items")),
                       "r")
     g = g.select(*Q.QUERY_KEY, "r.n_items", "r.items")
-    return (Q.query_keys(c.routed_queries).join(g, Q.QUERY_KEY, "left")
+    return (Q.query_keys(c.query_groups).join(g, Q.QUERY_KEY, "left")
             .select(*Q.QUERY_KEY, F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                     F.coalesce("items", F.lit("")).alias("items")))
 
 
 def gather_completeness(c: Ctx) -> DataFrame:
-    return Q.gather_completeness(c.routed_queries, c.groups)
+    return Q.gather_completeness(c.query_groups, c.groups)
 
 
 def gather_command_status(c: Ctx) -> DataFrame:
@@ -258,7 +291,7 @@ def list_buildings(c: Ctx) -> DataFrame:
 # --- ordered computations ----------------------------------------------------
 
 def registration_status(c: Ctx) -> DataFrame:
-    return _cols(R.registration_status(c.requests, c.types), "event_id", "building", "group_id", "dev_id",
+    return _cols(R.statuses_of(c.decoded_requests, c.types, c.registry), "event_id", "building", "group_id", "dev_id",
                  "reply_topic", "status")
 
 
@@ -325,7 +358,7 @@ def parse_with(c: Ctx) -> DataFrame:
 
 
 def gather_with(c: Ctx) -> DataFrame:
-    rep = Q.query_replies(c.routed_queries, c.telemetry, c.registry, c.groups, c.types)
+    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types)
     item = F.struct(F.col("kind"), F.col("reading_offset"))
     zero = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e"))
     fold = lambda a: F.aggregate(a, zero, lambda acc, x: F.struct(

@@ -166,7 +166,14 @@ def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, job: Call
     writer = idempotent_batch_writer(run.path("out"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        writer(job(CAT.Ctx(spark, sf_dir, overrides={feed: batch})), batch_id)
+        # static side (registry, groups, readings) is built once and shared
+        # by all micro-batches; per-batch intermediates are released after
+        b = c.derive(feed, batch)
+        writer(job(b), batch_id)
+        for k, df in b._memo.items():
+            if k not in CAT.Ctx.STATIC:
+                df.unpersist()
+        c._memo.update({k: v for k, v in b._memo.items() if k in CAT.Ctx.STATIC})
 
     _run_batches(src, run, sink)
     return _read_sink(run)
