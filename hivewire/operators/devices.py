@@ -48,10 +48,11 @@ class Staged:
 
     def columns(self, payload: Column) -> list[Column]:
         v = J.parse(payload)
-        return [v.alias("_v")]
+        # parsed and written as {...}: an object (cheaper than inspecting the VARIANT)
+        return [v.alias("_v"), F.ltrim(payload).startswith("{").alias("_obj")]
 
     def members(self) -> list[Column]:
-        out = [J.is_object(F.col("_v")).alias("_obj")]
+        out = []
         for n in self.names:
             out.append(J.field(F.col("_v"), n).alias(f"_raw_{n}"))
         return out

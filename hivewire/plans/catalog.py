@@ -29,24 +29,25 @@ from ..sources import topic_log as TL
 class Ctx:
     """Feeds and shared intermediate plans of one (session, data folder).
 
-    An intermediate used by several branches of a plan (decoded requests,
-    registry, groups, routed documents, requested groups, delivered readings)
+    An intermediate used by several branches or queries (decoded requests,
+    registry, groups, routed documents, requested groups, decoded readings)
     is built once and persisted (memory, spilling to disk; lost blocks are
-    rebuilt from lineage), so the raw log is scanned and parsed once per
-    query instead of once per branch."""
+    rebuilt from lineage), so a raw log is scanned and parsed once instead of
+    once per branch.  ``shared`` marks a context serving many micro-batches."""
 
     STATIC = ("decoded_requests", "registry", "groups", "delivered_valid", "valid_readings", "buildings")
 
     def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None,
-                 overrides: dict[str, DataFrame] | None = None):
+                 overrides: dict[str, DataFrame] | None = None, shared: bool = False):
         self.spark, self.sf = spark, sf_dir
         self.types = registry or Registry()
         self.overrides = overrides or {}
+        self.shared = shared
         self._memo: dict[str, DataFrame] = {}
 
     def derive(self, feed: str, df: DataFrame) -> "Ctx":
         """Same data with ``feed`` replaced (a micro-batch); static intermediates are shared."""
-        c = Ctx(self.spark, self.sf, self.types, {**self.overrides, feed: df})
+        c = Ctx(self.spark, self.sf, self.types, {**self.overrides, feed: df}, self.shared)
         for k in self.STATIC:
             if k in self._memo:
                 c._memo[k] = self._memo[k]
@@ -54,6 +55,9 @@ class Ctx:
 
     def _keep(self, key: str, build) -> DataFrame:
         if key not in self._memo:
+            # Persisted plans are also found again by Spark's cache manager when
+            # another query builds the same plan, so a log is decoded once per
+            # session, not once per query.
             self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
         return self._memo[key]
 

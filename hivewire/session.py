@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Post-shuffle partitions of ~128 MB, whatever the cluster size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Runtime (post-shuffle, measured) broadcast conversion: this is the size
     # check behind every join whose small side is not statically bounded.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",

@@ -33,6 +33,26 @@ def read_topic_log(spark: SparkSession, path: str, fmt: str = "parquet", stream:
     return r.load(path)
 
 
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Kafka records (topic, partition, offset, timestamp, key, value BINARY)
+    -> log rows; the payload bytes are decoded as UTF-8.  Used with
+    ``spark.readStream.format("kafka")`` where that connector is deployed."""
+    return records.select(
+        "topic", F.col("offset").cast("long").alias("msg_offset"),
+        F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+        F.decode(F.col("value"), "UTF-8").alias("payload"),
+        F.col("partition").cast("int").alias("partition"))
+
+
+def read_kafka(spark: SparkSession, servers: str, topics: list[str], stream: bool = True,
+               starting_offsets: str = "earliest") -> DataFrame:
+    """S1 on Kafka: subscribe to an exact list of topics (S2) and map to log rows."""
+    r = spark.readStream if stream else spark.read
+    df = (r.format("kafka").option("kafka.bootstrap.servers", servers)
+          .option("subscribe", ",".join(topics)).option("startingOffsets", starting_offsets).load())
+    return from_kafka(df)
+
+
 def write_routed(df: DataFrame, path: str, topic_col: str = "out_topic", mode: str = "overwrite") -> None:
     """S3: write each row under the topic it carries (one folder per topic)."""
     df.write.mode(mode).partitionBy(topic_col).parquet(path)

@@ -160,7 +160,7 @@ def stream_route_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, job: Callable[[CAT.Ctx], DataFrame]) -> DataFrame:
-    c = CAT.Ctx(spark, sf_dir)
+    c = CAT.Ctx(spark, sf_dir, shared=True)
     run = Run(spark, name)
     src = _replay(run, feed, c.feed(feed), _bounds(c))
     writer = idempotent_batch_writer(run.path("out"))
