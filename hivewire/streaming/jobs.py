@@ -54,11 +54,21 @@ def _bounds(c: CAT.Ctx):
     return RP.time_bounds(ev)
 
 
-def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str = "append") -> None:
-    q = (stream.writeStream.foreachBatch(fn).outputMode(mode)
-         .option("checkpointLocation", run.path(f"ckpt-{name}"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str = "append",
+                 restart: bool = False) -> None:
+    """Drain the stream through ``fn``.  With ``restart`` the query is stopped
+    after its first committed micro-batch and resumed from the checkpoint
+    (what a driver or executor loss looks like to the sink)."""
+    def writer():
+        return (stream.writeStream.foreachBatch(fn).outputMode(mode)
+                .option("checkpointLocation", run.path(f"ckpt-{name}")))
+    if restart:
+        import time
+        first = writer().trigger(processingTime="0 seconds").start()
+        while first.isActive and not first.recentProgress:
+            time.sleep(0.2)
+        first.stop()
+    writer().trigger(availableNow=True).start().awaitTermination()
 
 
 def _read_sink(run: Run, name: str = "out") -> DataFrame:
@@ -73,17 +83,7 @@ def committed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "s4")
     src = _replay(run, "telemetry", c.telemetry, _bounds(c))
-    writer = idempotent_batch_writer(run.path("out"))
-    first = (src.writeStream.foreachBatch(writer).option("checkpointLocation", run.path("ckpt"))
-             .trigger(processingTime="0 seconds").start())
-    first.processAllAvailable() if False else None
-    # stop after the first committed batch, then resume from the checkpoint
-    import time
-    while first.lastProgress is None and first.isActive:
-        time.sleep(0.2)
-    first.stop()
-    (src.writeStream.foreachBatch(writer).option("checkpointLocation", run.path("ckpt"))
-     .trigger(availableNow=True).start().awaitTermination())
+    _run_batches(src, run, idempotent_batch_writer(run.path("out")), restart=True)
     return _read_sink(run).select("msg_offset", "ts", "topic", "payload")
 
 
@@ -192,18 +192,18 @@ def stream_command_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- T2 / T5 / T8: custom state -------------------------------------------------
 
-def stream_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_registration(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
     """Registration requests -> one reply per request, registry in state."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t2")
     good = D.split(D.decode_register(c.requests))[0]
     src = _replay(run, "requests", good, _bounds(c))
     out = ST.registration_replies(src, c.types)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
+    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
     return _read_sink(run).select("event_id", "building", "group_id", "dev_id", "reply_topic", "status")
 
 
-def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_gather(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
     """T5: request/reply gather with an idle timeout, event-time timers; the
     sink keeps the latest status per request."""
     c = CAT.Ctx(spark, sf_dir)
@@ -212,14 +212,14 @@ def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type IN ('purchase', 'view')").select("user_id", "event_id", "ts", "event_type")
     src = _replay(run, "events", ev, _bounds(c))
     out = ST.idle_gather(src, feeds.GATHER_EXPECTED, feeds.GATHER_TIMEOUT_HOURS * 3600)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
+    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
     u = spark.read.parquet(run.path("out"))
     last = u.groupBy("user_id").agg(F.max_by(F.struct("request_ts", "accepted"), F.struct("batch", "seq")).alias("s"))
     return last.select("user_id", "s.request_ts", "s.accepted",
                        (F.col("s.accepted") == feeds.GATHER_EXPECTED).alias("complete"))
 
 
-def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_device_state(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
     """Readings and executed commands folded per device into the expected
     state, one output row per event (equal to the batch W3)."""
     c = CAT.Ctx(spark, sf_dir)
@@ -236,7 +236,7 @@ def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one log of both kinds, so every micro-batch holds one time slice of each
     src = _replay(run, "device-events", readings.unionByName(executed), _bounds(c))
     out = ST.device_state(src)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
+    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
     return _read_sink(run).drop("ts")
 
 
