@@ -15,7 +15,14 @@ partitions:
 
 Step 3 joins the step-2 table on (key, bucket), one row per (key, bucket), so
 no row multiplies, and the window reuses the join's partitioning.  The largest
-task holds one bucket of one key, bounded by ``bucket_seconds``.
+task holds one bucket of one key.
+
+Bucket width.  By default a fixed 60 s: a device holding a third of 100 TB
+over a month puts ~0.8 GB in one task, and step 2 sees at most one summary
+per device-minute (~43k per device-month, far fewer rows than the log for a
+busy device).  ``bucket_seconds=None`` instead picks a width per key from its
+own row count and span so that a bucket holds ~``target_rows`` rows; that
+costs one more pass over the input, so use it on materialised inputs.
 """
 
 from __future__ import annotations
@@ -25,7 +32,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_BUCKET_SECONDS = 60        # None: adaptive width per key
+DEFAULT_TARGET_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -39,12 +47,36 @@ def time_bucket(ts: str, bucket_seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds)).cast("long")
 
 
+def adaptive_width(df: DataFrame, keys: list[str], ts: str, target_rows: int) -> DataFrame:
+    """Per key: bucket width in seconds so that a bucket holds ~``target_rows``."""
+    secs = F.unix_seconds(F.col(ts).cast("timestamp"))
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(secs).alias("_lo"), F.max(secs).alias("_hi"))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(target_rows) / F.col("_n")))
+    return stats.select(*keys, width.cast("long").alias("_cf_width"))
+
+
+BUCKET = "_cf_bucket"
+
+
 def carry_forward(df: DataFrame, keys: list[str], order: list[str], carries: list[Carry],
-                  ts: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  ts: str, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                  target_rows: int = DEFAULT_TARGET_ROWS, keep_bucket: bool = False) -> DataFrame:
     """Adds one column per ``Carry``: the last non-null ``value`` of the key's
-    rows ordered by ``order`` (first element must be the time column ``ts``)."""
-    b, o = "_cf_bucket", "_cf_order"
-    d = df.withColumn(b, time_bucket(ts, bucket_seconds)).withColumn(o, F.struct(*order))
+    rows ordered by ``order`` (first element must be the time column ``ts``).
+
+    ``keep_bucket`` keeps the bucket column; a following carry over the same
+    keys then reuses it, and since the rows are already hash-partitioned by
+    (keys, bucket) only its small summary side is shuffled."""
+    b, o = BUCKET, "_cf_order"
+    if b in df.columns:
+        d = df
+    elif bucket_seconds is None:
+        d = df.join(adaptive_width(df, keys, ts, target_rows), keys, "left")
+        secs = F.unix_seconds(F.col(ts).cast("timestamp"))
+        d = d.withColumn(b, F.floor(secs / F.col("_cf_width")).cast("long")).drop("_cf_width")
+    else:
+        d = df.withColumn(b, time_bucket(ts, bucket_seconds))
+    d = d.withColumn(o, F.struct(*order))
     # 1. last non-null value of every bucket (NULL when the bucket has none)
     summaries = d.groupBy(*keys, b).agg(*[
         F.max_by(F.col(c.value), F.when(F.col(c.value).isNotNull(), F.col(o))).alias(f"_cf_last{i}")
@@ -62,4 +94,5 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], carries: lis
         frame = within.rowsBetween(Window.unboundedPreceding, 0 if c.inclusive else -1)
         out = out.withColumn(c.out, F.coalesce(F.last(c.value, ignorenulls=True).over(frame),
                                                F.col(f"_cf_in{i}")))
-    return out.drop(b, o, *[f"_cf_in{i}" for i in range(len(carries))])
+    out = out.drop(o, *[f"_cf_in{i}" for i in range(len(carries))])
+    return out if keep_bucket else out.drop(b)

@@ -134,7 +134,7 @@ def _crossing(prev: Column) -> Column:
 
 def reconcile_commands(telemetry: DataFrame, routed: DataFrame, groups: DataFrame,
                        registry_df: DataFrame, registry: Registry = DEFAULT_REGISTRY,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Expected device state after every reading and executed command.
 
     Thermostat: the state is the row's own value (a reading, or the 'set'
@@ -152,7 +152,7 @@ def reconcile_commands(telemetry: DataFrame, routed: DataFrame, groups: DataFram
     u = readings.unionByName(executed, allowMissingColumns=True)
     order = ["ts", "_kind", "seq"]
     u = carry_forward(u, DEVICE_KEY, order, [Carry("percentage", "_prev_pct", inclusive=False)],
-                      ts="ts", bucket_seconds=bucket_seconds)
+                      ts="ts", bucket_seconds=bucket_seconds, keep_bucket=True)
     prev = F.coalesce(F.col("_prev_pct"), F.lit(K.BATTERY_INITIAL_PERCENTAGE))
     at = F.struct(*order)
     u = (u.withColumn("_cross", F.when(F.col("_kind") == 0, F.struct(at.alias("o"), _crossing(prev).alias("s"))))

@@ -56,7 +56,7 @@ def query_unknown_groups(query_groups: DataFrame, groups: DataFrame) -> DataFram
 
 def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
                         registry: Registry = DEFAULT_REGISTRY,
-                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                        bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Each known requested device with its latest valid delivered reading
     at query time (``delivered_valid``: valid rows of ``delivered_readings``);
     ``json`` is the reply ("NO DATA YET" when none)."""
@@ -83,7 +83,7 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
 
 def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: DataFrame,
                   groups: DataFrame, registry: Registry = DEFAULT_REGISTRY,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Every reply item of every routed query (``qgroups``: requested group
     rows): device values (J6) and one error item per existing group that has
     no known requested device."""

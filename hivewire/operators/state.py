@@ -13,7 +13,7 @@ from .registry import DEVICE_KEY
 
 
 def battery_expected_status(telemetry: DataFrame, registry_df: DataFrame,
-                            bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                            bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """The status a battery should report given its previous reading:
     discharging -> charging once a reading is <= 20, charging -> discharging
     once >= 80 (starting from 100 %, discharging)."""
@@ -21,7 +21,7 @@ def battery_expected_status(telemetry: DataFrame, registry_df: DataFrame,
         *DEVICE_KEY, "msg_offset", "ts", "percentage", "status")
     order = ["ts", "msg_offset"]
     r = carry_forward(r, DEVICE_KEY, order, [Carry("percentage", "_prev", inclusive=False)],
-                      ts="ts", bucket_seconds=bucket_seconds)
+                      ts="ts", bucket_seconds=bucket_seconds, keep_bucket=True)
     prev = F.coalesce(F.col("_prev"), F.lit(K.BATTERY_INITIAL_PERCENTAGE))
     r = r.withColumn("prev_percentage", prev).withColumn("_cross", _crossing(prev))
     r = carry_forward(r, DEVICE_KEY, order, [Carry("_cross", "_last")], ts="ts", bucket_seconds=bucket_seconds)

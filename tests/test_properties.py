@@ -27,9 +27,13 @@ def test_carry_forward_equals_plain_fold(spark, seed):
             v = rnd.choice([None, None, rnd.randint(0, 9)])
             rows.append((f"k{k}", at(t), i, v))
     df = spark.createDataFrame(rows, "key STRING, ts TIMESTAMP_NTZ, seq LONG, v LONG")
-    out = carry_forward(df, ["key"], ["ts", "seq"], [Carry("v", "incl"), Carry("v", "excl", inclusive=False)],
-                        ts="ts", bucket_seconds=10).collect()
-    got = {(r.key, r.seq): (r.incl, r.excl) for r in out}
+    fixed = carry_forward(df, ["key"], ["ts", "seq"], [Carry("v", "incl"), Carry("v", "excl", inclusive=False)],
+                          ts="ts", bucket_seconds=10).collect()
+    # adaptive widths: a handful of rows per bucket, so every key spans many buckets
+    adaptive = carry_forward(df, ["key"], ["ts", "seq"], [Carry("v", "incl"), Carry("v", "excl", inclusive=False)],
+                             ts="ts", target_rows=3).collect()
+    got = {(r.key, r.seq): (r.incl, r.excl) for r in fixed}
+    assert {(r.key, r.seq): (r.incl, r.excl) for r in adaptive} == got
     want = {}
     for k in {r[0] for r in rows}:
         last = None
