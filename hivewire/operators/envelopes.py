@@ -60,21 +60,23 @@ def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
     """One row per (document, building entry) of good documents.
 
     ``last_wins`` (A8) keeps the last entry of a building repeated inside one
-    document, which is what turning the list into a map does.
+    document, which is what turning the list into a map does.  ``keep_text``
+    adds ``body_text``: each body's own text as sent (numbers keep their
+    written form, which a VARIANT does not), from one more parse of the
+    document, zipped into the entries before the explode.
     """
     d = decode_envelope(docs, body, payload).where("env_ok")
-    entries = _last_wins(F.col("entries")) if last_wins else F.col("entries")
-    keep = [c for c in docs.columns if c != payload]
-    extra = [payload] if keep_text else []
-    out = (d.select(*keep, *extra, F.explode(entries).alias("e"))
-           .select(*keep, *extra, "e.pos", "e.building", "e.body"))
+    entries = F.col("entries")
     if keep_text:
-        # The body's own text as sent (numbers keep their written form, which a
-        # VARIANT does not): one path lookup per entry, then the document text
-        # is dropped.
-        path = f"concat('$.buildings[', pos, '].{body}')"
-        out = out.withColumn("body_text", F.expr(f"get_json_object(`{payload}`, {path})")).drop(payload)
-    return out
+        texts = F.from_json(F.col(payload), f"buildings ARRAY<STRUCT<`{body}`: STRING>>").getField("buildings")
+        d = d.withColumn("_texts", texts)
+        entries = F.transform(entries, lambda e, i: e.withField(
+            "body_text", F.element_at(F.col("_texts"), i + 1).getField(body)))
+    if last_wins:
+        entries = _last_wins(entries)
+    keep = [c for c in docs.columns if c != payload]
+    cols = ["e.pos", "e.building", "e.body"] + (["e.body_text"] if keep_text else [])
+    return d.select(*keep, F.explode(entries).alias("e")).select(*keep, *cols)
 
 
 def route_to_registered_buildings(entries: DataFrame, buildings: DataFrame) -> DataFrame:

@@ -351,7 +351,7 @@ def device_type_registry(c: Ctx) -> DataFrame:
 
 
 def _has_device(p):
-    from pyspark.sql import Column  # noqa: F401
+    """A user parse function for X2: the message must name a device."""
     v = J.parse(p)
     reason = F.when(v.isNull(), F.lit("malformed")).when(~J.is_string(J.field(v, "deviceId")), F.lit("no device"))
     return reason, {"device_id": J.get_string(J.field(v, "deviceId"))}

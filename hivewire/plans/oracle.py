@@ -277,8 +277,6 @@ def _status_of_w1() -> str:
 
 
 def _encode() -> str:
-    def num(c):
-        return f"{c}"
     thermo = ("json_object('deviceId', deviceId, 'value', value, 'unit', unit, 'timestamp', timestamp)")
     batt = ("json_object('deviceId', deviceId, 'percentage', percentage, 'status', status, 'timestamp', timestamp)")
     ok = ("CASE dev_type WHEN 'thermostat' THEN value IS NOT NULL AND isfinite(value) "
@@ -390,8 +388,7 @@ def oracle_sql() -> dict[str, str]:
         {reason('j', BATTERY_FIELDS, BATTERY_INVARIANT)} AS reason
         FROM (SELECT *, {valid_json('payload')} AS j FROM ({FD.TELEMETRY_RAW.sql()}))"""
     o["quarantine_telemetry"] = W("SELECT msg_offset, topic, building, group_id, dev_id, dev_type, reason FROM tdec WHERE reason IS NOT NULL")
-    o["encode_telemetry"] = W(", " + _encode() + " SELECT * FROM enc") if False else \
-        "WITH " + ctes().strip() + ",\n" + _encode() + "\nSELECT * FROM enc"
+    o["encode_telemetry"] = "WITH " + ctes().strip() + ",\n" + _encode() + "\nSELECT * FROM enc"
     o["decode_register"] = W("SELECT event_id, building, group_id, dev_id, dev_type, module_path, reason FROM rd")
     o["filter_known_types"] = W("""SELECT event_id, building, dev_id, dev_type, dev_type IN ('thermostat', 'battery') AS accepted,
         CASE WHEN dev_type NOT IN ('thermostat', 'battery') THEN 'INVALID DEVICE NAME' END AS error FROM rgood""")
@@ -412,8 +409,7 @@ def oracle_sql() -> dict[str, str]:
         {jstr('d.command', '$.name')} AS cmd_name, {jnum('d.command', '$.value')} AS cmd_number,
         {jstr('d.command', '$.value')} AS cmd_text
         FROM cgroups g LEFT JOIN cdevs d USING (event_id, group_pos)""")
-    o["validate_commands"] = W(", ".join([""]) + "") if False else \
-        "WITH " + ctes().strip() + ",\n" + _validate() + """
+    o["validate_commands"] = "WITH " + ctes().strip() + ",\n" + _validate() + """
         SELECT event_id, building, group_pos, device_pos, device_id, dev_type, valid, reason, set_value, new_status FROM pv"""
     o["telemetry_of_registered"] = W("SELECT msg_offset, topic, building, group_id, dev_id, dev_type FROM tj")
     o["replay_since_registration"] = W("SELECT msg_offset, ts, topic, building, group_id, dev_id, retained FROM j3")

@@ -17,22 +17,32 @@ from ..functions import topics as T
 from ..operators.devices import DEFAULT_REGISTRY, Registry
 
 LOG_SCHEMA = "topic STRING, msg_offset BIGINT, ts TIMESTAMP_NTZ, payload STRING"
+# Text logs keep microseconds: arrival order is (ts, msg_offset).
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_TEXT_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT}
 
 
 def read_topic_log(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False,
                    schema: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Scan a message log, batch or streaming, with an explicit schema."""
+    opts = _TEXT_OPTIONS if fmt in ("json", "csv") else {}
     if stream:
-        r = spark.readStream.format(fmt).schema(schema or LOG_SCHEMA)
+        r = spark.readStream.format(fmt).schema(schema or LOG_SCHEMA).options(**opts)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.load(path)
-    r = spark.read.format(fmt)
+    r = spark.read.format(fmt).options(**opts)
     if schema:
         r = r.schema(schema)
     return r.load(path)
 
 
+def write_topic_log(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+    """Append log rows as files a ``read_topic_log`` stream picks up."""
+    opts = _TEXT_OPTIONS if fmt in ("json", "csv") else {}
+    df.write.mode(mode).format(fmt).options(**opts).save(path)
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     """Kafka records (topic, partition, offset, timestamp, key, value BINARY)
     -> log rows; the payload bytes are decoded as UTF-8.  Used with

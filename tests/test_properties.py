@@ -88,7 +88,6 @@ def battery_fold(events):
 @SETTINGS
 @given(st.integers(0, 10_000))
 def test_battery_state_with_commands_equals_fold(spark, seed):
-    from hivewire.operators.command import _crossing  # noqa: F401  (rule under test)
     from pyspark.sql import functions as F
     rnd = random.Random(seed)
     rows = []
