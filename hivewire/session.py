@@ -82,3 +82,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hivewire`` importable in Python workers (stateful stream
+    processors are unpickled there): zip the package once per SparkContext
+    and add it with ``addPyFile`` (what ``--py-files`` does at submit time)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_hivewire_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="hivewire-pyfiles-"), "hivewire.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    # The driver-side worker of transformWithState does not read the
+    # shipped includes; Python workers take PYTHONPATH from this environment.
+    sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (out, sc.environment.get("PYTHONPATH")) if p)
+    sc._hivewire_shipped = True

@@ -23,7 +23,11 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def _use_rocksdb(df: DataFrame) -> None:
+    """RocksDB state store for these queries; the package is shipped to the
+    Python workers that run the processors."""
+    from ..session import ship_package
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ship_package(df.sparkSession)
 
 
 def _rows(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
