@@ -15,11 +15,15 @@ def time_bounds(df: DataFrame, ts: str = "ts"):
 
 
 def write_slices(df: DataFrame, path: str, lo, hi, slices: int, ts: str = "ts") -> None:
-    """Write ``df`` under ``path`` as ``slices`` consecutive time ranges."""
+    """Write ``df`` under ``path`` as ``slices`` consecutive time ranges
+    (computed once, then cut: the slices are separate writes so that their
+    files are ordered by modification time)."""
     span = (hi - lo) / slices
+    d = df.persist()
     for i in range(slices):
         a = lo + span * i
         cond = F.col(ts) >= F.lit(a)
         if i < slices - 1:
             cond = cond & (F.col(ts) < F.lit(lo + span * (i + 1)))
-        df.where(cond).coalesce(1).write.mode("append").parquet(path)
+        d.where(cond).coalesce(1).write.mode("append").parquet(path)
+    d.unpersist()

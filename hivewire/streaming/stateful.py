@@ -35,7 +35,10 @@ def _rows(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     parts = list(rows)
     if not parts:
         return pd.DataFrame()
-    return pd.concat(parts, ignore_index=True).sort_values(order, kind="stable").reset_index(drop=True)
+    df = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    if len(df) > 1:
+        df = df.sort_values(order, kind="stable")
+    return df.reset_index(drop=True)
 
 
 # --- T2: registration replies ---------------------------------------------------
