@@ -27,11 +27,13 @@ costs one more pass over the input, so use it on materialised inputs.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+EPOCH = _dt.datetime(1970, 1, 1)
 DEFAULT_BUCKET_SECONDS = 60        # None: adaptive width per key
 DEFAULT_TARGET_ROWS = 1_000_000
 
@@ -43,13 +45,19 @@ class Carry:
     inclusive: bool = True  # include the current row (False: strictly earlier rows)
 
 
+def epoch_seconds(ts: str) -> Column:
+    """Seconds since 1970-01-01 of a wall-clock time, independent of the session
+    time zone (no DST jumps for TIMESTAMP_NTZ)."""
+    return F.timestamp_diff("SECOND", F.lit(EPOCH), F.col(ts))
+
+
 def time_bucket(ts: str, bucket_seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds)).cast("long")
+    return F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
 
 
 def adaptive_width(df: DataFrame, keys: list[str], ts: str, target_rows: int) -> DataFrame:
     """Per key: bucket width in seconds so that a bucket holds ~``target_rows``."""
-    secs = F.unix_seconds(F.col(ts).cast("timestamp"))
+    secs = epoch_seconds(ts)
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(secs).alias("_lo"), F.max(secs).alias("_hi"))
     width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) * F.lit(target_rows) / F.col("_n")))
     return stats.select(*keys, width.cast("long").alias("_cf_width"))
@@ -72,7 +80,7 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], carries: lis
         d = df
     elif bucket_seconds is None:
         d = df.join(adaptive_width(df, keys, ts, target_rows), keys, "left")
-        secs = F.unix_seconds(F.col(ts).cast("timestamp"))
+        secs = epoch_seconds(ts)
         d = d.withColumn(b, F.floor(secs / F.col("_cf_width")).cast("long")).drop("_cf_width")
     else:
         d = df.withColumn(b, time_bucket(ts, bucket_seconds))

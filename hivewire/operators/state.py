@@ -40,8 +40,7 @@ def gather_idle_cutoff(requests: DataFrame, replies: DataFrame, expected: int,
     r = (replies.join(requests, key).where(F.col("ts") > F.col("request_ts")))
     w = Window.partitionBy(key).orderBy("ts", "event_id")
     first = r.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= expected)
-    gap = (F.unix_micros(F.col("ts").cast("timestamp"))
-           - F.unix_micros(F.coalesce(F.lag("ts").over(w), F.col("request_ts")).cast("timestamp"))) / 1e6
+    gap = F.timestamp_diff("MICROSECOND", F.coalesce(F.lag("ts").over(w), F.col("request_ts")), F.col("ts")) / 1e6
     first = first.withColumn("late", gap > timeout_seconds)
     agg = (first.groupBy(key)
            .agg(F.min(F.when(F.col("late"), F.col("rn"))).alias("first_late"),
