@@ -298,7 +298,7 @@ def _items_text() -> str:
 
 def _inventory() -> str:
     doc = "j"
-    dev_ok = (f"({is_obj('x')} AND {kind('x', '$.dataSendingPeriod')} = 'number' AND {kind('x', '$.deviceType')} = 'string' "
+    dev_ok = (f"({is_obj('x')} AND {kind('x', '$.dataSendingPeriod')} IN ('number', 'null') AND {kind('x', '$.deviceType')} = 'string' "
               f"AND {kind('x', '$.deviceId')} = 'string' AND {kind('x', '$.module')} = 'string' "
               f"AND {kind('x', '$.publishingTopic')} = 'string')")
     return f"""dl AS ({FD.DEVICE_LISTS.sql()}),
@@ -310,7 +310,7 @@ dbad AS (SELECT DISTINCT event_id FROM dx WHERE NOT {dev_ok}),
 inv AS (SELECT event_id, json_extract_string(j, '$.buildingId') AS building, device_pos,
                json_extract_string(x, '$.deviceType') AS device_type, json_extract_string(x, '$.deviceId') AS device_id,
                json_extract_string(x, '$.module') AS module, json_extract_string(x, '$.publishingTopic') AS publishing_topic,
-               CAST(json_extract(x, '$.dataSendingPeriod') AS DOUBLE) AS period_s
+               {jnum('x', '$.dataSendingPeriod')} AS period_s
         FROM dx ANTI JOIN dbad USING (event_id))"""
 
 

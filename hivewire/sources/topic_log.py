@@ -88,12 +88,13 @@ def load_device_inventory(docs: DataFrame, payload: str = "payload",
 
     A document must hold a string ``buildingId`` and a ``devices`` array of
     objects with string deviceType/deviceId/module/publishingTopic and a
-    number dataSendingPeriod, or it is rejected whole.  Devices of unknown
+    number dataSendingPeriod (JSON null reads as a missing number), or it is
+    rejected whole.  Devices of unknown
     type keep a row with the 'INVALID DEVICE NAME' error and no topic."""
     d = docs.withColumn("_v", J.parse(F.col(payload)))
     d = d.withColumn("_devs", J.as_array(J.field(F.col("_v"), "devices")))
     strs = ("deviceType", "deviceId", "module", "publishingTopic")
-    dev_ok = lambda x: (J.is_object(x) & F.coalesce(J.is_number(J.field(x, "dataSendingPeriod")), F.lit(False))
+    dev_ok = lambda x: (J.is_object(x) & J.is_number_or_null(J.field(x, "dataSendingPeriod"))
                         & J.is_string(J.field(x, strs[0])) & J.is_string(J.field(x, strs[1]))
                         & J.is_string(J.field(x, strs[2])) & J.is_string(J.field(x, strs[3])))
     ok = (J.is_object(F.col("_v")) & J.is_string(J.field(F.col("_v"), "buildingId"))
