@@ -80,7 +80,7 @@ def decode_by_type(df: DataFrame, type_col: str = "dev_type", payload: str = "pa
 
 def encode_by_type(df: DataFrame, type_col: str = "dev_type",
                    registry: Registry = DEFAULT_REGISTRY) -> Column:
-    """Canonical JSON of a decoded row by its type (NULL = cannot encode)."""
+    """Canonical JSON of a decoded row by its type (NULL: no encoder for the type)."""
     return registry.dispatch(F.col(type_col),
                              lambda t: t.encode({f.name: F.col(f.name) for f in t.fields}))
 

@@ -105,14 +105,16 @@ class DeviceType:
         return reason, typed
 
     def encode(self, typed: dict[str, Column]) -> Column:
-        """Canonical compact JSON in field order; NULL when a number is missing
-        or not finite (such rows cannot be encoded and are dropped)."""
-        bad = F.lit(False)
+        """Canonical compact JSON in field order.  A missing or non-finite
+        number is written as JSON null (the reference's writer does the
+        same), so every decoded row encodes."""
+        cols = []
         for f in self.fields:
+            c = typed[f.name]
             if f.kind == "number":
-                c = typed[f.name]
-                bad = bad | c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))
-        return F.when(~bad, F.to_json(F.struct(*[typed[f.name].alias(f.name) for f in self.fields])))
+                c = F.when(~(F.isnan(c) | (F.abs(c) == float("inf"))), c)
+            cols.append(c.alias(f.name))
+        return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
     @property
     def smart(self) -> bool:

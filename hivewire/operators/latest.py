@@ -101,7 +101,8 @@ def subscribe_topics(log: DataFrame, topics: DataFrame | list[str]) -> DataFrame
 def encode_telemetry(telemetry: DataFrame, registry_df: DataFrame,
                      registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """P4 / T1 output: valid delivered readings -> canonical JSON on Data-{building};
-    rows that cannot be encoded (missing / non-finite numbers) are dropped."""
+    a missing or non-finite number is written as JSON null; a row that does
+    not encode at all (no encoder for its type) is dropped."""
     d = delivered_readings(telemetry, registry_df, registry).where("reason IS NULL")
     return (d.withColumn("json", encode_by_type(d, "dev_type", registry))
             .where("json IS NOT NULL")

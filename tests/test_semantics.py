@@ -183,6 +183,11 @@ def test_13_null_numbers(spark):
     tel = log_df(spark, [(1, 1, PATH, thermo(None)), (2, 2, PATH, battery(None))])
     t = D.decode_thermostat(tel).collect()[0]
     assert t.reason is None and t.value is None
+    # the reading is still published, its number written as null
+    from hivewire.operators.latest import encode_telemetry
+    reqs = requests_df(spark, [(0, 0, B, register(B, "g1", "d1", "thermostat", PATH))])
+    enc = encode_telemetry(tel.where("msg_offset = 1"), R.device_registry(reqs)).collect()
+    assert [json.loads(r.json) for r in enc] == [{"deviceId": "d1", "value": None, "unit": "Celsius", "timestamp": "t"}]
     b = D.decode_battery(tel).collect()[1]
     assert b.reason == "range"
 
