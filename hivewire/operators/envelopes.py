@@ -30,7 +30,7 @@ def _entries(v: Column, bl: Column, body: str) -> tuple[Column, Column]:
     return ok, entries
 
 
-def _last_wins(entries: Column) -> Column:
+def last_wins_entries(entries: Column) -> Column:
     """Keep, per building, the entry at the highest position (row-local, n log n)."""
     by_key = F.array_sort(entries, lambda l, r: F.when(l.building < r.building, -1)
                           .when(l.building > r.building, 1)
@@ -73,7 +73,7 @@ def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
         entries = F.transform(entries, lambda e, i: e.withField(
             "body_text", F.element_at(F.col("_texts"), i + 1).getField(body)))
     if last_wins:
-        entries = _last_wins(entries)
+        entries = last_wins_entries(entries)
     keep = [c for c in docs.columns if c != payload]
     cols = ["e.pos", "e.building", "e.body"] + (["e.body_text"] if keep_text else [])
     return d.select(*keep, F.explode(entries).alias("e")).select(*keep, *cols)

@@ -145,15 +145,28 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- T4 / T6 / T7: per-batch jobs on region documents ---------------------------------
 
 def stream_route_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: region query documents -> per-building topics (one folder per topic)."""
+    """T4: region query documents -> per-building topics (one folder per
+    topic); documents that do not decode go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t4")
     src = _replay(run, "queries", c.queries_raw, _bounds(c))
-    routed = E.route_to_registered_buildings(E.explode_envelope(src, E.QUERY_BODY, last_wins=True), c.buildings)
-    out = routed.select("event_id", "pos", "building",
-                        F.concat(F.lit(K.QUERY_PREFIX + "-"), "building").alias("out_topic"),
-                        F.to_json("body").alias("value"))
-    _run_batches(out, run, idempotent_batch_writer(run.path("out"), topic_col="out_topic"))
+    buildings = c.buildings
+    routed_w = idempotent_batch_writer(run.path("out"), topic_col="out_topic")
+    bad_w = idempotent_batch_writer(run.path("quarantine"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        decoded = E.decode_envelope(batch, E.QUERY_BODY).persist()
+        entries = decoded.where("env_ok").select(
+            *[x for x in batch.columns if x != "payload"], F.explode(E.last_wins_entries(F.col("entries"))).alias("e"))
+        routed = E.route_to_registered_buildings(entries.select("event_id", "ts", "e.pos", "e.building", "e.body"),
+                                                 buildings)
+        routed_w(routed.select("event_id", "pos", "building",
+                               F.concat(F.lit(K.QUERY_PREFIX + "-"), "building").alias("out_topic"),
+                               F.to_json("body").alias("value")), batch_id)
+        bad_w(E.envelope_quarantine(decoded), batch_id)
+        decoded.unpersist()
+
+    _run_batches(src, run, sink)
     r = _read_sink(run)
     return r.select("event_id", "pos", "building", "out_topic",
                     F.get_json_object("value", "$.queryId").alias("query_id"))
