@@ -205,14 +205,52 @@ def stream_command_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- T2 / T5 / T8: custom state -------------------------------------------------
 
-def stream_registration(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
-    """Registration requests -> one reply per request, registry in state."""
+def registration_batch(batch: DataFrame, registry_so_far: DataFrame, types) -> tuple[DataFrame, DataFrame]:
+    """One micro-batch of decoded requests against the registry written by
+    earlier batches: (reply rows, newly registered devices).  Within the batch
+    the batch operator W1 applies; a device registered earlier is already
+    running."""
+    from ..operators import registry as R
+    new = R.registry_of(batch, types)
+    known = registry_so_far.select(*DEVICE_KEY).withColumn("_known", F.lit(True))
+    st = R.statuses_of(batch, types, new).join(known, DEVICE_KEY, "left")
+    st = st.withColumn("status", F.when(F.col("_known"), F.lit(K.ALREADY_RUNNING)).otherwise(F.col("status")))
+    fresh = new.join(known, DEVICE_KEY, "left_anti")
+    return st.drop("_known"), fresh
+
+
+def stream_registration(spark: SparkSession, sf_dir: str, restart: bool = False,
+                        state: str = "table") -> DataFrame:
+    """Registration requests -> one reply per request.
+
+    ``state="table"`` (default) keeps the registry as a table written one
+    folder per batch id next to the checkpoint: each micro-batch is answered
+    with the batch operator (JVM only, no per-key Python) against the devices
+    registered by earlier batches.  ``state="store"`` keeps a flag per device
+    in the RocksDB state store (``transformWithStateInPandas``)."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t2")
     good = D.split(D.decode_register(c.requests))[0]
     src = _replay(run, "requests", good, _bounds(c))
-    out = ST.registration_replies(src, c.types)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
+    out_w = idempotent_batch_writer(run.path("out"))
+    if state == "store":
+        _run_batches(ST.registration_replies(src, c.types), run, out_w, restart=restart)
+    else:
+        reg_path = run.path("registry")
+        reg_w = idempotent_batch_writer(reg_path)
+        empty = spark.createDataFrame([], "building STRING, group_id STRING, dev_id STRING, batch LONG")
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            try:
+                so_far = spark.read.parquet(reg_path)
+            except Exception:  # no batch registered anything yet
+                so_far = empty
+            so_far = so_far.where(F.col("batch") < batch_id)   # a replayed batch ignores its own earlier try
+            replies, fresh = registration_batch(batch, so_far, c.types)
+            out_w(replies, batch_id)
+            reg_w(fresh, batch_id)
+
+        _run_batches(src, run, sink, restart=restart)
     return _read_sink(run).select("event_id", "building", "group_id", "dev_id", "reply_topic", "status")
 
 

@@ -22,3 +22,9 @@ def test_stream_with_restart_equals_batch(spark, stream, batch):
     want = batch(CAT.Ctx(spark, SF_SMALL))
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
+
+
+def test_registration_state_store_variant_equals_batch(spark):
+    got = jobs.stream_registration(spark, SF_SMALL, restart=True, state="store")
+    want = CAT.registration_status(CAT.Ctx(spark, SF_SMALL))
+    assert rows(got) == rows(want)
