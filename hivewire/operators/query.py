@@ -83,12 +83,20 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
 
 def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: DataFrame,
                   groups: DataFrame, registry: Registry = DEFAULT_REGISTRY,
-                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                  restrict_readings: bool = False) -> DataFrame:
     """Every reply item of every routed query (``qgroups``: requested group
     rows): device values (J6) and one error item per existing group that has
-    no known requested device."""
+    no known requested device.
+
+    ``restrict_readings`` first keeps only the readings of devices these
+    queries ask about (a semi-join): used for a micro-batch of queries, so a
+    batch does not re-sort the readings of the whole fleet."""
     devices = devices_of_groups(qgroups)
     known = query_known_devices(devices, registry_df)
+    if restrict_readings:
+        asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id"))
+        delivered_valid = delivered_valid.join(asked.distinct(), DEVICE_KEY, "left_semi")
     values = query_latest_values(known, delivered_valid, registry, bucket_seconds)
     item_cols = [*QUERY_KEY, "ts", "group_pos", "group", "device_pos", "device"]
     dev_items = values.select(*item_cols, F.lit("data").alias("kind"), "reading_offset", "json")

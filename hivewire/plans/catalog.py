@@ -269,7 +269,8 @@ def _item_text():
 
 
 def gather_query_results(c: Ctx) -> DataFrame:
-    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types)
+    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types,
+                          restrict_readings=c.shared)
     g = Q.gather_with(rep, Q.QUERY_KEY, ["group_pos", "device_pos"], _item_text(),
                       lambda a: F.struct(F.size(a).cast("long").alias("n_items"), F.array_join(a, ";").alias("items")),
                       "r")
