@@ -172,21 +172,28 @@ def stream_route_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.get_json_object("value", "$.queryId").alias("query_id"))
 
 
-def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, job: Callable[[CAT.Ctx], DataFrame]) -> DataFrame:
+def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, body: str,
+               job: Callable[[CAT.Ctx], DataFrame]) -> DataFrame:
+    """Answer each micro-batch of region documents with a batch job; documents
+    whose envelope does not decode go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir, shared=True)
     run = Run(spark, name)
     src = _replay(run, feed, c.feed(feed), _bounds(c))
     writer = idempotent_batch_writer(run.path("out"))
+    bad_w = idempotent_batch_writer(run.path("quarantine"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # static side (registry, groups, readings) is built once and shared
         # by all micro-batches; per-batch intermediates are released after
+        batch = batch.persist()
         b = c.derive(feed, batch)
         writer(job(b), batch_id)
+        bad_w(E.envelope_quarantine(E.decode_envelope(batch, body)), batch_id)
         for k, df in b._memo.items():
             if k not in CAT.Ctx.STATIC:
                 df.unpersist()
         c._memo.update({k: v for k, v in b._memo.items() if k in CAT.Ctx.STATIC})
+        batch.unpersist()
 
     _run_batches(src, run, sink)
     return _read_sink(run)
@@ -195,12 +202,12 @@ def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, job: Call
 def stream_query_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each micro-batch of query documents is answered against the
     readings and registry (static side) and written as Query-results."""
-    return _per_batch(spark, sf_dir, "t6", "queries_raw", CAT.gather_query_results)
+    return _per_batch(spark, sf_dir, "t6", "queries_raw", E.QUERY_BODY, CAT.gather_query_results)
 
 
 def stream_command_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each micro-batch of command documents -> dispatch + status roll-up."""
-    return _per_batch(spark, sf_dir, "t7", "commands_raw", CAT.gather_command_status)
+    return _per_batch(spark, sf_dir, "t7", "commands_raw", E.COMMAND_BODY, CAT.gather_command_status)
 
 
 # --- T2 / T5 / T8: custom state -------------------------------------------------
