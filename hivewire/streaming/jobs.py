@@ -68,6 +68,12 @@ def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str
         while first.isActive and not first.recentProgress:
             time.sleep(0.2)
         first.stop()
+        # a job of the interrupted batch may still be finishing its write;
+        # resume only once it is gone, as a new driver would after a crash
+        tracker = stream.sparkSession.sparkContext.statusTracker()
+        deadline = time.time() + 120
+        while tracker.getActiveJobsIds() and time.time() < deadline:
+            time.sleep(0.2)
     writer().trigger(availableNow=True).start().awaitTermination()
 
 
