@@ -59,20 +59,35 @@ def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str
     """Drain the stream through ``fn``.  With ``restart`` the query is stopped
     after its first committed micro-batch and resumed from the checkpoint
     (what a driver or executor loss looks like to the sink)."""
+    import threading
+    import time
+
+    in_flight = [0]
+    lock = threading.Lock()
+
+    def tracked(batch: DataFrame, batch_id: int) -> None:
+        with lock:
+            in_flight[0] += 1
+        try:
+            fn(batch, batch_id)
+        finally:
+            with lock:
+                in_flight[0] -= 1
+
     def writer():
-        return (stream.writeStream.foreachBatch(fn).outputMode(mode)
+        return (stream.writeStream.foreachBatch(tracked).outputMode(mode)
                 .option("checkpointLocation", run.path(f"ckpt-{name}")))
     if restart:
-        import time
         first = writer().trigger(processingTime="0 seconds").start()
         while first.isActive and not first.recentProgress:
             time.sleep(0.2)
         first.stop()
-        # a job of the interrupted batch may still be finishing its write;
-        # resume only once it is gone, as a new driver would after a crash
+        # The batch function runs in a Python callback thread that can outlive
+        # stop(); a crashed driver would take it down.  Resume only once it and
+        # its jobs are gone, so it cannot overwrite what the resumed query writes.
         tracker = stream.sparkSession.sparkContext.statusTracker()
-        deadline = time.time() + 120
-        while tracker.getActiveJobsIds() and time.time() < deadline:
+        deadline = time.time() + 300
+        while (in_flight[0] or tracker.getActiveJobsIds()) and time.time() < deadline:
             time.sleep(0.2)
     writer().trigger(availableNow=True).start().awaitTermination()
 

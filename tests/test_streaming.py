@@ -21,7 +21,8 @@ def test_stream_with_restart_equals_batch(spark, stream, batch):
     got = stream(spark, SF_SMALL, restart=True)
     want = batch(CAT.Ctx(spark, SF_SMALL))
     assert sorted(got.columns) == sorted(want.columns)
-    assert rows(got) == rows(want)
+    g, w = rows(got), rows(want)
+    assert g == w, ([x for x in g if x not in w][:5], [x for x in w if x not in g][:5], len(g), len(w))
 
 
 def test_registration_state_store_variant_equals_batch(spark):
