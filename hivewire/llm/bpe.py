@@ -48,6 +48,7 @@ class Codec:
     def __init__(self, path: str | None = None):
         ranks = load_ranks(path or public_tokenizers.path(VOCABULARY))
         self._encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.size = max(ranks.values()) + 1
         by_id = {i: b for b, i in ranks.items()}
         self._size = np.array([len(by_id.get(i, b"")) for i in range(max(by_id) + 1)], dtype=np.int64)
         self._at = np.cumsum(self._size) - self._size
