@@ -115,9 +115,9 @@ def _sql_text(x: str) -> str:
 def sql() -> str:
     """The scan as DuckDB SQL, comparing every part with every template."""
     rows = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in sorted(TEMPLATES.items()))
-    words = "list_filter(string_split(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), w -> w <> '')"
+    words = "list_filter(string_split(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),  lambda w: w <> '')"
     grams = ("CASE WHEN len(words) < 2 THEN CAST([] AS VARCHAR[]) ELSE "
-             "list_distinct(list_transform(range(1, len(words)), i -> words[i] || ' ' || words[i + 1])) END")
+             "list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END")
     return f"""
 WITH t AS (SELECT license, {grams} AS g FROM (SELECT license, {words.format('body')} AS words FROM (VALUES {rows}) AS v(license, body))),
 lines AS (SELECT doc_id, 'line' AS part, UNNEST(range(len(l))) AS i, UNNEST(l) AS x
