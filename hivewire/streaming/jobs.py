@@ -28,8 +28,6 @@ from ..sources.topic_log import idempotent_batch_writer
 from . import replay as RP
 from . import stateful as ST
 
-SLICES = 4
-
 
 class Run:
     """Scratch folders of one replay: feed files, checkpoints, sinks."""
@@ -37,59 +35,36 @@ class Run:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = scratch_path(spark, f"stream-{name}")
+        self.feed: RP.Replay | None = None
 
     def path(self, what: str) -> str:
         return f"{self.base}/{what}"
 
 
 def _replay(run: Run, name: str, df: DataFrame, bounds) -> DataFrame:
-    """Write ``df`` as time slices and open it as a stream (one slice per batch)."""
-    p = run.path(f"in-{name}")
-    RP.write_slices(df, p, bounds[0], bounds[1], SLICES)
-    return (run.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(p))
+    """Cut ``df`` into time slices and open them as a stream."""
+    run.feed = RP.Replay(df, run.path(f"in-{name}"), bounds)
+    return run.feed.stream()
 
 
 def _bounds(c: CAT.Ctx):
-    ev = c.spark.read.parquet(f"{c.sf.rstrip('/')}/events.parquet")
-    return RP.time_bounds(ev)
-
-
-def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str = "append",
-                 restart: bool = False) -> None:
-    """Drain the stream through ``fn``.  With ``restart`` the query is stopped
-    after its first committed micro-batch and resumed from the checkpoint
-    (what a driver or executor loss looks like to the sink)."""
-    import threading
-    import time
-
-    in_flight = [0]
-    lock = threading.Lock()
-
-    def tracked(batch: DataFrame, batch_id: int) -> None:
-        with lock:
-            in_flight[0] += 1
-        try:
-            fn(batch, batch_id)
-        finally:
-            with lock:
-                in_flight[0] -= 1
-
-    def writer():
-        return (stream.writeStream.foreachBatch(tracked).outputMode(mode)
-                .option("checkpointLocation", run.path(f"ckpt-{name}")))
-    if restart:
-        first = writer().trigger(processingTime="0 seconds").start()
-        while first.isActive and not first.recentProgress:
-            time.sleep(0.2)
-        first.stop()
-        # The batch function runs in a Python callback thread that can outlive
-        # stop(); a crashed driver would take it down.  Resume only once it and
-        # its jobs are gone, so it cannot overwrite what the resumed query writes.
-        tracker = stream.sparkSession.sparkContext.statusTracker()
-        deadline = time.time() + 300
-        while (in_flight[0] or tracker.getActiveJobsIds()) and time.time() < deadline:
-            time.sleep(0.2)
-    writer().trigger(availableNow=True).start().awaitTermination()
+    return RP.time_bounds(c.spark.read.parquet(f"{c.sf.rstrip('/')}/events.parquet"))
+
+
+def _drain(writer) -> None:
+    """Process all that has arrived, then stop."""
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def _run_batches(stream: DataFrame, run: Run, fn, name: str = "sink", mode: str = "append") -> None:
+    """Drain the stream through ``fn``, slice by slice.  Between slices the query
+    is stopped and resumed from its checkpoint, so every run also exercises
+    the restart; an error in ``fn`` fails the micro-batch, which the next start
+    replays under the same batch id."""
+    while True:
+        _drain(stream.writeStream.foreachBatch(fn).outputMode(mode).option("checkpointLocation", run.path(f"ckpt-{name}")))
+        if not run.feed.release():
+            break
 
 
 def _read_sink(run: Run, name: str = "out") -> DataFrame:
@@ -99,43 +74,80 @@ def _read_sink(run: Run, name: str = "out") -> DataFrame:
 # --- S4 / T1 ----------------------------------------------------------------
 
 def committed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log -> idempotent per-batch files; the query is stopped after the
-    first batch and restarted from its checkpoint, then read back."""
+    """Log -> idempotent per-batch files; the query is stopped after every
+    slice and resumed from its checkpoint, then read back."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "s4")
     src = _replay(run, "telemetry", c.telemetry, _bounds(c))
-    _run_batches(src, run, idempotent_batch_writer(run.path("out")), restart=True)
+    _run_batches(src, run, idempotent_batch_writer(run.path("out")))
     return _read_sink(run).select("msg_offset", "ts", "topic", "payload")
 
 
+def _table(run: Run, name: str, schema: str):
+    """A table of the job, written one folder per batch id: ``(before, write)``,
+    ``before(batch_id)`` reading what earlier batches wrote.  It exists from the
+    start, so an error while reading it is an error and never means "empty"."""
+    path = run.path(name)
+    run.spark.createDataFrame([], schema).write.parquet(f"{path}/batch=-1")
+    write = idempotent_batch_writer(path)
+
+    def before(batch_id: int) -> DataFrame:
+        # a replayed batch ignores what its own earlier try left
+        return run.spark.read.schema(schema + ", batch LONG").parquet(path).where(F.col("batch") < batch_id)
+
+    return before, write
+
+
+_REGISTRY = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING, module_path STRING, "
+             "reg_ts TIMESTAMP_NTZ, reg_event_id LONG")
+_LOG = "msg_offset LONG, ts TIMESTAMP_NTZ, topic STRING, payload STRING"
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings stream x static registry -> strict decode -> valid rows as
-    canonical JSON on Data-{building}, the rest to a quarantine folder."""
+    """One log of registration requests and readings -> strict decode ->
+    what the subscriptions deliver as canonical JSON on Data-{building}, the
+    rest to a quarantine folder.
+
+    The job keeps its own registry and the last message of every topic (what a
+    broker retains), both advanced by its batches: a device that registers in a
+    batch receives the retained message and every later one, devices known
+    before receive all readings of the batch."""
+    from ..operators import latest as L
+    from ..operators import registry as R
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t1")
-    reg = c.registry.select(*DEVICE_KEY, "dev_type", F.col("module_path").alias("topic"))
-    src = _replay(run, "telemetry", c.telemetry, _bounds(c))
-    decoded = D.decode_by_type(src.join(reg, "topic"), registry=c.types)
+    log = c.telemetry.select("msg_offset", "ts", "topic", "payload").withColumn("kind", F.lit("reading")).unionByName(
+        c.requests.select(F.col("event_id").alias("msg_offset"), "ts", "topic", "payload", "building",
+                          F.lit("request").alias("kind")), allowMissingColumns=True)
+    src = _replay(run, "log", log, _bounds(c))
+    registry, registry_w = _table(run, "registry", _REGISTRY)
+    retained, retained_w = _table(run, "retained", _LOG)
     valid_w = idempotent_batch_writer(run.path("out"))
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        good = batch.where("reason IS NULL")
-        good = (good.withColumn("json", D.encode_by_type(good, "dev_type", c.types)).where("json IS NOT NULL")
-                .select("msg_offset", "building", "group_id", "dev_id",
-                        F.concat(F.lit(K.DATA_PREFIX + "-"), "building").alias("out_topic"), "json"))
-        valid_w(good, batch_id)
-        bad_w(batch.where("reason IS NOT NULL").select("msg_offset", "topic", "building", "group_id", "dev_id",
-                                                       "dev_type", "reason"), batch_id)
-        batch.unpersist()
+        batch = batch.persist()
+        readings = batch.where("kind = 'reading'").select("msg_offset", "ts", "topic", "payload")
+        requests = batch.where("kind = 'request'").select(F.col("msg_offset").alias("event_id"), "ts", "building", "topic", "payload")
+        known = registry(batch_id).drop("batch")
+        fresh = R.registry_of(R.decoded_requests(requests), c.types).join(known, DEVICE_KEY, "left_anti").persist()
+        kept = retained(batch_id).where(F.col("batch") == batch_id - 1).drop("batch")
+        log_so_far = kept.unionByName(readings)
+        delivered = (L.replay_since_registration(log_so_far, fresh).unionByName(
+            L.telemetry_of_registered(readings, known).withColumn("retained", F.lit(False))))
+        delivered = D.decode_by_type(delivered, registry=c.types).persist()
+        valid_w(L.published(delivered, c.types).select("msg_offset", "building", "group_id", "dev_id", "out_topic", "json"), batch_id)
+        bad_w(delivered.where("reason IS NOT NULL").select("msg_offset", "topic", "building", "group_id", "dev_id",
+                                                           "dev_type", "reason"), batch_id)
+        registry_w(fresh, batch_id)
+        retained_w(L.retained_snapshot(log_so_far).select("msg_offset", "ts", "topic", "payload"), batch_id)
+        for df in (delivered, fresh, batch):
+            df.unpersist()
 
-    _run_batches(decoded, run, sink)
+    _run_batches(src, run, sink)
     return _read_sink(run)
 
 
-# --- T3 latest value ----------------------------------------------------------
-
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuously updated latest value per device (streaming ``max_by``
     aggregation, update mode).  What a subscription delivers is the retained
@@ -240,16 +252,16 @@ def registration_batch(batch: DataFrame, registry_so_far: DataFrame, types) -> t
     running."""
     from ..operators import registry as R
     new = R.registry_of(batch, types)
-    known = registry_so_far.select(*DEVICE_KEY).withColumn("_known", F.lit(True))
+    known = registry_so_far.select(*DEVICE_KEY).distinct().withColumn("_known", F.lit(True))
     st = R.statuses_of(batch, types, new).join(known, DEVICE_KEY, "left")
     st = st.withColumn("status", F.when(F.col("_known"), F.lit(K.ALREADY_RUNNING)).otherwise(F.col("status")))
     fresh = new.join(known, DEVICE_KEY, "left_anti")
     return st.drop("_known"), fresh
 
 
-def stream_registration(spark: SparkSession, sf_dir: str, restart: bool = False,
-                        state: str = "table") -> DataFrame:
-    """Registration requests -> one reply per request.
+def stream_registration(spark: SparkSession, sf_dir: str, state: str = "table") -> DataFrame:
+    """Registration requests -> one reply per request; requests that do not
+    decode go to a quarantine folder.
 
     ``state="table"`` (default) keeps the registry as a table written one
     folder per batch id next to the checkpoint: each micro-batch is answered
@@ -258,31 +270,29 @@ def stream_registration(spark: SparkSession, sf_dir: str, restart: bool = False,
     in the RocksDB state store (``transformWithStateInPandas``)."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t2")
-    good = D.split(D.decode_register(c.requests))[0]
-    src = _replay(run, "requests", good, _bounds(c))
     out_w = idempotent_batch_writer(run.path("out"))
     if state == "store":
-        _run_batches(ST.registration_replies(src, c.types), run, out_w, restart=restart)
+        src = _replay(run, "requests", D.split(D.decode_register(c.requests))[0], _bounds(c))
+        _run_batches(ST.registration_replies(src, c.types), run, out_w)
     else:
-        reg_path = run.path("registry")
-        reg_w = idempotent_batch_writer(reg_path)
-        empty = spark.createDataFrame([], "building STRING, group_id STRING, dev_id STRING, batch LONG")
+        src = _replay(run, "requests", c.requests, _bounds(c))
+        registry, registry_w = _table(run, "registry", "building STRING, group_id STRING, dev_id STRING")
+        bad_w = idempotent_batch_writer(run.path("quarantine"))
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            try:
-                so_far = spark.read.parquet(reg_path)
-            except Exception:  # no batch registered anything yet
-                so_far = empty
-            so_far = so_far.where(F.col("batch") < batch_id)   # a replayed batch ignores its own earlier try
-            replies, fresh = registration_batch(batch, so_far, c.types)
+            good, bad = (df.persist() for df in D.split(D.decode_register(batch)))
+            replies, fresh = registration_batch(good, registry(batch_id), c.types)
             out_w(replies, batch_id)
-            reg_w(fresh, batch_id)
+            bad_w(bad, batch_id)
+            registry_w(fresh.select(*DEVICE_KEY), batch_id)
+            good.unpersist()
+            bad.unpersist()
 
-        _run_batches(src, run, sink, restart=restart)
+        _run_batches(src, run, sink)
     return _read_sink(run).select("event_id", "building", "group_id", "dev_id", "reply_topic", "status")
 
 
-def stream_gather(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
+def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: request/reply gather with an idle timeout, event-time timers; the
     sink keeps the latest status per request."""
     c = CAT.Ctx(spark, sf_dir)
@@ -291,14 +301,14 @@ def stream_gather(spark: SparkSession, sf_dir: str, restart: bool = False) -> Da
         "event_type IN ('purchase', 'view')").select("user_id", "event_id", "ts", "event_type")
     src = _replay(run, "events", ev, _bounds(c))
     out = ST.idle_gather(src, feeds.GATHER_EXPECTED, feeds.GATHER_TIMEOUT_HOURS * 3600)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
+    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
     u = spark.read.parquet(run.path("out"))
     last = u.groupBy("user_id").agg(F.max_by(F.struct("request_ts", "accepted"), F.struct("batch", "seq")).alias("s"))
     return last.select("user_id", "s.request_ts", "s.accepted",
                        (F.col("s.accepted") == feeds.GATHER_EXPECTED).alias("complete"))
 
 
-def stream_device_state(spark: SparkSession, sf_dir: str, restart: bool = False) -> DataFrame:
+def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings and executed commands folded per device into the expected
     state, one output row per event (equal to the batch W3)."""
     c = CAT.Ctx(spark, sf_dir)
@@ -315,7 +325,7 @@ def stream_device_state(spark: SparkSession, sf_dir: str, restart: bool = False)
     # one log of both kinds, so every micro-batch holds one time slice of each
     src = _replay(run, "device-events", readings.unionByName(executed), _bounds(c))
     out = ST.device_state(src)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")), restart=restart)
+    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
     return _read_sink(run).drop("ts")
 
 

@@ -132,7 +132,7 @@ class IdleGather(StatefulProcessor):
                 st[3] = True
             else:
                 st[2] += 1
-                st[1] = t_us
+                st[1] = t_us = max(st[1], t_us)     # a late row does not turn the clock back
                 if st[2] >= self.expected:
                     st[3] = True
                 else:
@@ -155,10 +155,12 @@ class IdleGather(StatefulProcessor):
         pass
 
 
-def idle_gather(events: DataFrame, expected: int, timeout_s: float) -> DataFrame:
-    """``events``: user_id, event_id, ts, event_type ('purchase' opens, 'view' replies)."""
+def idle_gather(events: DataFrame, expected: int, timeout_s: float, lateness: str = "1 hour") -> DataFrame:
+    """``events``: user_id, event_id, ts, event_type ('purchase' opens, 'view' replies).
+    Rows up to ``lateness`` older than the newest row of an earlier micro-batch
+    are still taken; timers wait as long."""
     _use_rocksdb(events)
-    e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+    e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
     return (e.groupBy("user_id").transformWithStateInPandas(
         IdleGather(expected, timeout_s),
         "user_id LONG, request_ts TIMESTAMP_NTZ, accepted LONG, done BOOLEAN, seq LONG",
