@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from .decode import READING_COLUMNS, decode_by_type, encode_by_type
 from .devices import DEFAULT_REGISTRY, Registry
 from .registry import DEVICE_KEY
@@ -103,7 +104,12 @@ def encode_telemetry(telemetry: DataFrame, registry_df: DataFrame,
     """P4 / T1 output: valid delivered readings -> canonical JSON on Data-{building};
     a missing or non-finite number is written as JSON null; a row that does
     not encode at all (no encoder for its type) is dropped."""
-    d = delivered_readings(telemetry, registry_df, registry).where("reason IS NULL")
+    return published(delivered_readings(telemetry, registry_df, registry), registry)
+
+
+def published(delivered: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """P4 over decoded delivered readings (batch and stream)."""
+    d = delivered.where("reason IS NULL")
     return (d.withColumn("json", encode_by_type(d, "dev_type", registry))
             .where("json IS NOT NULL")
-            .withColumn("out_topic", F.concat(F.lit("Data-"), F.col("building"))))
+            .withColumn("out_topic", F.concat(F.lit(K.DATA_PREFIX + "-"), F.col("building"))))

@@ -35,7 +35,7 @@ class Ctx:
     rebuilt from lineage), so a raw log is scanned and parsed once instead of
     once per branch.  ``shared`` marks a context serving many micro-batches."""
 
-    STATIC = ("decoded_requests", "registry", "groups", "delivered_valid", "valid_readings", "buildings")
+    STATIC = ("decoded_requests", "registry", "groups", "delivered_valid", "buildings")
 
     def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None,
                  overrides: dict[str, DataFrame] | None = None, shared: bool = False):
@@ -92,9 +92,6 @@ class Ctx:
     def delivered_valid(self):
         return self._keep("delivered_valid", lambda: L.delivered_readings(self.telemetry, self.registry, self.types)
                           .where("reason IS NULL").drop("reason"))
-    @property
-    def valid_readings(self):
-        return self._keep("valid_readings", lambda: L.valid_readings(self.telemetry, self.registry, self.types))
 
 
 def _cols(df: DataFrame, *cols: str) -> DataFrame:
@@ -146,16 +143,13 @@ def decode_battery(c: Ctx) -> DataFrame:
 
 
 def quarantine_telemetry(c: Ctx) -> DataFrame:
-    d = D.decode_by_type(L.telemetry_of_registered(c.telemetry, c.registry), registry=c.types)
-    _, bad = D.split(d)
+    _, bad = D.split(L.delivered_readings(c.telemetry, c.registry, c.types))
     return _cols(bad, "msg_offset", "topic", "building", "group_id", "dev_id", "dev_type", "reason")
 
 
 def encode_telemetry(c: Ctx) -> DataFrame:
-    d = c.valid_readings
-    out = d.withColumn("json", D.encode_by_type(d, "dev_type", c.types)).where("json IS NOT NULL")
-    return out.select("msg_offset", "building", "group_id", "dev_id",
-                      F.concat(F.lit(K.DATA_PREFIX + "-"), "building").alias("out_topic"), "json")
+    return _cols(L.encode_telemetry(c.telemetry, c.registry, c.types), "msg_offset", "building", "group_id", "dev_id",
+                 "out_topic", "json")
 
 
 def decode_register(c: Ctx) -> DataFrame:
@@ -290,7 +284,7 @@ def gather_command_status(c: Ctx) -> DataFrame:
 
 
 def list_buildings(c: Ctx) -> DataFrame:
-    return R.list_buildings(c.buildings)
+    return R.list_buildings(feeds.all_buildings(c.spark, c.sf))
 
 
 # --- ordered computations ----------------------------------------------------

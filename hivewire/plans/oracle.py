@@ -281,7 +281,7 @@ def _encode() -> str:
     batt = ("json_object('deviceId', deviceId, 'percentage', percentage, 'status', status, 'timestamp', timestamp)")
     return f"""enc AS (SELECT msg_offset, building, group_id, dev_id, concat('Data-', building) AS out_topic,
         CAST(CASE dev_type WHEN 'thermostat' THEN {thermo} WHEN 'battery' THEN {batt} END AS VARCHAR) AS json
-      FROM tvalid)"""
+      FROM j3 WHERE reason IS NULL)"""
 
 
 def _items_text() -> str:
@@ -385,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
     o["decode_battery"] = f"""SELECT msg_offset, topic, {', '.join(f'{typed("j", n, k)} AS {n}' for n, k, _ in BATTERY_FIELDS)},
         {reason('j', BATTERY_FIELDS, BATTERY_INVARIANT)} AS reason
         FROM (SELECT *, {valid_json('payload')} AS j FROM ({FD.TELEMETRY_RAW.sql()}))"""
-    o["quarantine_telemetry"] = W("SELECT msg_offset, topic, building, group_id, dev_id, dev_type, reason FROM tdec WHERE reason IS NOT NULL")
+    o["quarantine_telemetry"] = W("SELECT msg_offset, topic, building, group_id, dev_id, dev_type, reason FROM j3 WHERE reason IS NOT NULL")
     o["encode_telemetry"] = "WITH " + ctes().strip() + ",\n" + _encode() + "\nSELECT * FROM enc"
     o["decode_register"] = W("SELECT event_id, building, group_id, dev_id, dev_type, module_path, reason FROM rd")
     o["filter_known_types"] = W("""SELECT event_id, building, dev_id, dev_type, dev_type IN ('thermostat', 'battery') AS accepted,
@@ -447,7 +447,7 @@ def oracle_sql() -> dict[str, str]:
                CAST(coalesce(sum(n_ok), 0) AS BIGINT) AS n_published, CAST(coalesce(sum(n_err), 0) AS BIGINT) AS n_failed,
                concat('Success([', string_agg(t, ', ' ORDER BY group_pos), '])') AS status
         FROM gt GROUP BY event_id, building"""
-    o["list_buildings"] = f"SELECT DISTINCT region, building FROM ({FD.BUILDINGS_SQL})"
+    o["list_buildings"] = f"SELECT DISTINCT region, building FROM ({FD.ALL_BUILDINGS_SQL})"
     o["registration_status"] = "WITH " + ctes().strip() + ",\n" + _status_of_w1() + """
         SELECT event_id, building, group_id, dev_id, reply_topic, status FROM w1"""
     o["device_lifecycle"] = "WITH " + ctes().strip() + ",\n" + _status_of_w1() + """

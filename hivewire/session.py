@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Pushes ``row_number() <= k`` below the shuffle (partial top-k per group).
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Duplicate keys of a JSON object: the last one wins.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -53,11 +55,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in DEFAULT_CONF.items():
         if k == "spark.sql.streaming.stateStore.providerClass":
             continue  # static once a stream ran; leave to the deployment
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session
-            pass
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     return spark
 
 
@@ -65,12 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment sets it to shared storage and we only read
-    it.  Only when it is unset (tests, local runs) we set a scratch folder.
+    it.  Only in local mode (tests, local runs) an unset one becomes a scratch
+    folder; a cluster without it is an error, as a folder of one machine is
+    not seen by the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = os.environ.get("HIVEWIRE_SCRATCH") or tempfile.mkdtemp(prefix="hivewire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

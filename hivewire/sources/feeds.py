@@ -95,11 +95,11 @@ COMMANDS_RAW = Feed(
     ),
 )
 
-# Device inventory documents (edge start-up lists), one per signup event with
-# event_id % 4 = 0: two devices, the second of a type chosen by event_id % 3
+# Device inventory documents (edge start-up lists), one per signup event: two
+# devices, the second of a type chosen by event_id % 3
 # (one unknown type), sending period from the event value.
 DEVICE_LISTS = Feed(
-    "device_lists", "events", "event_type = 'signup' AND event_id % 4 = 0",
+    "device_lists", "events", "event_type = 'signup'",
     (
         "event_id", "ts",
         "concat('{\"buildingId\":\"building', user_id % 25, '\",\"devices\":[', "
@@ -111,11 +111,10 @@ DEVICE_LISTS = Feed(
     ),
 )
 
-# Building registration requests to a region manager (U2): purchase events
-# with event_id % 9 = 0 ask to register building{user_id % 30} in region
-# (user_id % 5); ids 25..29 are new buildings.
+# Building registration requests to a region manager (U2): every purchase
+# event asks to register building{user_id % 30} in region (user_id % 5); ids 25..29 are new buildings.
 BUILDING_REQUESTS = Feed(
-    "building_requests", "events", "event_type = 'purchase' AND event_id % 9 = 0",
+    "building_requests", "events", "event_type = 'purchase'",
     (
         "event_id", "ts",
         "concat('building', user_id % 30) AS building",
@@ -123,15 +122,21 @@ BUILDING_REQUESTS = Feed(
     ),
 )
 
-# Region of each registered building: nations 0..19 (20 of 25 registered).
-BUILDINGS_SQL = (
+# Region of every building; documents also name buildings that are not
+# registered (nations 20..24), so the registered ones are nations 0..19.
+ALL_BUILDINGS_SQL = (
     "SELECT concat('building', n_nationkey) AS building, r_name AS region "
-    "FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20"
+    "FROM nation JOIN region ON n_regionkey = r_regionkey"
 )
+BUILDINGS_SQL = ALL_BUILDINGS_SQL + " WHERE n_nationkey < 20"
 
 
 def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation").where("n_nationkey < 20")
+    return all_buildings(spark, sf_dir, "n_nationkey < 20")
+
+
+def all_buildings(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    nation = read_table(spark, sf_dir, "nation").where(where)
     region = read_table(spark, sf_dir, "region")
     return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .selectExpr("concat('building', n_nationkey) AS building", "r_name AS region"))
