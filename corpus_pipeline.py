@@ -36,7 +36,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, with digests of the ids and of the decoded bytes."""
-    return bpe.digests(bpe.encoded(docs), keep_ids=True)
+    return bpe.digests(docs, keep_ids=True)
 
 
 STAGES = [

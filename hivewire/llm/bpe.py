@@ -122,12 +122,14 @@ class Stitcher:
 IDS = "doc_id long, n_tokens long, ids array<int>"
 
 
-def _ids_batch(doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
+def _ids_batch(codec: Codec, doc_ids: list, ids: list[np.ndarray], decode: bool) -> pa.RecordBatch:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
     values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)),
-                                       pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))],
-                                      names=["doc_id", "n_tokens", "ids"])
+    columns = {"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)),
+               "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))}
+    if decode:
+        columns["decoded"] = codec.decode(values, offsets)
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 100):
@@ -136,9 +138,11 @@ def _parts(batch: pa.RecordBatch, rows: int = 100):
 
 
 def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-            size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+            size: int = CHUNK, overlap: int = OVERLAP, decode: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` for every document; ``path`` names a rank file
     that every executor can read (None: the installed public vocabulary).
+    With ``decode`` the ids are decoded again where they were made: ``decoded``
+    holds their raw bytes.
 
     Null and empty texts have no ids; null and repeated ids keep one row per
     document; an empty table gives no rows; other columns are ignored."""
@@ -149,8 +153,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         for b in chain.from_iterable(map(_parts, batches)):
-            yield _ids_batch(b.column("doc_id").to_pylist(),
-                             [codec.encode(t) for t in b.column("text").to_pylist()])
+            yield _ids_batch(codec, b.column("doc_id").to_pylist(), [codec.encode(t) for t in b.column("text").to_pylist()], decode)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chain.from_iterable(map(lambda x: _parts(x, 10), batches)):
@@ -178,15 +181,16 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
                         done.append((doc, np.concatenate(ids + [codec.encode(stitcher.rest())])))
                     at, doc, stitcher, ids = rid, doc_id, Stitcher(size, overlap), []
                 ids.append(codec.encode(stitcher.add(text, head, tail)))
-            yield _ids_batch([x for x, _ in done], [x for _, x in done])
+            yield _ids_batch(codec, [x for x, _ in done], [x for _, x in done], decode)
         if at is not None:
-            yield _ids_batch([doc], [np.concatenate(ids + [codec.encode(stitcher.rest())])])
+            yield _ids_batch(codec, [doc], [np.concatenate(ids + [codec.encode(stitcher.rest())])], decode)
 
     kind = "rid long, doc_id long, chunk long, text string"
+    out = IDS + ", decoded binary" if decode else IDS
     stitched = (d.select(F.monotonically_increasing_id().alias("rid"), "*").where(long).mapInArrow(cut, kind)
                 .repartition("rid", "chunk").mapInArrow(split, kind + ", head array<int>, tail array<int>")
-                .repartition("rid").sortWithinPartitions("rid", "chunk").mapInArrow(stitch, IDS))
-    return d.where(~long).mapInArrow(whole, IDS).unionByName(stitched)
+                .repartition("rid").sortWithinPartitions("rid", "chunk").mapInArrow(stitch, out))
+    return d.where(~long).mapInArrow(whole, out).unionByName(stitched)
 
 
 def decoded(tokens: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:
@@ -206,8 +210,9 @@ def decoded(tokens: DataFrame, path: str | None = None, ids_col: str = "ids") ->
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def digests(tokens: DataFrame, path: str | None = None, keep_ids: bool = False) -> DataFrame:
-    """Digest columns of encoded and decoded documents (and the ids)."""
-    return decoded(tokens, path).select(
+def digests(docs: DataFrame, path: str | None = None, keep_ids: bool = False, **options) -> DataFrame:
+    """Every document encoded and decoded: digests of the ids and of the decoded
+    bytes (and the ids)."""
+    return encoded(docs, path, decode=True, **options).select(
         "doc_id", "n_tokens", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if keep_ids else []))

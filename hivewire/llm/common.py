@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import apply_defaults, ensure_checkpoint_dir, scratch_path, ship_package
 
 # Rows and bytes of one Arrow batch: what a Python worker holds at once.
-ARROW_ROWS, ARROW_BYTES = "1000", "16m"
+ARROW_ROWS, ARROW_BYTES = "500", "4m"
 # A side is broadcast by hint only up to this many (short, fixed-width) rows.
 BROADCAST_ROWS = 500_000
 # A key is hot from this many rows or this share of all rows on.

@@ -18,7 +18,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of ids and bytes."""
-    return bpe.digests(bpe.encoded(read_table(spark, sf_dir, "documents")))
+    return bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
