@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, prepare, shingle_hashes, word_hashes
+from .common import prepare, shingle_hashes, word_hashes, written
 
 SIMILARITY = 0.8
 RADIUS, BLOCKS, BITS = 7, 4, 16
@@ -170,13 +170,16 @@ def _runs(texts: list[str | None], most: int = 1 << 22) -> Iterator[tuple[int, i
             lo, size = i + 1, 0
 
 
-def slices(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[list[tuple[int, str]]]:
-    """The benchmark in parts of about ``SLICE_BYTES``: a task holds one part at a
-    time, whatever the benchmark's size; each part is one more pass."""
+def slices(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[bool, list[tuple[int, str]]]]:
+    """The benchmark in parts of about ``SLICE_BYTES``, each with whether it is the
+    last: the driver and a task hold one part at a time, whatever the benchmark's
+    size; each part is one more pass."""
     b = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where("t IS NOT NULL")
     size = b.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(size / SLICE_BYTES))
-    return [[(r["i"], r["t"]) for r in b.where(F.pmod(F.xxhash64("t"), F.lit(n)) == k).collect()] for k in range(n)]
+    for k in range(n):
+        rows = b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()
+        yield k == n - 1, [(r["i"], r["t"]) for r in rows]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -190,7 +193,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     prepare(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for part in slices(benchmark):
+    for last, part in slices(benchmark):
         def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
             index = Index(part)
             for b in batches:
@@ -200,6 +203,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
                     (pa.int64(), pa.int64(), pa.float64(), pa.int64()))], names=["doc_id", "item_id", "similarity", "start_word"])
         found = d.mapInArrow(run, "doc_id long, item_id long, similarity double, start_word long")
+        found = found if last else written(found, "leaks")      # done before the next part is fetched
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -208,11 +212,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> D
     """The rows of ``docs`` (all columns) that hold no benchmark item."""
     prepare(docs.sparkSession)
     names, out = docs.columns, docs
-    for part in slices(benchmark):
+    for last, part in slices(benchmark):
         def keep(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
             index = Index(part)
             for b in batches:
                 ok = [not m for m in index.matches(b.column("_leak_text").to_pylist(), least)]
                 yield b.select(names).filter(pa.array(ok, pa.bool_()))
         out = out.withColumn("_leak_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+        out = out if last else written(out, "clean")
     return out

@@ -220,7 +220,10 @@ def benchmark_df(spark, items):
     return spark.createDataFrame(items, "item_id LONG, text STRING")
 
 
-def test_decontamination(spark, odd, none):
+@pytest.mark.parametrize("slice_bytes", [decontaminate.SLICE_BYTES, 700])
+def test_decontamination(spark, odd, none, monkeypatch, slice_bytes):
+    """With one part of the benchmark and with several passes."""
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)
     items = [(k, prose(100 + k, n)) for k, n in enumerate((5, 8, 11, 14, 30, 55, 300))] + [(7, None), (8, ""), (9, "too short")]
     texts = [prose(i, 50) for i in range(30)]
     for k in range(7):
