@@ -16,6 +16,7 @@ their overlaps are found, and meet again by row.
 from __future__ import annotations
 
 import base64
+import hashlib
 from itertools import chain
 from typing import Iterator
 
@@ -34,6 +35,7 @@ from .common import prepare
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CHUNK, OVERLAP = 16_384, 512        # characters
 _LOOK = 3                           # a match may depend on so many characters behind its end
+_STEP = 1 << 16                     # ids decoded or written at a time
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 
 
@@ -63,9 +65,12 @@ class Codec:
         outside the vocabulary is an error."""
         if ids.size and (ids.min() < 0 or ids.max() >= self._size.size or not self._size[ids].all()):
             raise ValueError("id outside the vocabulary")
-        n = self._size[ids]
-        end = np.concatenate(([0], np.cumsum(n)))
-        raw = self._raw[np.repeat(self._at[ids] - end[:-1], n) + np.arange(end[-1])]
+        end = np.concatenate(([0], np.cumsum(self._size[ids])))
+        raw = np.empty(end[-1], dtype=np.uint8)
+        for k in range(0, ids.size, _STEP):
+            part = ids[k:k + _STEP]
+            to = end[k:k + part.size + 1] - end[k]
+            raw[end[k]:end[k + part.size]] = self._raw[np.repeat(self._at[part] - to[:-1], np.diff(to)) + np.arange(to[-1])]
         return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(end[offsets].astype(np.int32)), pa.py_buffer(raw)])
 
 
@@ -119,17 +124,30 @@ class Stitcher:
         return self.text
 
 
-IDS = "doc_id long, n_tokens long, ids array<int>"
+# What an encoding pass can return per document, all from the same ids.
+OUTPUTS = {"ids": "array<int>", "decoded": "binary", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
-def _ids_batch(codec: Codec, doc_ids: list, ids: list[np.ndarray], decode: bool) -> pa.RecordBatch:
+def ids_digest(ids: np.ndarray) -> str:
+    """SHA-256 of the decimal ids joined by commas."""
+    h = hashlib.sha256()
+    for k in range(0, len(ids), _STEP):
+        h.update(("," * (k > 0) + ",".join(map(str, ids[k:k + _STEP].tolist()))).encode())
+    return h.hexdigest()
+
+
+def _batch(codec: Codec, doc_ids: list, ids: list[np.ndarray], outputs: tuple[str, ...]) -> pa.RecordBatch:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
     values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    columns = {"doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array(np.diff(offsets).astype(np.int64)),
-               "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))}
-    if decode:
-        columns["decoded"] = codec.decode(values, offsets)
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    made = {"ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))}
+    if {"decoded", "decoded_sha256"} & set(outputs):
+        made["decoded"] = codec.decode(values, offsets)
+    if "ids_sha256" in outputs:
+        made["ids_sha256"] = pa.array([ids_digest(x) for x in ids], pa.string())
+    if "decoded_sha256" in outputs:
+        made["decoded_sha256"] = pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in made["decoded"]], pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(np.diff(offsets).astype(np.int64)), *(made[k] for k in outputs)],
+                                      names=["doc_id", "n_tokens", *outputs])
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 100):
@@ -138,11 +156,12 @@ def _parts(batch: pa.RecordBatch, rows: int = 100):
 
 
 def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-            size: int = CHUNK, overlap: int = OVERLAP, decode: bool = False) -> DataFrame:
-    """``doc_id, n_tokens, ids`` for every document; ``path`` names a rank file
-    that every executor can read (None: the installed public vocabulary).
-    With ``decode`` the ids are decoded again where they were made: ``decoded``
-    holds their raw bytes.
+            size: int = CHUNK, overlap: int = OVERLAP, outputs: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """``doc_id, n_tokens`` and ``outputs`` for every document; ``path`` names a
+    rank file that every executor can read (None: the installed public
+    vocabulary).  ``decoded`` holds the raw bytes of the ids, decoded where they
+    were made; the digests are those of the ids (decimal, joined by commas) and
+    of the decoded bytes.
 
     Null and empty texts have no ids; null and repeated ids keep one row per
     document; an empty table gives no rows; other columns are ignored."""
@@ -153,7 +172,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
         for b in chain.from_iterable(map(_parts, batches)):
-            yield _ids_batch(codec, b.column("doc_id").to_pylist(), [codec.encode(t) for t in b.column("text").to_pylist()], decode)
+            yield _batch(codec, b.column("doc_id").to_pylist(), [codec.encode(t) for t in b.column("text").to_pylist()], outputs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chain.from_iterable(map(lambda x: _parts(x, 10), batches)):
@@ -165,10 +184,13 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
-            found = [boundaries(t, 0, len(t)) for t in texts]
-            for name, lo in (("head", 0), ("tail", size)):
-                b = b.append_column(name, pa.array([[e for e in f if lo <= e <= lo + overlap] for f in found], pa.list_(pa.int32())))
+            heads, tails = [], []
+            for t in b.column("text"):
+                found = boundaries(x := t.as_py(), 0, len(x))
+                heads.append([e for e in found if e <= overlap])
+                tails.append([e for e in found if size <= e <= size + overlap])
+            for name, lists in (("head", heads), ("tail", tails)):
+                b = b.append_column(name, pa.array(lists, pa.list_(pa.int32())))
             yield b
 
     def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,12 +203,12 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
                         done.append((doc, np.concatenate(ids + [codec.encode(stitcher.rest())])))
                     at, doc, stitcher, ids = rid, doc_id, Stitcher(size, overlap), []
                 ids.append(codec.encode(stitcher.add(text, head, tail)))
-            yield _ids_batch(codec, [x for x, _ in done], [x for _, x in done], decode)
+            yield _batch(codec, [x for x, _ in done], [x for _, x in done], outputs)
         if at is not None:
-            yield _ids_batch(codec, [doc], [np.concatenate(ids + [codec.encode(stitcher.rest())])], decode)
+            yield _batch(codec, [doc], [np.concatenate(ids + [codec.encode(stitcher.rest())])], outputs)
 
     kind = "rid long, doc_id long, chunk long, text string"
-    out = IDS + ", decoded binary" if decode else IDS
+    out = ", ".join(["doc_id long", "n_tokens long", *(f"{k} {OUTPUTS[k]}" for k in outputs)])
     stitched = (d.select(F.monotonically_increasing_id().alias("rid"), "*").where(long).mapInArrow(cut, kind)
                 .repartition("rid", "chunk").mapInArrow(split, kind + ", head array<int>, tail array<int>")
                 .repartition("rid").sortWithinPartitions("rid", "chunk").mapInArrow(stitch, out))
@@ -213,6 +235,4 @@ def decoded(tokens: DataFrame, path: str | None = None, ids_col: str = "ids") ->
 def digests(docs: DataFrame, path: str | None = None, keep_ids: bool = False, **options) -> DataFrame:
     """Every document encoded and decoded: digests of the ids and of the decoded
     bytes (and the ids)."""
-    return encoded(docs, path, decode=True, **options).select(
-        "doc_id", "n_tokens", F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if keep_ids else []))
+    return encoded(docs, path, outputs=("ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])), **options)
