@@ -11,6 +11,8 @@ from .command import _crossing
 from .latest import valid_readings
 from .registry import DEVICE_KEY
 
+REPLY_SALTS = 16        # parts that the replies to one request are dealt to
+
 
 def battery_expected_status(telemetry: DataFrame, registry_df: DataFrame,
                             bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -31,14 +33,20 @@ def battery_expected_status(telemetry: DataFrame, registry_df: DataFrame,
 
 
 def gather_idle_cutoff(requests: DataFrame, replies: DataFrame, expected: int,
-                       timeout_seconds: float, key: str = "user_id") -> DataFrame:
+                       timeout_seconds: float, key: str = "user_id", salts: int = REPLY_SALTS) -> DataFrame:
     """Replies to a request are accepted until ``expected`` arrived or the
     first idle gap (since the request or the previous reply) exceeds the
-    timeout.  Only the first ``expected`` replies matter: ``row_number() <=
-    expected`` is a group limit Spark applies before the shuffle, so a hot
-    request ships at most ``expected`` rows per map task."""
-    r = (replies.join(requests, key).where(F.col("ts") > F.col("request_ts")))
-    w = Window.partitionBy(key).orderBy("ts", "event_id")
+    timeout.  Only the first ``expected`` replies matter.  A request's replies
+    are dealt to ``salts`` parts by their event id (the requests, one row per
+    key, are repeated per part); every part keeps its first ``expected``, so at
+    most ``salts * expected`` replies of a key meet in one task."""
+    part = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    r = (replies.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
+         .join(requests.withColumn("_salt", F.explode(part)), [key, "_salt"])
+         .where(F.col("ts") > F.col("request_ts")))
+    order = ["ts", "event_id"]
+    r = r.withColumn("rn", F.row_number().over(Window.partitionBy(key, "_salt").orderBy(*order))).where(F.col("rn") <= expected)
+    w = Window.partitionBy(key).orderBy(*order)
     first = r.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= expected)
     gap = F.timestamp_diff("MICROSECOND", F.coalesce(F.lag("ts").over(w), F.col("request_ts")), F.col("ts")) / 1e6
     first = first.withColumn("late", gap > timeout_seconds)

@@ -1,11 +1,15 @@
-"""A device with most of the log: the as-of answer (J6) over many small time
-buckets equals a brute-force scan."""
+"""Keys with most of the rows: the as-of answer (J6) over many small time
+buckets, and the idle cut-off (W4) over salted replies, equal brute force."""
 
+import datetime as dt
 import random
 
+import pytest
+
 from hivewire.operators import envelopes as E
 from hivewire.operators import query as Q
 from hivewire.operators import registry as R
+from hivewire.operators import state as S
 from hivewire.operators.latest import delivered_readings
 from tests.helpers import at, buildings_df, docs_df, log_df, register, requests_df
 
@@ -47,3 +51,25 @@ def test_hot_device_as_of_latest(spark):
         want = max(cands)[1] if cands else None
         assert got[(5000 + k, "hot")] == want, (k, qt)
         assert got[(5000 + k, "quiet")] == 1000
+
+
+@pytest.mark.parametrize("salts", [1, 7])
+def test_hot_request_idle_cutoff(spark, salts):
+    rnd = random.Random(11)
+    start, expected, timeout = dt.datetime(2024, 1, 1), 12, 20
+    asked = {u: rnd.randint(0, 50) for u in range(6)}
+    users = [0] * 300 + [rnd.randint(1, 5) for _ in range(60)]
+    replies = [(u, i, rnd.randint(0, 2000 if u == 0 else 200)) for i, u in enumerate(users)]
+    got = {r.user_id: (r.accepted, r.complete) for r in S.gather_idle_cutoff(
+        spark.createDataFrame([(u, start + dt.timedelta(seconds=t)) for u, t in asked.items()], "user_id LONG, request_ts TIMESTAMP_NTZ"),
+        spark.createDataFrame([(u, i, start + dt.timedelta(seconds=t)) for u, i, t in replies],
+                              "user_id LONG, event_id LONG, ts TIMESTAMP_NTZ"),
+        expected, timeout, salts=salts).collect()}
+    for u, t in asked.items():
+        n, last = 0, t
+        for at_ in sorted(x for v, _, x in replies if v == u and x > t):
+            if n == expected or at_ - last > timeout:
+                break
+            n, last = n + 1, at_
+        assert got[u] == (n, n == expected), u
+    assert got[0][1] and not all(c for _, c in got.values())
