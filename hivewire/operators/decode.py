@@ -24,6 +24,17 @@ REGISTER_INFO = DeviceType("RegisterInfo", (Field("groupId", "string"), Field("d
 READING_COLUMNS = ("deviceId", "value", "unit", "percentage", "status", "timestamp")
 
 
+def reading_columns(registry: Registry = DEFAULT_REGISTRY) -> list[str]:
+    """The reading columns of a registry: the default ones, then its own types' fields."""
+    return list(dict.fromkeys([*READING_COLUMNS, *[f.name for t in registry.types for f in t.fields]]))
+
+
+def reading_schema(registry: Registry = DEFAULT_REGISTRY) -> str:
+    """DDL of ``reading_columns``; a field that no type of the registry has is text."""
+    kinds = {f.name: f.kind for t in registry.types for f in t.fields}
+    return ", ".join(f"`{n}` {'DOUBLE' if kinds.get(n) == 'number' else 'STRING'}" for n in reading_columns(registry))
+
+
 def parse_with(df: DataFrame, parse: Callable[[Column], tuple[Column, dict[str, Column]]],
                payload: str = "payload") -> DataFrame:
     """Apply a user parse function (payload Column -> (reason, columns))
@@ -60,7 +71,7 @@ def decode_battery(df: DataFrame, payload: str = "payload") -> DataFrame:
 def decode_by_type(df: DataFrame, type_col: str = "dev_type", payload: str = "payload",
                    registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """Decode each row with the decoder of its device type (CASE over types)."""
-    names = list(dict.fromkeys([*READING_COLUMNS, *[f.name for t in registry.types for f in t.fields]]))
+    names = reading_columns(registry)
     st = Staged(names)
     staged = st.stage(df, payload)
     per = {t.name: t.decode(st) for t in registry.types}

@@ -65,7 +65,13 @@ def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
     written form, which a VARIANT does not), from one more parse of the
     document, zipped into the entries before the explode.
     """
-    d = decode_envelope(docs, body, payload).where("env_ok")
+    return explode_decoded(decode_envelope(docs, body, payload), body, last_wins, payload, keep_text)
+
+
+def explode_decoded(decoded: DataFrame, body: str, last_wins: bool = False,
+                    payload: str = "payload", keep_text: bool = False) -> DataFrame:
+    """``explode_envelope`` over documents that ``decode_envelope`` decoded."""
+    d = decoded.where("env_ok")
     entries = F.col("entries")
     if keep_text:
         texts = F.from_json(F.col(payload), f"buildings ARRAY<STRUCT<`{body}`: STRING>>").getField("buildings")
@@ -74,7 +80,7 @@ def explode_envelope(docs: DataFrame, body: str, last_wins: bool = False,
             "body_text", F.element_at(F.col("_texts"), i + 1).getField(body)))
     if last_wins:
         entries = last_wins_entries(entries)
-    keep = [c for c in docs.columns if c != payload]
+    keep = [c for c in decoded.columns if c not in (payload, "entries", "env_ok")]
     cols = ["e.pos", "e.building", "e.body"] + (["e.body_text"] if keep_text else [])
     return d.select(*keep, F.explode(entries).alias("e")).select(*keep, *cols)
 

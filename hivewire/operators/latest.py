@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .decode import READING_COLUMNS, decode_by_type, encode_by_type
+from .decode import decode_by_type, encode_by_type, reading_columns
 from .devices import DEFAULT_REGISTRY, Registry
 from .registry import DEVICE_KEY
 
@@ -63,9 +63,13 @@ def valid_readings(telemetry: DataFrame, registry_df: DataFrame,
 def latest_per_device(telemetry: DataFrame, registry_df: DataFrame,
                       registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """A3: last valid delivered reading per registered device (arrival order)."""
-    d = delivered_readings(telemetry, registry_df, registry).where("reason IS NULL")
-    payload = F.struct("msg_offset", "ts", *READING_COLUMNS)
-    return (d.groupBy(*DEVICE_KEY, "dev_type")
+    return latest_of(delivered_readings(telemetry, registry_df, registry).where("reason IS NULL"), registry)
+
+
+def latest_of(valid: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """A3 over valid delivered readings: the columns of the registry's types."""
+    payload = F.struct("msg_offset", "ts", *reading_columns(registry))
+    return (valid.groupBy(*DEVICE_KEY, "dev_type")
             .agg(F.max_by(payload, F.struct(*ARRIVAL)).alias("m"))
             .select(*DEVICE_KEY, "dev_type", "m.*"))
 

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from .carry import DEFAULT_BUCKET_SECONDS, Carry, carry_forward
-from .decode import READING_COLUMNS, encode_by_type
+from .decode import encode_by_type, reading_columns
 from .devices import DEFAULT_REGISTRY, Registry
 from .envelopes import QUERY_BODY, devices_of_groups, explode_envelope, route_to_registered_buildings
+from .latest import delivered_readings
 from .registry import DEVICE_KEY
 
 QUERY_KEY = ["event_id", "building", "query_id"]
@@ -54,6 +55,16 @@ def query_unknown_groups(query_groups: DataFrame, groups: DataFrame) -> DataFram
     return _existing(query_groups.where("group IS NOT NULL"), groups, "left_anti")
 
 
+def asked_readings(telemetry: DataFrame, known: DataFrame, registry_df: DataFrame,
+                   registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """Valid delivered readings of the devices that ``known`` (J4) asks about:
+    the registry is cut to them first, so only messages of their topics are
+    joined, decoded and sorted."""
+    asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id")).distinct()
+    return (delivered_readings(telemetry, registry_df.join(asked, DEVICE_KEY, "left_semi"), registry)
+            .where("reason IS NULL").drop("reason"))
+
+
 def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
                         registry: Registry = DEFAULT_REGISTRY,
                         bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -62,7 +73,7 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
     ``json`` is the reply ("NO DATA YET" when none)."""
     readings = (delivered_valid
                 .select(*DEVICE_KEY, "ts", F.lit(0).alias("_kind"), F.col("msg_offset").alias("_seq"),
-                        F.struct("msg_offset", "ts", *READING_COLUMNS).alias("_reading")))
+                        F.struct("msg_offset", "ts", *reading_columns(registry)).alias("_reading")))
     q = known.withColumnRenamed("group", "group_id").withColumnRenamed("device", "dev_id")
     asks = q.select(*DEVICE_KEY, "ts", F.lit(1).alias("_kind"), F.col("event_id").alias("_seq"),
                     F.lit(None).alias("_reading"),
@@ -74,7 +85,7 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
     r = F.col("_latest")
     out = out.select(*q.columns,
                      r.msg_offset.alias("reading_offset"), r.ts.alias("reading_ts"),
-                     *[r.getField(c).alias(c) for c in READING_COLUMNS])
+                     *[r.getField(c).alias(c) for c in reading_columns(registry)])
     data = encode_by_type(out, "dev_type", registry)
     no_data = F.to_json(F.struct(F.col("dev_id").alias("deviceId"), F.lit(K.NO_DATA_YET).alias("data")))
     return (out.withColumn("json", F.when(F.col("reading_offset").isNull(), no_data).otherwise(data))
@@ -83,20 +94,12 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
 
 def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: DataFrame,
                   groups: DataFrame, registry: Registry = DEFAULT_REGISTRY,
-                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                  restrict_readings: bool = False) -> DataFrame:
+                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Every reply item of every routed query (``qgroups``: requested group
     rows): device values (J6) and one error item per existing group that has
-    no known requested device.
-
-    ``restrict_readings`` first keeps only the readings of devices these
-    queries ask about (a semi-join): used for a micro-batch of queries, so a
-    batch does not re-sort the readings of the whole fleet."""
-    devices = devices_of_groups(qgroups)
-    known = query_known_devices(devices, registry_df)
-    if restrict_readings:
-        asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id"))
-        delivered_valid = delivered_valid.join(asked.distinct(), DEVICE_KEY, "left_semi")
+    no known requested device.  ``delivered_valid`` needs the readings of the
+    asked devices only (``asked_readings``)."""
+    known = query_known_devices(devices_of_groups(qgroups), registry_df)
     values = query_latest_values(known, delivered_valid, registry, bucket_seconds)
     item_cols = [*QUERY_KEY, "ts", "group_pos", "group", "device_pos", "device"]
     dev_items = values.select(*item_cols, F.lit("data").alias("kind"), "reading_offset", "json")

@@ -22,6 +22,7 @@ from ..operators import query as Q
 from ..operators import registry as R
 from ..operators import state as S
 from ..operators.devices import BATTERY, THERMOSTAT, DeviceType, Field, Registry
+from ..session import scratch_path
 from ..sources import feeds
 from ..sources import topic_log as TL
 
@@ -33,26 +34,13 @@ class Ctx:
     registry, groups, routed documents, requested groups, decoded readings)
     is built once and persisted (memory, spilling to disk; lost blocks are
     rebuilt from lineage), so a raw log is scanned and parsed once instead of
-    once per branch.  ``shared`` marks a context serving many micro-batches."""
+    once per branch."""
 
-    STATIC = ("decoded_requests", "registry", "groups", "delivered_valid", "buildings")
-
-    def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None,
-                 overrides: dict[str, DataFrame] | None = None, shared: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, registry: Registry | None = None):
         self.spark, self.sf = spark, sf_dir
         self.types = registry or Registry()
-        self.overrides = overrides or {}
-        self.shared = shared
         self._memo: dict[str, DataFrame] = {}
 
-    def derive(self, feed: str, df: DataFrame) -> "Ctx":
-        """Same data with ``feed`` replaced (a micro-batch); static intermediates are shared."""
-        c = Ctx(self.spark, self.sf, self.types, {**self.overrides, feed: df}, self.shared)
-        for k in self.STATIC:
-            if k in self._memo:
-                c._memo[k] = self._memo[k]
-        return c
-
     def _keep(self, key: str, build) -> DataFrame:
         if key not in self._memo:
             # Persisted plans are also found again by Spark's cache manager when
@@ -62,8 +50,6 @@ class Ctx:
         return self._memo[key]
 
     def feed(self, name: str) -> DataFrame:
-        if name in self.overrides:
-            return self.overrides[name]
         return feeds.load(self.spark, self.sf, name)
 
     @property
@@ -89,9 +75,11 @@ class Ctx:
     @property
     def routed_commands(self): return self._keep("routed_commands", lambda: C.routed_commands(self.commands_raw, self.buildings))
     @property
-    def delivered_valid(self):
-        return self._keep("delivered_valid", lambda: L.delivered_readings(self.telemetry, self.registry, self.types)
-                          .where("reason IS NULL").drop("reason"))
+    def known_devices(self):
+        return Q.query_known_devices(E.devices_of_groups(self.query_groups), self.registry)
+    @property
+    def asked_readings(self):
+        return Q.asked_readings(self.telemetry, self.known_devices, self.registry, self.types)
 
 
 def _cols(df: DataFrame, *cols: str) -> DataFrame:
@@ -101,7 +89,10 @@ def _cols(df: DataFrame, *cols: str) -> DataFrame:
 # --- sources / sinks -------------------------------------------------------
 
 def read_topic_log(c: Ctx) -> DataFrame:
-    return _cols(c.telemetry, "msg_offset", "ts", "topic", "payload")
+    """The telemetry feed written as a message log and scanned back."""
+    path = scratch_path(c.spark, "topic-log")
+    TL.write_topic_log(c.telemetry.select("topic", "msg_offset", "ts", "payload"), path)
+    return _cols(TL.read_topic_log(c.spark, path, schema=TL.LOG_SCHEMA), "msg_offset", "ts", "topic", "payload")
 
 
 def subscribe_topics(c: Ctx) -> DataFrame:
@@ -109,11 +100,26 @@ def subscribe_topics(c: Ctx) -> DataFrame:
     return _cols(L.subscribe_topics(c.requests, topics), "event_id", "ts", "topic")
 
 
+def to_topics(routed: DataFrame, prefix: str) -> DataFrame:
+    """S3 rows: each routed body as JSON on ``{prefix}-{building}``."""
+    return routed.select("event_id", "pos", "building", F.concat(F.lit(prefix + "-"), "building").alias("out_topic"),
+                         F.to_json("body").alias("value"))
+
+
+def bodies_of(written: DataFrame) -> DataFrame:
+    """What the routed messages say: a query's id, a command list's number of groups."""
+    v = J.parse(F.col("value"))
+    return written.select("event_id", "pos", "building", "out_topic",
+                          J.get_string(J.field(v, "queryId")).alias("query_id"),
+                          F.size(J.as_array(J.field(v, "commands"))).cast("long").alias("n_groups"))
+
+
 def route_to_topics(c: Ctx) -> DataFrame:
-    r = c.routed_queries
-    return r.select("event_id", "pos", "building",
-                    F.concat(F.lit(K.QUERY_PREFIX + "-"), "building").alias("out_topic"),
-                    J.get_string(J.field(F.col("body"), "queryId")).alias("query_id"))
+    """S3: routed query and command bodies written under their topics and read back."""
+    path = scratch_path(c.spark, "routed")
+    both = to_topics(c.routed_queries, K.QUERY_PREFIX).unionByName(to_topics(c.routed_commands, K.COMMAND_PREFIX))
+    TL.write_routed(both, path)
+    return bodies_of(c.spark.read.schema(both.schema).parquet(path))
 
 
 def load_device_inventory(c: Ctx) -> DataFrame:
@@ -219,8 +225,7 @@ def replay_since_registration(c: Ctx) -> DataFrame:
 
 
 def query_known_devices(c: Ctx) -> DataFrame:
-    k = Q.query_known_devices(E.devices_of_groups(c.query_groups), c.registry)
-    return _cols(k, "event_id", "building", "query_id", "group_pos", "group", "device_pos", "device", "dev_type")
+    return _cols(c.known_devices, "event_id", "building", "query_id", "group_pos", "group", "device_pos", "device", "dev_type")
 
 
 def query_unknown_groups(c: Ctx) -> DataFrame:
@@ -229,8 +234,7 @@ def query_unknown_groups(c: Ctx) -> DataFrame:
 
 
 def query_latest_values(c: Ctx) -> DataFrame:
-    k = Q.query_known_devices(E.devices_of_groups(c.query_groups), c.registry)
-    v = Q.query_latest_values(k, c.delivered_valid, c.types)
+    v = Q.query_latest_values(c.known_devices, c.asked_readings, c.types)
     return v.select("event_id", "building", "query_id", "group_pos", "device_pos", "device", "dev_type",
                     "reading_offset", F.col("reading_offset").isNotNull().alias("has_data"),
                     "value", "percentage", "status")
@@ -263,13 +267,16 @@ def _item_text():
 
 
 def gather_query_results(c: Ctx) -> DataFrame:
-    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types,
-                          restrict_readings=c.shared)
+    return results_text(Q.query_replies(c.query_groups, c.asked_readings, c.registry, c.groups, c.types), c.query_groups)
+
+
+def results_text(rep: DataFrame, query_groups: DataFrame) -> DataFrame:
+    """A4 as text: the number of reply items of a query and the items in order."""
     g = Q.gather_with(rep, Q.QUERY_KEY, ["group_pos", "device_pos"], _item_text(),
                       lambda a: F.struct(F.size(a).cast("long").alias("n_items"), F.array_join(a, ";").alias("items")),
                       "r")
     g = g.select(*Q.QUERY_KEY, "r.n_items", "r.items")
-    return (Q.query_keys(c.query_groups).join(g, Q.QUERY_KEY, "left")
+    return (Q.query_keys(query_groups).join(g, Q.QUERY_KEY, "left")
             .select(*Q.QUERY_KEY, F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                     F.coalesce("items", F.lit("")).alias("items")))
 
@@ -357,7 +364,7 @@ def parse_with(c: Ctx) -> DataFrame:
 
 
 def gather_with(c: Ctx) -> DataFrame:
-    rep = Q.query_replies(c.query_groups, c.delivered_valid, c.registry, c.groups, c.types)
+    rep = Q.query_replies(c.query_groups, c.asked_readings, c.registry, c.groups, c.types)
     item = F.struct(F.col("kind"), F.col("reading_offset"))
     zero = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e"))
     fold = lambda a: F.aggregate(a, zero, lambda acc, x: F.struct(

@@ -364,9 +364,11 @@ def oracle_sql() -> dict[str, str]:
     o["read_topic_log"] = FD.TELEMETRY_RAW.sql()
     o["subscribe_topics"] = (f"SELECT event_id, ts, topic FROM ({FD.REGISTER_REQUESTS.sql()}) "
                              f"WHERE topic IN (SELECT concat('/', building, '/register') FROM ({FD.BUILDINGS_SQL}))")
-    o["route_to_topics"] = W("""SELECT event_id, pos, building, concat('Query-', building) AS out_topic,
-        (CASE WHEN json_type(body, '$.queryId') = 'VARCHAR' THEN json_extract_string(body, '$.queryId') END) AS query_id
-        FROM qroute""")
+    o["route_to_topics"] = W(f"""SELECT event_id, pos, building, concat('Query-', building) AS out_topic,
+        (CASE WHEN json_type(body, '$.queryId') = 'VARCHAR' THEN json_extract_string(body, '$.queryId') END) AS query_id,
+        CAST(NULL AS BIGINT) AS n_groups FROM qroute
+        UNION ALL SELECT event_id, pos, building, concat('Command-', building), CAST(NULL AS VARCHAR),
+        CAST(CASE WHEN {is_arr('body', '$.commands')} THEN json_array_length(body, '$.commands') END AS BIGINT) FROM croute""")
     o["load_device_inventory"] = f"""WITH {_inventory()}
         SELECT event_id, building, device_pos, device_type, device_id, module, publishing_topic, period_s,
                CASE WHEN device_type IN ('thermostat', 'battery')

@@ -65,7 +65,14 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], stream: boo
 
 def write_routed(df: DataFrame, path: str, topic_col: str = "out_topic", mode: str = "overwrite") -> None:
     """S3: write each row under the topic it carries (one folder per topic)."""
-    df.write.mode(mode).partitionBy(topic_col).parquet(path)
+    clustered(df, topic_col).write.mode(mode).partitionBy(topic_col).parquet(path)
+
+
+def clustered(df: DataFrame, topic_col: str) -> DataFrame:
+    """Rows of a topic brought together before a routed write, so a topic gets
+    few files; the rebalance splits a hot topic and merges small ones by the
+    sizes measured at run time."""
+    return df.hint("rebalance", F.col(topic_col))
 
 
 def idempotent_batch_writer(path: str, topic_col: str | None = None):
@@ -75,7 +82,7 @@ def idempotent_batch_writer(path: str, topic_col: str | None = None):
     function returns, and a replayed batch id rewrites the same folder, so a
     crash between write and commit cannot duplicate rows (exactly-once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.write.mode("overwrite")
+        w = (clustered(batch, topic_col) if topic_col else batch).write.mode("overwrite")
         if topic_col:
             w = w.partitionBy(topic_col)
         w.parquet(f"{path.rstrip('/')}/batch={batch_id}")

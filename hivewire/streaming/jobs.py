@@ -19,7 +19,9 @@ from ..functions import constants as K
 from ..operators import command as C
 from ..operators import decode as D
 from ..operators import envelopes as E
+from ..operators import latest as L
 from ..operators import query as Q
+from ..operators import registry as R
 from ..operators.registry import DEVICE_KEY
 from ..plans import catalog as CAT
 from ..session import scratch_path
@@ -100,147 +102,233 @@ def _table(run: Run, name: str, schema: str):
 
 _REGISTRY = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING, module_path STRING, "
              "reg_ts TIMESTAMP_NTZ, reg_event_id LONG")
-_LOG = "msg_offset LONG, ts TIMESTAMP_NTZ, topic STRING, payload STRING"
+_GROUPS = "building STRING, group_id STRING, created_ts TIMESTAMP_NTZ"
+_RETAINED = "msg_offset LONG, ts TIMESTAMP_NTZ, topic STRING, payload STRING"
+READING, REQUEST, QUERY, COMMAND = "reading", "request", "query", "command"
+
+
+def _log(**feeds_of: DataFrame) -> DataFrame:
+    """One message log of several feeds: ``kind`` (the argument's name), id,
+    time, topic, building and payload."""
+    log = None
+    for kind, df in feeds_of.items():
+        has = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
+        part = df.select(F.lit(kind).alias("kind"), F.col("msg_offset" if kind == READING else "event_id").alias("id"),
+                         "ts", has("topic").alias("topic"), has("building").alias("building"), "payload")
+        log = part if log is None else log.unionByName(part)
+    return log
+
+
+class Fleet:
+    """What a job knows of the devices, kept in tables that its own micro-batches
+    advance: registry and groups (a batch adds the new ones), the last message of every topic
+    (what a broker retains) and the last valid delivered reading of every
+    device (each batch writes them whole: one row per topic or device).
+
+    ``see`` reads a micro-batch against what earlier batches left; ``commit``
+    writes the batch's additions after the job's outputs, so a replayed batch
+    starts from the same state."""
+
+    def __init__(self, run: Run, types, readings: bool = True, latest: bool = False):
+        self.types, self.readings, self.keeps_latest = types, readings, latest
+        self.before_registry, self._registry_w = _table(run, "registry", _REGISTRY)
+        self.before_groups, self._groups_w = _table(run, "groups", _GROUPS)
+        if readings:
+            self.before_retained, self._retained_w = _table(run, "retained", _RETAINED)
+        if latest:
+            schema = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING, msg_offset LONG, "
+                      "ts TIMESTAMP_NTZ, " + D.reading_schema(types))
+            self.before_latest, self._latest_w = _table(run, "latest", schema)
+
+    def see(self, batch: DataFrame, batch_id: int) -> None:
+        """Registry and groups with this batch's registrations; ``delivered``:
+        what subscriptions deliver in this batch (J3), decoded, bad rows with
+        their reason.  A device that registers in the batch receives the
+        retained message and every later one, others every reading."""
+        self._kept: list[DataFrame] = []
+        requests = batch.where(F.col("kind") == REQUEST).select(F.col("id").alias("event_id"), "ts", "building", "topic", "payload")
+        decoded = self._keep(R.decoded_requests(requests))
+        known = self.before_registry(batch_id).drop("batch")
+        self.fresh = self._keep(R.registry_of(decoded, self.types).join(known, DEVICE_KEY, "left_anti"))
+        self.registry = known.unionByName(self.fresh)
+        had = self.before_groups(batch_id).drop("batch")
+        self.new_groups = R.groups_of(decoded).join(had, ["building", "group_id"], "left_anti")
+        self.groups = had.unionByName(self.new_groups)
+        if not self.readings:
+            return
+        readings = batch.where(F.col("kind") == READING).select(F.col("id").alias("msg_offset"), "ts", "topic", "payload")
+        self.log = self._last(self.before_retained, batch_id).unionByName(readings)
+        delivered = L.replay_since_registration(self.log, self.fresh).unionByName(
+            L.telemetry_of_registered(readings, known).withColumn("retained", F.lit(False)))
+        self.delivered = self._keep(D.decode_by_type(delivered, registry=self.types))
+        if self.keeps_latest:
+            cols = [*DEVICE_KEY, "dev_type", "msg_offset", "ts", *D.reading_columns(self.types)]
+            # a value as of a time in this batch is the last one before it or one of its own
+            self.values = self._last(self.before_latest, batch_id).select(*cols).unionByName(
+                self.delivered.where("reason IS NULL").select(*cols))
+
+    def commit(self, batch_id: int) -> None:
+        self._registry_w(self.fresh, batch_id)
+        self._groups_w(self.new_groups, batch_id)
+        if self.readings:
+            self._retained_w(L.retained_snapshot(self.log).select("msg_offset", "ts", "topic", "payload"), batch_id)
+        if self.keeps_latest:
+            self._latest_w(L.latest_of(self.values, self.types), batch_id)
+        for df in self._kept:
+            df.unpersist()
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        self._kept.append(df.persist())
+        return self._kept[-1]
+
+    @staticmethod
+    def _last(before, batch_id: int) -> DataFrame:
+        return before(batch_id).where(F.col("batch") == batch_id - 1).drop("batch")
+
+
+def _run_fleet(src: DataFrame, run: Run, fleet: Fleet, job: Callable[[DataFrame, int], None]) -> None:
+    """Every micro-batch: see it, run ``job`` (which writes the outputs), commit the fleet's state."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        fleet.see(batch, batch_id)
+        job(batch, batch_id)
+        fleet.commit(batch_id)
+        batch.unpersist()
+
+    _run_batches(src, run, sink)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log of registration requests and readings -> strict decode ->
     what the subscriptions deliver as canonical JSON on Data-{building}, the
-    rest to a quarantine folder.
-
-    The job keeps its own registry and the last message of every topic (what a
-    broker retains), both advanced by its batches: a device that registers in a
-    batch receives the retained message and every later one, devices known
-    before receive all readings of the batch."""
-    from ..operators import latest as L
-    from ..operators import registry as R
+    rest to a quarantine folder.  The job keeps its own registry and the
+    retained messages (``Fleet``)."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t1")
-    log = c.telemetry.select("msg_offset", "ts", "topic", "payload").withColumn("kind", F.lit("reading")).unionByName(
-        c.requests.select(F.col("event_id").alias("msg_offset"), "ts", "topic", "payload", "building",
-                          F.lit("request").alias("kind")), allowMissingColumns=True)
-    src = _replay(run, "log", log, _bounds(c))
-    registry, registry_w = _table(run, "registry", _REGISTRY)
-    retained, retained_w = _table(run, "retained", _LOG)
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests), _bounds(c))
+    fleet = Fleet(run, c.types)
     valid_w = idempotent_batch_writer(run.path("out"))
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        readings = batch.where("kind = 'reading'").select("msg_offset", "ts", "topic", "payload")
-        requests = batch.where("kind = 'request'").select(F.col("msg_offset").alias("event_id"), "ts", "building", "topic", "payload")
-        known = registry(batch_id).drop("batch")
-        fresh = R.registry_of(R.decoded_requests(requests), c.types).join(known, DEVICE_KEY, "left_anti").persist()
-        kept = retained(batch_id).where(F.col("batch") == batch_id - 1).drop("batch")
-        log_so_far = kept.unionByName(readings)
-        delivered = (L.replay_since_registration(log_so_far, fresh).unionByName(
-            L.telemetry_of_registered(readings, known).withColumn("retained", F.lit(False))))
-        delivered = D.decode_by_type(delivered, registry=c.types).persist()
-        valid_w(L.published(delivered, c.types).select("msg_offset", "building", "group_id", "dev_id", "out_topic", "json"), batch_id)
-        bad_w(delivered.where("reason IS NOT NULL").select("msg_offset", "topic", "building", "group_id", "dev_id",
-                                                           "dev_type", "reason"), batch_id)
-        registry_w(fresh, batch_id)
-        retained_w(L.retained_snapshot(log_so_far).select("msg_offset", "ts", "topic", "payload"), batch_id)
-        for df in (delivered, fresh, batch):
-            df.unpersist()
+    def job(batch: DataFrame, batch_id: int) -> None:
+        valid_w(L.published(fleet.delivered, c.types).select("msg_offset", "building", "group_id", "dev_id", "out_topic", "json"),
+                batch_id)
+        bad_w(fleet.delivered.where("reason IS NOT NULL").select("msg_offset", "topic", "building", "group_id", "dev_id",
+                                                                 "dev_type", "reason"), batch_id)
 
-    _run_batches(src, run, sink)
+    _run_fleet(src, run, fleet, job)
     return _read_sink(run)
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Continuously updated latest value per device (streaming ``max_by``
-    aggregation, update mode).  What a subscription delivers is the retained
-    message at registration plus later ones, so two running aggregates are
-    kept: the last valid reading after registration, and the last message of
-    any kind up to registration (used only if it is valid)."""
+    """Continuously updated latest value per device, devices registering
+    inside the stream.  Every micro-batch merges its valid delivered readings
+    into the table of latest values and writes it whole (one row per device):
+    the newest folder is the current table."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t3")
-    reg = c.registry.select(*DEVICE_KEY, "dev_type", F.col("module_path").alias("topic"), "reg_ts")
-    src = _replay(run, "telemetry", c.telemetry, _bounds(c))
-    d = D.decode_by_type(src.join(reg, "topic"), registry=c.types)
-    rec = F.struct("msg_offset", "ts", *D.READING_COLUMNS, F.col("reason").isNull().alias("ok"))
-    order = F.struct("ts", "msg_offset")
-    after = F.when((F.col("ts") > F.col("reg_ts")) & F.col("reason").isNull(), order)
-    before = F.when(F.col("ts") <= F.col("reg_ts"), order)
-    agg = (d.groupBy(*DEVICE_KEY, "dev_type")
-           .agg(F.max_by(rec, after).alias("after"), F.max_by(rec, before).alias("before")))
-    upd = idempotent_batch_writer(run.path("updates"))
-    _run_batches(agg, run, upd, mode="update")
-    u = spark.read.parquet(run.path("updates"))
-    last = (u.groupBy(*DEVICE_KEY, "dev_type").agg(F.max_by(F.struct("after", "before"), "batch").alias("s"))
-            .select(*DEVICE_KEY, "dev_type",
-                    F.coalesce(F.col("s.after"), F.when(F.col("s.before.ok"), F.col("s.before"))).alias("m"))
-            .where("m IS NOT NULL"))
-    return last.select(*DEVICE_KEY, "dev_type", "m.msg_offset", "m.ts", "m.value", "m.unit", "m.percentage", "m.status")
-
-
-# --- T4 / T6 / T7: per-batch jobs on region documents ---------------------------------
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests), _bounds(c))
+    fleet = Fleet(run, c.types, latest=True)
+    newest = [-1]
+    _run_fleet(src, run, fleet, lambda batch, batch_id: newest.append(batch_id))
+    return (Fleet._last(fleet.before_latest, max(newest) + 1)
+            .select(*DEVICE_KEY, "dev_type", "msg_offset", "ts", "value", "unit", "percentage", "status"))
+
+
+# --- T4 / T6 / T7: region documents ---------------------------------------------------
+
+def _documents(batch: DataFrame, kind: str) -> DataFrame:
+    return batch.where(F.col("kind") == kind).select(F.col("id").alias("event_id"), "ts", "payload")
+
+
+def _decoded(docs: DataFrame, body: str, buildings: DataFrame, keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(persisted decoded documents, their entries routed to registered
+    buildings); documents that do not decode are in the first for the quarantine."""
+    decoded = E.decode_envelope(docs, body).persist()
+    entries = E.explode_decoded(decoded, body, last_wins=True, keep_text=keep_text)
+    return decoded, E.route_to_registered_buildings(entries, buildings)
+
 
 def stream_route_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: region query documents -> per-building topics (one folder per
-    topic); documents that do not decode go to a quarantine folder."""
+    """T4: region query and command documents -> per-building topics (one folder
+    per topic); documents that do not decode go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t4")
-    src = _replay(run, "queries", c.queries_raw, _bounds(c))
+    src = _replay(run, "documents", _log(query=c.queries_raw, command=c.commands_raw), _bounds(c))
     buildings = c.buildings
     routed_w = idempotent_batch_writer(run.path("out"), topic_col="out_topic")
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        decoded = E.decode_envelope(batch, E.QUERY_BODY).persist()
-        entries = decoded.where("env_ok").select(
-            *[x for x in batch.columns if x != "payload"], F.explode(E.last_wins_entries(F.col("entries"))).alias("e"))
-        routed = E.route_to_registered_buildings(entries.select("event_id", "ts", "e.pos", "e.building", "e.body"),
-                                                 buildings)
-        routed_w(routed.select("event_id", "pos", "building",
-                               F.concat(F.lit(K.QUERY_PREFIX + "-"), "building").alias("out_topic"),
-                               F.to_json("body").alias("value")), batch_id)
-        bad_w(E.envelope_quarantine(decoded), batch_id)
-        decoded.unpersist()
+        batch = batch.persist()
+        queries, routed_q = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings)
+        commands, routed_c = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings)
+        routed_w(CAT.to_topics(routed_q, K.QUERY_PREFIX).unionByName(CAT.to_topics(routed_c, K.COMMAND_PREFIX)), batch_id)
+        bad_w(E.envelope_quarantine(queries).unionByName(E.envelope_quarantine(commands)), batch_id)
+        for df in (queries, commands, batch):
+            df.unpersist()
 
     _run_batches(src, run, sink)
-    r = _read_sink(run)
-    return r.select("event_id", "pos", "building", "out_topic",
-                    F.get_json_object("value", "$.queryId").alias("query_id"))
-
-
-def _per_batch(spark: SparkSession, sf_dir: str, name: str, feed: str, body: str,
-               job: Callable[[CAT.Ctx], DataFrame]) -> DataFrame:
-    """Answer each micro-batch of region documents with a batch job; documents
-    whose envelope does not decode go to a quarantine folder."""
-    c = CAT.Ctx(spark, sf_dir, shared=True)
-    run = Run(spark, name)
-    src = _replay(run, feed, c.feed(feed), _bounds(c))
-    writer = idempotent_batch_writer(run.path("out"))
+    return CAT.bodies_of(_read_sink(run))
+
+
+def stream_query_answers(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """One log of registrations, readings and query documents; every query
+    is answered with the latest values as of its time, from what the stream
+    has seen (``Fleet``), as JSON under Query-results-{building} in
+    ``messages``; bad documents go to a quarantine folder."""
+    c = CAT.Ctx(spark, sf_dir)
+    run = run or Run(spark, "t6")
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests, query=c.queries_raw), _bounds(c))
+    buildings = c.buildings
+    fleet = Fleet(run, c.types, latest=True)
+    out_w = idempotent_batch_writer(run.path("out"))
+    message_w = idempotent_batch_writer(run.path("messages"), topic_col="out_topic")
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        # static side (registry, groups, readings) is built once and shared
-        # by all micro-batches; per-batch intermediates are released after
-        batch = batch.persist()
-        b = c.derive(feed, batch)
-        writer(job(b), batch_id)
-        bad_w(E.envelope_quarantine(E.decode_envelope(batch, body)), batch_id)
-        for k, df in b._memo.items():
-            if k not in CAT.Ctx.STATIC:
-                df.unpersist()
-        c._memo.update({k: v for k, v in b._memo.items() if k in CAT.Ctx.STATIC})
-        batch.unpersist()
+    def job(batch: DataFrame, batch_id: int) -> None:
+        decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings)
+        groups = E.explode_query_groups(routed).persist()
+        known = Q.query_known_devices(E.devices_of_groups(groups), fleet.registry)
+        asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id")).distinct()
+        values = fleet.values.join(asked, DEVICE_KEY, "left_semi")
+        replies = Q.query_replies(groups, values, fleet.registry, fleet.groups, c.types).persist()
+        out_w(CAT.results_text(replies, groups), batch_id)
+        message_w(Q.query_results_json(Q.gather_query_results(replies, groups)), batch_id)
+        bad_w(E.envelope_quarantine(decoded), batch_id)
+        for df in (replies, groups, decoded):
+            df.unpersist()
 
-    _run_batches(src, run, sink)
+    _run_fleet(src, run, fleet, job)
     return _read_sink(run)
 
 
-def stream_query_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each micro-batch of query documents is answered against the
-    readings and registry (static side) and written as Query-results."""
-    return _per_batch(spark, sf_dir, "t6", "queries_raw", E.QUERY_BODY, CAT.gather_query_results)
+def stream_command_status(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """One log of registrations and command documents; commands for known
+    devices are dispatched on ``{path}/cmd`` (folder ``dispatch``), every
+    document gets its status roll-up, bad ones go to a quarantine folder."""
+    c = CAT.Ctx(spark, sf_dir)
+    run = run or Run(spark, "t7")
+    src = _replay(run, "log", _log(request=c.requests, command=c.commands_raw), _bounds(c))
+    buildings = c.buildings
+    fleet = Fleet(run, c.types, readings=False)
+    out_w = idempotent_batch_writer(run.path("out"))
+    dispatch_w = idempotent_batch_writer(run.path("dispatch"))
+    bad_w = idempotent_batch_writer(run.path("quarantine"))
 
+    def job(batch: DataFrame, batch_id: int) -> None:
+        decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings, keep_text=True)
+        routed = routed.persist()
+        statuses = C.command_dispatch_status(routed, fleet.groups, fleet.registry, c.types).persist()
+        out_w(C.gather_command_status(statuses, routed, fleet.groups), batch_id)
+        dispatch_w(statuses.where("ok").select("event_id", "building", "group_pos", "device_pos", "device_id",
+                                               "cmd_topic", "cmd_payload"), batch_id)
+        bad_w(E.envelope_quarantine(decoded), batch_id)
+        for df in (statuses, routed, decoded):
+            df.unpersist()
 
-def stream_command_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each micro-batch of command documents -> dispatch + status roll-up."""
-    return _per_batch(spark, sf_dir, "t7", "commands_raw", E.COMMAND_BODY, CAT.gather_command_status)
+    _run_fleet(src, run, fleet, job)
+    return _read_sink(run)
 
 
 # --- T2 / T5 / T8: custom state -------------------------------------------------
@@ -250,7 +338,6 @@ def registration_batch(batch: DataFrame, registry_so_far: DataFrame, types) -> t
     earlier batches: (reply rows, newly registered devices).  Within the batch
     the batch operator W1 applies; a device registered earlier is already
     running."""
-    from ..operators import registry as R
     new = R.registry_of(batch, types)
     known = registry_so_far.select(*DEVICE_KEY).distinct().withColumn("_known", F.lit(True))
     st = R.statuses_of(batch, types, new).join(known, DEVICE_KEY, "left")
@@ -313,8 +400,7 @@ def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, one output row per event (equal to the batch W3)."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t8")
-    from ..operators.latest import valid_readings
-    readings = valid_readings(c.telemetry, c.registry, c.types).select(
+    readings = L.valid_readings(c.telemetry, c.registry, c.types).select(
         *DEVICE_KEY, "dev_type", "ts", F.lit(0).alias("kind"), F.col("msg_offset").alias("seq"),
         "value", "percentage", F.lit(None).cast("double").alias("set_value"),
         F.lit(None).cast("string").alias("new_status"))
