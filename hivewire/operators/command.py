@@ -16,8 +16,7 @@ from ..functions import constants as K
 from ..functions import topics as T
 from .carry import DEFAULT_BUCKET_SECONDS, Carry, carry_forward
 from .devices import DEFAULT_REGISTRY, Registry
-from .envelopes import COMMAND_BODY, explode_command_groups, explode_commands, explode_envelope, \
-    route_to_registered_buildings
+from .envelopes import COMMAND_BODY, explode_commands, explode_envelope, route_to_registered_buildings
 from .latest import valid_readings
 from .registry import DEVICE_KEY
 
@@ -46,6 +45,29 @@ def _with_device(rows: DataFrame, registry_df: DataFrame) -> DataFrame:
     return rows.join(r, cond, "left").drop("_rb", "_rg", "_rd", "_rts")
 
 
+def command_rows(routed: DataFrame, groups: DataFrame, registry_df: DataFrame,
+                 registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """Every command of every routed document with its group's existence and
+    its dispatch (``ok``, ``message``, topic and payload); a group without
+    commands keeps one row without a device.  The document is exploded once
+    and joined once with the groups and once with the devices."""
+    rows = _with_device(_group_exists(explode_commands(routed), groups), registry_df)
+    smart = F.col("dev_type").isin(*registry.smart_names)
+    cmd_text = F.col("command_text")
+    message = (F.when(~F.col("group_exists"), F.concat(F.lit(K.GROUP_PREFIX), F.col("group_id"), F.lit(K.DOES_NOT_EXIST)))
+               .when(F.col("device_id").isNull(), F.lit(None))
+               .when(F.col("dev_type").isNull(),
+                     F.concat(F.lit(K.DEVICE_PREFIX), F.col("device_id"), F.lit(K.DOES_NOT_EXIST)))
+               .when(~smart, F.concat(F.lit(K.FAILED_TO_PUBLISH), cmd_text, F.lit(" for "), F.col("device_id"),
+                                      F.lit(K.NOT_SUPPORTED)))
+               .otherwise(F.concat(F.lit(K.PUBLISHED), F.col("device_id"))))
+    ok = F.coalesce(F.col("group_exists") & F.col("dev_type").isNotNull() & smart, F.lit(False))
+    return rows.select(*DOC_KEY, "ts", "group_pos", "group_id", "group_exists", "device_pos", "device_id",
+                       ok.alias("ok"), message.alias("message"),
+                       F.when(ok, T.command_topic(F.col("module_path"))).alias("cmd_topic"),
+                       F.when(ok, cmd_text).alias("cmd_payload"))
+
+
 def command_dispatch_status(routed: DataFrame, groups: DataFrame, registry_df: DataFrame,
                             registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """One status per command (and one per missing group).
@@ -54,29 +76,16 @@ def command_dispatch_status(routed: DataFrame, groups: DataFrame, registry_df: D
     -> 'Device X does not exist'; a type without commands -> 'Failed to
     publish ... Function not Supported'; else published on ``{path}/cmd``.
     """
-    grp = _group_exists(explode_command_groups(routed), groups)
-    missing = grp.where(~F.col("group_exists")).select(
-        *DOC_KEY, "ts", "group_pos", "group_id",
-        F.lit(None).cast("long").alias("device_pos"), F.lit(None).cast("string").alias("device_id"),
-        F.lit(False).alias("ok"),
-        F.concat(F.lit(K.GROUP_PREFIX), F.col("group_id"), F.lit(K.DOES_NOT_EXIST)).alias("message"),
-        F.lit(None).cast("string").alias("cmd_topic"), F.lit(None).cast("string").alias("cmd_payload"))
-    cmds = explode_commands(routed).where("device_id IS NOT NULL")
-    present = cmds.join(grp.where("group_exists").select(*DOC_KEY, "group_pos"), [*DOC_KEY, "group_pos"], "left_semi")
-    dev = _with_device(present, registry_df)
-    smart = F.col("dev_type").isin(*registry.smart_names)
-    cmd_text = F.col("command_text")
-    message = (F.when(F.col("dev_type").isNull(),
-                      F.concat(F.lit(K.DEVICE_PREFIX), F.col("device_id"), F.lit(K.DOES_NOT_EXIST)))
-               .when(~smart, F.concat(F.lit(K.FAILED_TO_PUBLISH), cmd_text, F.lit(" for "), F.col("device_id"),
-                                      F.lit(K.NOT_SUPPORTED)))
-               .otherwise(F.concat(F.lit(K.PUBLISHED), F.col("device_id"))))
-    ok = F.col("dev_type").isNotNull() & smart
-    statuses = dev.select(*DOC_KEY, "ts", "group_pos", "group_id", "device_pos", "device_id",
-                          F.coalesce(ok, F.lit(False)).alias("ok"), message.alias("message"),
-                          F.when(ok, T.command_topic(F.col("module_path"))).alias("cmd_topic"),
-                          F.when(ok, cmd_text).alias("cmd_payload"))
-    return statuses.unionByName(missing)
+    return dispatch_statuses(command_rows(routed, groups, registry_df, registry))
+
+
+def dispatch_statuses(rows: DataFrame) -> DataFrame:
+    """J7 over ``command_rows``."""
+    exists = F.col("group_exists")
+    one_per_group = F.col("device_pos").isNull() | (F.col("device_pos") == 0)
+    return (rows.where((exists & F.col("device_id").isNotNull()) | (~exists & one_per_group))
+            .withColumn("device_pos", F.when(exists, F.col("device_pos")))
+            .withColumn("device_id", F.when(exists, F.col("device_id"))).drop("group_exists"))
 
 
 def validate_commands(routed: DataFrame, groups: DataFrame, registry_df: DataFrame,
@@ -97,31 +106,28 @@ def validate_commands(routed: DataFrame, groups: DataFrame, registry_df: DataFra
         pick(2).alias("set_value"), pick(3).alias("new_status"))
 
 
-def gather_command_status(statuses: DataFrame, routed: DataFrame, groups: DataFrame) -> DataFrame:
-    """Device statuses -> one status per group -> one per building document.
+def gather_command_status(rows: DataFrame) -> DataFrame:
+    """A6 over ``command_rows``: device statuses -> one status per group -> one
+    per building document.
 
     Texts keep the reply wording as ``Success(...)`` / ``Error(...)`` items,
     ordered by position; existing groups without commands report
     ``Success([])``."""
     item = F.when(F.col("ok"), F.concat(F.lit("Success("), F.col("message"), F.lit(")"))) \
         .otherwise(F.concat(F.lit("Error("), F.col("message"), F.lit(")")))
-    dev_rows = statuses.where("device_pos IS NOT NULL")
-    per_group = (dev_rows.groupBy(*DOC_KEY, "group_pos")
-                 .agg(F.array_sort(F.collect_list(F.struct("device_pos", item.alias("t")))).alias("items"),
-                      F.count(F.when(F.col("ok"), 1)).alias("n_ok"),
-                      F.count(F.when(~F.col("ok"), 1)).alias("n_err")))
-    grp = _group_exists(explode_command_groups(routed), groups).join(per_group, [*DOC_KEY, "group_pos"], "left")
+    of_device = F.col("group_exists") & F.col("device_id").isNotNull()
+    grp = (rows.groupBy(*DOC_KEY, "group_pos", "group_id", "group_exists")
+           .agg(F.array_sort(F.collect_list(F.when(of_device, F.struct("device_pos", item.alias("t"))))).alias("items"),
+                F.count(F.when(of_device & F.col("ok"), 1)).alias("n_ok"),
+                F.count(F.when(of_device & ~F.col("ok"), 1)).alias("n_err")))
     gtext = F.when(~F.col("group_exists"),
                    F.concat(F.lit("Error(" + K.GROUP_PREFIX), F.col("group_id"), F.lit(K.DOES_NOT_EXIST + ")"))) \
-        .otherwise(F.concat(F.lit("Success(["),
-                            F.coalesce(F.array_join(F.transform("items", lambda s: s["t"]), ", "), F.lit("")),
-                            F.lit("])")))
+        .otherwise(F.concat(F.lit("Success(["), F.array_join(F.transform("items", lambda s: s["t"]), ", "), F.lit("])")))
     return (grp.groupBy(*DOC_KEY)
             .agg(F.array_sort(F.collect_list(F.struct("group_pos", gtext.alias("t")))).alias("g"),
                  F.count(F.lit(1)).alias("n_groups"),
                  F.count(F.when(~F.col("group_exists"), 1)).alias("n_missing_groups"),
-                 F.sum(F.coalesce("n_ok", F.lit(0))).cast("long").alias("n_published"),
-                 F.sum(F.coalesce("n_err", F.lit(0))).cast("long").alias("n_failed"))
+                 F.sum("n_ok").alias("n_published"), F.sum("n_err").alias("n_failed"))
             .select(*DOC_KEY, "n_groups", "n_missing_groups", "n_published", "n_failed",
                     F.concat(F.lit("Success(["), F.array_join(F.transform("g", lambda s: s["t"]), ", "),
                              F.lit("])")).alias("status")))

@@ -286,8 +286,7 @@ def gather_completeness(c: Ctx) -> DataFrame:
 
 
 def gather_command_status(c: Ctx) -> DataFrame:
-    s = C.command_dispatch_status(c.routed_commands, c.groups, c.registry, c.types)
-    return C.gather_command_status(s, c.routed_commands, c.groups)
+    return C.gather_command_status(C.command_rows(c.routed_commands, c.groups, c.registry, c.types))
 
 
 def list_buildings(c: Ctx) -> DataFrame:

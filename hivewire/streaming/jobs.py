@@ -318,13 +318,12 @@ def stream_command_status(spark: SparkSession, sf_dir: str, run: Run | None = No
 
     def job(batch: DataFrame, batch_id: int) -> None:
         decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings, keep_text=True)
-        routed = routed.persist()
-        statuses = C.command_dispatch_status(routed, fleet.groups, fleet.registry, c.types).persist()
-        out_w(C.gather_command_status(statuses, routed, fleet.groups), batch_id)
-        dispatch_w(statuses.where("ok").select("event_id", "building", "group_pos", "device_pos", "device_id",
-                                               "cmd_topic", "cmd_payload"), batch_id)
+        rows = C.command_rows(routed, fleet.groups, fleet.registry, c.types).persist()
+        out_w(C.gather_command_status(rows), batch_id)
+        dispatch_w(C.dispatch_statuses(rows).where("ok").select("event_id", "building", "group_pos", "device_pos", "device_id",
+                                                                "cmd_topic", "cmd_payload"), batch_id)
         bad_w(E.envelope_quarantine(decoded), batch_id)
-        for df in (statuses, routed, decoded):
+        for df in (rows, decoded):
             df.unpersist()
 
     _run_fleet(src, run, fleet, job)
@@ -380,19 +379,21 @@ def stream_registration(spark: SparkSession, sf_dir: str, state: str = "table")
 
 
 def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: request/reply gather with an idle timeout, event-time timers; the
-    sink keeps the latest status per request."""
+    """T5: request/reply gather with an idle timeout, event-time timers; every
+    request gets one result row, at the expected count or at the timeout.
+
+    A tick behind the last event (later than timeout and lateness) tells the
+    stream that time has passed, so the last gathers time out as well."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t5")
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").where(
         "event_type IN ('purchase', 'view')").select("user_id", "event_id", "ts", "event_type")
-    src = _replay(run, "events", ev, _bounds(c))
-    out = ST.idle_gather(src, feeds.GATHER_EXPECTED, feeds.GATHER_TIMEOUT_HOURS * 3600)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
-    u = spark.read.parquet(run.path("out"))
-    last = u.groupBy("user_id").agg(F.max_by(F.struct("request_ts", "accepted"), F.struct("batch", "seq")).alias("s"))
-    return last.select("user_id", "s.request_ts", "s.accepted",
-                       (F.col("s.accepted") == feeds.GATHER_EXPECTED).alias("complete"))
+    timeout = feeds.GATHER_TIMEOUT_HOURS * 3600
+    late = F.make_dt_interval(secs=F.lit(2 * (timeout + ST.LATENESS_SECONDS)))
+    tick = ev.agg((F.max("ts") + late).alias("ts"), F.max("user_id").alias("user_id")).where("ts IS NOT NULL").withColumn("event_type", F.lit("tick"))
+    src = _replay(run, "events", ev.unionByName(tick, allowMissingColumns=True), _bounds(c))
+    _run_batches(ST.idle_gather(src, feeds.GATHER_EXPECTED, timeout), run, idempotent_batch_writer(run.path("out")))
+    return _read_sink(run)
 
 
 def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:

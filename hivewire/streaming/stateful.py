@@ -105,27 +105,25 @@ class IdleGather(StatefulProcessor):
     def _timer(self, last_us: int) -> int:
         return (last_us + self.timeout_us) // 1000 + 1
 
-    def _out(self, key, request_us, accepted, done, seq) -> pd.DataFrame:
-        return pd.DataFrame({"user_id": [int(key[0])],
-                             "request_ts": [pd.Timestamp(request_us, unit="us")],
-                             "accepted": [int(accepted)], "done": [bool(done)], "seq": [int(seq)]})
+    def _out(self, key, st) -> pd.DataFrame:
+        return pd.DataFrame({"user_id": [int(key[0])], "request_ts": [pd.Timestamp(st[0], unit="us")],
+                             "accepted": [int(st[2])], "complete": [st[2] >= self.expected]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _rows(rows, ["ts", "event_id"])
         if df.empty:
             return
         st = list(self.g.get()) if self.g.exists() else None
-        changed = False
-        seq = 0
+        if st is not None and st[3]:
+            return
         for ts, kind in zip(df["ts"], df["event_type"]):
             t_us = int(pd.Timestamp(ts).value // 1_000)
             if kind == "purchase":
                 if st is None:
                     st = [t_us, t_us, 0, False]
                     self.handle.registerTimer(self._timer(t_us))
-                    changed, seq = True, t_us
                 continue
-            if st is None or st[3] or t_us <= st[0]:
+            if kind != "view" or st is None or st[3] or t_us <= st[0]:
                 continue
             self.handle.deleteTimer(self._timer(st[1]))
             if t_us - st[1] > self.timeout_us:
@@ -137,11 +135,10 @@ class IdleGather(StatefulProcessor):
                     st[3] = True
                 else:
                     self.handle.registerTimer(self._timer(t_us))
-            changed, seq = True, t_us
         if st is not None:
             self.g.update(tuple(st))
-        if changed:
-            yield self._out(key, st[0], st[2], st[3], seq)
+            if st[3]:
+                yield self._out(key, st)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.g.exists():
@@ -149,21 +146,24 @@ class IdleGather(StatefulProcessor):
             if not st[3]:
                 st[3] = True
                 self.g.update(tuple(st))
-                yield self._out(key, st[0], st[2], True, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+                yield self._out(key, st)
 
     def close(self) -> None:
         pass
 
 
-def idle_gather(events: DataFrame, expected: int, timeout_s: float, lateness: str = "1 hour") -> DataFrame:
-    """``events``: user_id, event_id, ts, event_type ('purchase' opens, 'view' replies).
-    Rows up to ``lateness`` older than the newest row of an earlier micro-batch
-    are still taken; timers wait as long."""
+LATENESS_SECONDS = 3600
+
+
+def idle_gather(events: DataFrame, expected: int, timeout_s: float, lateness: int = LATENESS_SECONDS) -> DataFrame:
+    """``events``: user_id, event_id, ts, event_type ('purchase' opens, 'view' replies;
+    any other row only moves the time).  One row per gather, when it closes.
+    Rows up to ``lateness`` seconds older than the newest row of an earlier
+    micro-batch are still taken; timers wait as long."""
     _use_rocksdb(events)
-    e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    e = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", f"{lateness} seconds")
     return (e.groupBy("user_id").transformWithStateInPandas(
-        IdleGather(expected, timeout_s),
-        "user_id LONG, request_ts TIMESTAMP_NTZ, accepted LONG, done BOOLEAN, seq LONG",
+        IdleGather(expected, timeout_s), "user_id LONG, request_ts TIMESTAMP_NTZ, accepted LONG, complete BOOLEAN",
         "append", "EventTime"))
 
 

@@ -80,7 +80,7 @@ def test_commands(spark):
     valid = {r.device_id: (r.valid, r.set_value, r.new_status) for r in C.validate_commands(routed, groups, reg).collect()}
     assert valid["hall"] == (True, 19.5, None) and valid["cell-z"] == (True, None, "off") and not valid["kitchen"][0]
     roll = {r.building: (r.n_published, r.n_failed, r.n_missing_groups)
-            for r in C.gather_command_status(status, routed, groups).collect()}
+            for r in C.gather_command_status(C.command_rows(routed, groups, reg)).collect()}
     assert roll == {"harbour": (2, 0, 1), "mill": (1, 1, 0)}
 
 

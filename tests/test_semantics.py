@@ -8,6 +8,7 @@ from hivewire.operators import envelopes as E
 from hivewire.operators import query as Q
 from hivewire.operators import registry as R
 from hivewire.operators import state as S
+from hivewire.operators.devices import BATTERY, THERMOSTAT, DeviceType, Field, Registry
 from hivewire.operators.latest import delivered_readings, latest_per_device, replay_since_registration
 from tests.helpers import buildings_df, docs_df, log_df, register, requests_df
 
@@ -201,3 +202,23 @@ def test_14_strict_types_and_reason_order(spark):
         (5, 5, PATH, {"deviceId": "d", "value": 1, "unit": "C", "timestamp": "t", "extra": [1]})])
     got = {r.msg_offset: r.reason for r in D.decode_thermostat(tel).collect()}
     assert got == {1: "malformed", 2: "malformed", 3: "deviceId", 4: "value", 5: None}
+
+
+def test_a_plugged_in_type_keeps_its_own_fields(spark):
+    """A type with a field that no default type has, through A3, J6 and A4."""
+    hygro = DeviceType("hygro", (Field("deviceId", "string"), Field("humidity", "number"), Field("timestamp", "string")))
+    types = Registry((THERMOSTAT, BATTERY, hygro))
+    path = f"/{B}/g1/air/h1"
+    reqs = requests_df(spark, [(1, 1, B, register(B, "g1", "h1", "hygro", path))])
+    tel = log_df(spark, [(1, 5, path, {"deviceId": "h1", "humidity": 41.5, "timestamp": "t"}),
+                         (2, 9, path, {"deviceId": "h1", "humidity": "wet", "timestamp": "t"})])
+    reg, groups = R.device_registry(reqs, types), R.list_groups(reqs)
+    assert [r.humidity for r in latest_per_device(tel, reg, types).collect()] == [41.5]
+    routed = Q.routed_queries(docs_df(spark, [(9, 100, {"buildings": [{"building": B, "groupList": {
+        "queryId": "q", "groups": [{"group": "g1", "devices": ["h1"]}]}}]})]), buildings_df(spark, [B]))
+    qg = E.explode_query_groups(routed)
+    known = Q.query_known_devices(E.devices_of_groups(qg), reg)
+    readings = Q.asked_readings(tel, known, reg, types)
+    assert [r.humidity for r in Q.query_latest_values(known, readings, types).collect()] == [41.5]
+    res = Q.gather_query_results(Q.query_replies(qg, readings, reg, groups, types), qg).collect()[0].results
+    assert json.loads(res[0].json) == {"deviceId": "h1", "humidity": 41.5, "timestamp": "t"}

@@ -2,9 +2,12 @@
 equal the batch operators, also when a micro-batch fails at one of its writes
 and is replayed."""
 
+import json
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from hivewire.operators import command as C
 from hivewire.plans import catalog as CAT
 from hivewire.sources.topic_log import idempotent_batch_writer
 from hivewire.streaming import jobs
@@ -84,3 +87,28 @@ def test_a_slice_is_written_in_parallel(spark, tmp_path):
     while feed.release():
         n += 1
     assert n == RP.LEAST_SLICES and spark.read.parquet(str(tmp_path / "in")).count() == 4000
+
+
+def test_answers_are_written_as_messages_per_topic(spark):
+    """Every result of T6 is also a JSON message under Query-results-{building}."""
+    run = jobs.Run(spark, "t6-test")
+    out = {(r.event_id, r.building): r.n_items for r in jobs.stream_query_answers(spark, SF_SMALL, run).collect()}
+    sent = spark.read.parquet(run.path("messages")).collect()
+    assert {(r.event_id, r.building): len(json.loads(r.value)["results"]) for r in sent} == out
+    assert all(r.out_topic == f"Query-results-{json.loads(r.value)['buildingId']}" for r in sent)
+
+
+def test_commands_are_dispatched_under_their_topics(spark):
+    run = jobs.Run(spark, "t7-test")
+    jobs.stream_command_status(spark, SF_SMALL, run)
+    cols = ["event_id", "building", "group_pos", "device_pos", "device_id", "cmd_topic", "cmd_payload"]
+    c = CAT.Ctx(spark, SF_SMALL)
+    want = C.command_dispatch_status(c.routed_commands, c.groups, c.registry, c.types).where("ok").select(*cols)
+    got = spark.read.parquet(run.path("dispatch")).select(*cols)
+    assert rows(got) == rows(want) and got.count() > 0
+    assert all(r.cmd_topic.endswith("/cmd") for r in got.collect())
+
+
+def test_a_gather_emits_one_row(spark):
+    got = jobs.stream_gather(spark, SF_SMALL)
+    assert got.count() == got.select("user_id").distinct().count() > 0
