@@ -13,6 +13,8 @@ from hivewire.llm import bpe, decontaminate, langid, minhash, quality
 from hivewire.llm.common import prepare, written
 from hivewire.sources.tables import read_table
 
+NEAR_PERCENT = 80       # op10_minhash alone links from 85 on
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
@@ -25,8 +27,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return minhash.deduplicated(docs)
+    """One document of each group of near-duplicates (Jaccard similarity from 0.8 on) stays."""
+    return minhash.deduplicated(docs, percent=NEAR_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

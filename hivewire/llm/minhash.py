@@ -18,6 +18,7 @@ shuffled per band; texts travel once per verified pair.
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 from typing import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import components, join_unique, mix64, prepare, seeds, shingle_sets, small, written
 
 T, ROWS = 120, 5          # coordinates, coordinates per band (24 bands)
-PERCENT = 85              # links: 100 * intersection >= PERCENT * union
+PERCENT = 85              # links: 100 * intersection >= PERCENT * union, unless the caller says otherwise
 CHUNK = 200               # members verified against one copy of their leader
 BLOCK = 200               # vertices per side of a block in the second pass
 
@@ -88,8 +89,8 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["rid", "doc_id", "th", "n_shingles", "set_key", "bands"])
 
 
-def linked(inter: int, a: int, b: int) -> bool:
-    return 100 * inter >= PERCENT * (a + b - inter)
+def linked(inter: int, a: int, b: int, percent: int = PERCENT) -> bool:
+    return 100 * inter >= percent * (a + b - inter)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -98,7 +99,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _verify_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (leader, chunk, kind): the leader's text, then members."""
     head, at = None, None
     for b in batches:
@@ -109,7 +110,7 @@ def _verify_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 if at != (leader, chunk):
                     head, at = s, (leader, chunk)
                 continue
-            if 100 * min(s.size, head.size) >= PERCENT * max(s.size, head.size) and linked(_common(s, head), s.size, head.size):
+            if 100 * min(s.size, head.size) >= percent * max(s.size, head.size) and linked(_common(s, head), s.size, head.size, percent):
                 ea.append(leader)
                 eb.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(ea, pa.int64()), pa.array(eb, pa.int64())], names=["a", "b"])
@@ -123,7 +124,7 @@ class _Union(dict):
         return x
 
 
-def block_links(left: list, right: list | None) -> list[tuple[int, int]]:
+def block_links(left: list, right: list | None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Spanning links between the vertices ``(v, comp, set)`` of a block
     (``right`` None) or of two blocks, across components only.  An inverted
     index over the larger side counts intersections; pairs that earlier links
@@ -142,7 +143,7 @@ def block_links(left: list, right: list | None) -> list[tuple[int, int]]:
             continue
         first = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n)
         inter = np.bincount(owner[first + np.arange(n.sum())], minlength=len(other))
-        for j in np.nonzero(100 * inter >= PERCENT * (sizes + s.size - inter))[0]:
+        for j in np.nonzero(100 * inter >= percent * (sizes + s.size - inter))[0]:
             w, comp_w, _ = other[j]
             if (right is None and j <= i) or uf.find(comp) == uf.find(comp_w):
                 continue
@@ -151,14 +152,14 @@ def block_links(left: list, right: list | None) -> list[tuple[int, int]]:
     return out
 
 
-def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (bkey, bi, bj): all vertices of a block pair come together."""
     at, left, right = None, {}, {}
 
     def close():
         if not left or (at and at[1] != at[2] and not right):
             return []
-        return block_links(list(left.values()), None if at[1] == at[2] else list(right.values()))
+        return block_links(list(left.values()), None if at[1] == at[2] else list(right.values()), percent)
 
     for b in batches:
         found = []
@@ -185,10 +186,12 @@ def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
     return d.join(k, (d["th"] == k["th"]) & d["_id"].eqNullSafe(k["_doc"])).select("v", F.col("text").cast("binary").alias("text"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept`` and
     ``rid, th, first`` (row number, text hash, and whether the row is the one
-    that stays when repeated ids are told apart).
+    that stays when repeated ids are told apart).  Documents link from ``percent``
+    hundredths of Jaccard similarity on (the bands miss a pair at 0.85 with
+    8e-7, at 0.8 with 7e-5).
 
     Null, empty and blank texts have no shingles and link with nothing; they
     are their own component.  Equal texts link, also under a null or repeated
@@ -210,9 +213,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = base.select(F.col("rid").alias("v"), "doc_id", "th")
     named = pairs.select("v").unionByName(pairs.select(F.col("leader").alias("v"))).distinct()
     texts = written(_texts(docs, written(keys.join(named, "v", "left_semi"), "named")), "texts")
-    edges = written(_star_edges(pairs, texts), "links")
+    edges = written(_star_edges(pairs, texts, percent), "links")
     comp = components(edges)
-    edges2 = _second_pass(held, buckets, comp, texts)
+    edges2 = _second_pass(held, buckets, comp, texts, percent)
     if edges2 is not None:
         comp = components(edges.unionByName(edges2))
     of_rep = written(reps.join(comp, "v", "left").select("set_key", "min_doc", F.coalesce("comp", "v").alias("comp"), "v"), "reps2")
@@ -226,7 +229,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.when(single, F.col("rid")).otherwise(F.col("comp")).alias("comp"))
 
 
-def _star_edges(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _star_edges(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Verified links between leaders and members.  A leader's members are dealt
     to chunks of about ``CHUNK``, each with its own copy of the leader's text."""
     size = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
@@ -237,10 +240,10 @@ def _star_edges(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                         F.lit(0).alias("kind"), F.col("leader").alias("v"))
     work = written(chunked.unionByName(heads), "work").join(texts, "v")
     return (work.select("leader", "chunk", "kind", "v", "text").repartition("leader", "chunk")
-            .sortWithinPartitions("leader", "chunk", "kind").mapInArrow(_verify_stars, "a long, b long"))
+            .sortWithinPartitions("leader", "chunk", "kind").mapInArrow(partial(_verify_stars, percent=percent), "a long, b long"))
 
 
-def _second_pass(held: DataFrame, buckets: DataFrame, comp: DataFrame, texts: DataFrame) -> DataFrame | None:
+def _second_pass(held: DataFrame, buckets: DataFrame, comp: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
     """Links across components inside buckets that the stars left apart (None
     if there are no such buckets).  Buckets with the same members count once;
     a bucket of more than ``BLOCK`` vertices is dealt to block pairs."""
@@ -258,16 +261,16 @@ def _second_pass(held: DataFrame, buckets: DataFrame, comp: DataFrame, texts: Da
     work = rows.select("bkey", "v", "comp", "sub", F.explode(other).alias("o")).select(
         "bkey", F.least("sub", "o").alias("bi"), F.greatest("sub", "o").alias("bj"), "sub", "v", "comp")
     found = (work.join(texts, "v").repartition("bkey", "bi", "bj").sortWithinPartitions("bkey", "bi", "bj")
-             .mapInArrow(_verify_blocks, "a long, b long"))
+             .mapInArrow(partial(_verify_blocks, percent=percent), "a long, b long"))
     return written(found, "links2")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` (all its columns) with one document of each group: the smallest
     id; a null id only stays when the group has no other, and of repeated rows
     one stays.  Rows are matched by id and text hash, so any table of
     documents with repeated or null ids keeps its meaning."""
-    got = written(near_duplicates(docs), "dedup")
+    got = written(near_duplicates(docs, percent=percent), "dedup")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
     stay = got.groupBy("comp").agg(F.min(order).alias("m")).select(F.col("m.rid").alias("rid"))
     keep = written(got.join(stay, "rid", "left_semi").select("doc_id", "th"), "stay")

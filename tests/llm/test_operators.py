@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from hivewire.llm import (bpe, common, decontaminate, embed_dedup, langid, licenses, minhash, packing, quality, sharding,
                           url_graph)
 from hivewire.sources.tables import read_table
@@ -387,3 +388,33 @@ def test_sketch_fills_and_estimates():
     sk = minhash.sketch([a, b, one, one])
     assert (sk != np.uint64(0xFFFFFFFFFFFFFFFF)).all() and (sk[2] == sk[3]).all()
     assert abs((sk[0] == sk[1]).mean() - 800 / 1200) < 0.2
+
+
+def test_pipeline_stage_links_from_80_on(spark, monkeypatch):
+    """Copies at 0.80 to 0.85 go in the pipeline's stage, against brute force at 0.8; op10 keeps 0.85."""
+    monkeypatch.setattr(minhash, "BLOCK", 9)
+    r, texts = random.Random(11), []
+    for k in range(12):
+        base = prose(200 + k, 100).split()
+        texts.append(" ".join(base))
+        for edits in ((20, 70), (50,), (10, 45, 80), (30, 33, 60)):
+            copy = list(base)
+            for at in edits:
+                copy[at] = prose(r.random(), 1) + "x"
+            texts.append(" ".join(copy))
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+
+    def groups(percent):
+        comp = list(range(len(texts)))
+        for i in range(len(texts)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                    a, b = comp[i], comp[j]
+                    comp = [min(a, b) if c in (a, b) else c for c in comp]
+        return comp
+
+    df = docs_df(spark, texts)
+    assert len(set(groups(80))) < len(set(groups(85)))
+    assert sorted(q.doc_id for q in corpus_pipeline.near_dedup_stage(spark, df, SF_SMALL).collect()) == sorted(set(groups(80)))
+    got = {q.doc_id: q.component_id for q in minhash.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(texts))] == groups(85)
