@@ -5,6 +5,10 @@ largest class that fits into it, from its first words and up to its last ones.
 Windows of every class slide over the whole text in steps of ``STRIDE`` words,
 and an item has a window for each of ``STRIDE`` shifts, so an item at any place
 of a text meets one of its windows word for word (short items: steps of one).
+Steps start at each text's own first word.  Smaller windows of every item, in
+runs of ``STRIDE`` successive shifts, lie in whatever part of it is left when
+words are missing at its ends: a copy that is still similar enough meets one
+word for word too, alone or inside other text.
 The 64-bit SimHash of a window comes from prefix sums.  A multi-index over four 16-bit
 blocks, each with all values one bit away, finds every fingerprint within
 ``RADIUS`` = 7 bits (of 8 differing bits at most one block can have two or
@@ -55,6 +59,26 @@ def size_class(n: int) -> int:
     return c
 
 
+def shortest_run(n: int, least: float) -> int:
+    """Words of the shortest part of an item of ``n`` words that alone is similar enough."""
+    return MIN_WORDS - 1 + max(1, math.ceil(least * (n - MIN_WORDS + 1) - 1e-9))
+
+
+def part_windows(n: int, least: float) -> tuple[int, int, list[int]]:
+    """Window size, step and shifts such that every run of ``shortest_run`` words of
+    an item of ``n`` words holds a window at any place against the step."""
+    run = shortest_run(n, least)
+    if n < SHORT or run - STRIDE + 1 < 2 * STRIDE:
+        return run, 1, list(range(n - run + 1))
+    c = size_class(max(2 * STRIDE, run - max(STRIDE - 1, run // 3)))
+    room = run - c - STRIDE + 2             # first shifts at which a run of STRIDE shifts fits
+    shifts: set[int] = set()
+    for first in range(0, n - run + 1, room):
+        at = min(first + room - 1, n - c - STRIDE + 1)
+        shifts.update(range(at, at + STRIDE))
+    return c, STRIDE, sorted(shifts)
+
+
 def prefix_sums(h: np.ndarray, step: int) -> np.ndarray:
     """Running counts of set bits of the words' hashes, every ``step`` words
     (16 bits hold a segment)."""
@@ -78,9 +102,9 @@ def fingerprints(sums: np.ndarray, size: int, step: int) -> np.ndarray:
 class Index:
     """Fingerprints of benchmark items by size class, with their multi-index."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least: float = SIMILARITY):
         self.items = []
-        by_class: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        by_class: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
         for item_id, text in items:
             h = words([text])[0]
             if h.size < MIN_WORDS:
@@ -90,11 +114,13 @@ class Index:
             c = c if stride > 1 else h.size
             self.items.append((item_id, h.size, Counter(shingle_hashes(h).tolist())))
             last = h.size - c
-            fp = fingerprints(prefix_sums(h, 1), c, 1)
-            for back in sorted({*range(stride), *range(last - stride + 1, last + 1)}):
-                by_class.setdefault((c, stride), []).append((int(fp[back]), i, back))
+            for c, stride, shifts in ((c, stride, {*range(stride), *range(last - stride + 1, last + 1)}),
+                                      part_windows(h.size, least)):
+                fp = fingerprints(prefix_sums(h, 1), c, 1)
+                by_class.setdefault((c, stride), set()).update((int(fp[back]), i, back) for back in shifts)
         self.classes = []
         for (c, stride), rows in sorted(by_class.items()):
+            rows = sorted(rows, key=lambda r: r[1:])
             fp = np.array([f for f, _, _ in rows], dtype=np.uint64)
             near = np.concatenate(([0], 1 << np.arange(BITS))).astype(np.int64)
             part = fp.view(np.uint16).reshape(-1, BLOCKS).astype(np.int64)
@@ -108,7 +134,8 @@ class Index:
 
     def candidates(self, h: np.ndarray, doc: np.ndarray) -> set[tuple[int, int, int]]:
         """(text, start of the item-sized window, item) of all fingerprints within
-        the radius; ``h`` holds the words of several texts, ``doc`` their numbers."""
+        the radius; ``h`` holds the words of several texts, ``doc`` their numbers
+        (-1: no text's word); steps start at word 0."""
         found: set[tuple[int, int, int]] = set()
         if not self.classes:
             return found
@@ -126,7 +153,7 @@ class Index:
                     near |= blocks[k][0][part[:, k]]
                 near = np.flatnonzero(near)
                 first = at + near * stride
-                near = near[doc[first] == doc[first + c - 1]]
+                near = near[(doc[first] >= 0) & (doc[first] == doc[first + c - 1])]
                 for k, (_, offset, rows) in enumerate(blocks):
                     value = part[near, k]
                     lo = offset[value]
@@ -147,19 +174,29 @@ class Index:
         """Per text the best (similarity, -start word) per item of its verified matches."""
         best: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
         for lo, hi in _runs(texts):
-            h, begin = words(texts[lo:hi])
+            h, doc, begin, end = _aligned(*words(texts[lo:hi]))
             runs: dict[int, np.ndarray] = {}
-            doc = np.repeat(np.arange(hi - lo), np.diff(begin))
             for d, at, item in self.candidates(h, doc):
                 start = max(0, at - int(begin[d]))
                 if d not in runs:
-                    runs[d] = shingle_hashes(h[begin[d]:begin[d + 1]])
+                    runs[d] = shingle_hashes(h[begin[d]:end[d]])
                 s = self.similarity(runs[d][start:max(start + 1, start + self.items[item][1] - 4)].tolist(), item)
                 if s >= least:
                     best[lo + d][item] = max(best[lo + d].get(item, (0.0, 0)), (s, -start))
         return best
 
 
+def _aligned(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words with every text moved to a multiple of ``STRIDE``, the text of every
+    word (-1 in between), and where each text begins and ends."""
+    n = np.diff(begin)
+    first = np.concatenate(([0], np.cumsum(-(-n // STRIDE) * STRIDE)))
+    out, doc = np.zeros(first[-1], dtype=h.dtype), np.full(first[-1], -1)
+    at = np.arange(h.size) + np.repeat(first[:-1] - begin[:-1], n)
+    out[at], doc[at] = h, np.repeat(np.arange(n.size), n)
+    return out, doc, first[:-1], first[:-1] + n
+
+
 def _runs(texts: list[str | None], most: int = 1 << 22) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about four million characters."""
     lo, size = 0, 0
@@ -195,7 +232,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for last, part in slices(benchmark):
         def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            index = Index(part)
+            index = Index(part, least)
             for b in batches:
                 rows = [(i, index.items[k][0], s, -start)
                         for i, m in zip(b.column("doc_id").to_pylist(), index.matches(b.column("text").to_pylist(), least))
@@ -214,7 +251,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> D
     names, out = docs.columns, docs
     for last, part in slices(benchmark):
         def keep(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            index = Index(part)
+            index = Index(part, least)
             for b in batches:
                 ok = [not m for m in index.matches(b.column("_leak_text").to_pylist(), least)]
                 yield b.select(names).filter(pa.array(ok, pa.bool_()))

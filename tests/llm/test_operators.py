@@ -243,6 +243,26 @@ def test_decontamination(spark, odd, none, monkeypatch, slice_bytes):
     assert decontaminate.clean(odd, benchmark_df(spark, [])).count() == len(ODD_TEXTS)
 
 
+def test_shortened_items_at_every_alignment():
+    """Parts of items that alone are similar enough are found, whatever text stands before
+    them in the batch; similar embedded ones at every place of their text."""
+    for n in (9, 10, 11, 12, 13, 14, 15, 22, 38, 51, 59, 99, 400):
+        item = prose(300 + n, n).split()
+        index = decontaminate.Index([(7, " ".join(item))])
+        most = n - decontaminate.shortest_run(n, decontaminate.SIMILARITY)
+        cuts = sorted({(a, b) for b in range(most + 1) for a in {0, b // 2, b}})
+        alone = [" ".join(item[a:n - b + a]) for a, b in cuts]
+        for shift in range(4):
+            got = index.matches([prose(1, 20 + shift), *alone])
+            assert not got[0]
+            for (a, b), m in zip(cuts, got[1:]):
+                assert m and abs(m[0][0] - (n - b - 4) / (n - 4)) < 1e-9, (n, a, b, shift)
+        lost = (n - 4) // 9
+        inside = [" ".join((prose(2, 20 + shift), " ".join(item[:n - lost]), prose(3, 40))) for shift in range(4)]
+        inside += [" ".join((prose(2, 20 + shift), " ".join(item[lost:]), prose(3, 40))) for shift in range(4)]
+        assert all(index.matches(inside)), n
+
+
 def test_multi_index_finds_all_within_the_radius():
     r = np.random.default_rng(2)
     index = decontaminate.Index([(k, prose(k, 40)) for k in range(20)])
