@@ -14,15 +14,17 @@ from typing import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
 
 SAMPLE_SLOTS = 96           # at most so many sampled texts a language
-SAMPLE_BYTES = 6_000        # texts that may be sampled are no longer than this
+SAMPLE_BYTES = 6_000        # texts up to this size are sampled whole, longer ones by passages
+PASSAGES, PASSAGE = 16, SAMPLE_BYTES // 4       # at most so many passages a text; characters of each
 DICT_BYTES = 96_000         # dictionary size a language
-MAX_LANGUAGES = 64          # the most frequent languages are learnt
+FULL_LANGUAGES = 64         # all are learnt; beyond so many, slots and dictionaries shrink
+LEAST_BYTES = 8             # zstandard takes no smaller dictionary
 BLOCK = 4_096               # bytes compressed at a time
 LEVEL = 6
 MARGIN = 0.002              # narrower relative margins are rejected
@@ -40,27 +42,43 @@ def learn(docs: DataFrame) -> dict[str, bytes]:
 
     Rows are dealt to ``SAMPLE_SLOTS`` hash slots per language and each slot
     keeps the row with the smallest hash (a grouped minimum, combined before
-    the shuffle), so the sample is bounded whatever the table's size."""
+    the shuffle), so the sample is bounded whatever the table's size.  A longer
+    text gives hashed passages, which stay in slots without a short text.  Every
+    language with a text is learnt; beyond ``FULL_LANGUAGES`` each has fewer
+    slots and a smaller dictionary, so that their total stays about the same."""
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & (F.crc32("id") % FOLDS != HELD_OUT_FOLD))
-    top = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    h = F.xxhash64("text")
-    ok = rows.where(F.octet_length("text").between(1, SAMPLE_BYTES) & F.col("lang").isin(top))
-    picked = (ok.groupBy("lang", F.pmod(h, F.lit(SAMPLE_SLOTS)).alias("slot"))
-              .agg(F.min(F.struct(F.xxhash64("text", F.lit(1)).alias("h"), "text")).alias("m")).collect())
+    rows = rows.where(F.col("lang").isNotNull() & (F.crc32("id") % FOLDS != HELD_OUT_FOLD) & (F.octet_length("text") > 0))
+    languages = max(FULL_LANGUAGES, rows.select("lang").distinct().count())
+    slots = max(1, SAMPLE_SLOTS * FULL_LANGUAGES // languages)
+    size = max(LEAST_BYTES, DICT_BYTES * FULL_LANGUAGES // languages)
+    long = F.octet_length("text") > SAMPLE_BYTES
+    ok = rows.where(~long).select("lang", F.lit(False).alias("long"), "text").unionByName(
+        rows.where(long).select("lang", F.lit(True).alias("long"), F.explode(_passages(F.col("text"))).alias("text"))
+        .where(F.replace("text", F.left("text", F.lit(1)), F.lit("")) != ""))      # one letter repeated says nothing
+    picked = (ok.groupBy("lang", F.pmod(F.xxhash64("text"), F.lit(slots)).alias("slot"))
+              .agg(F.min(F.struct("long", F.xxhash64("text", F.lit(1)).alias("h"), "text")).alias("m")).collect())
+    sample: dict[str, list] = {}
+    for r in picked:
+        sample.setdefault(r["lang"], []).append(r["m"])
     out = {}
-    for lang in sorted(top):
-        parts, size = [], 0
-        for r in sorted((r["m"] for r in picked if r["lang"] == lang), key=lambda m: (m["h"], m["text"])):
-            parts.append(r["text"].lower().encode())
-            size += len(parts[-1]) + 1
-        if size >= 8:
-            # zstandard prefers recent content: what is cut off is the oldest
-            out[lang] = b"\n".join(parts)[-DICT_BYTES:]
+    for lang in sorted(sample):
+        raw = b"\n".join(m["text"].lower().encode() for m in sorted(sample[lang], key=lambda m: (m["h"], m["text"])))
+        # zstandard prefers recent content: what is cut off is the oldest
+        out[lang] = (raw if len(raw) >= LEAST_BYTES else (raw + b"\n") * LEAST_BYTES)[-size:]
     return out
 
 
+def _passages(text: Column) -> Column:
+    """Up to ``PASSAGES`` passages of a long text: one at a hashed place of each of as many equal parts."""
+    n = F.char_length(text)
+    parts = F.least(F.lit(PASSAGES), F.greatest(F.lit(1), F.floor(n / PASSAGE))).cast("int")
+    width = F.floor(n / parts).cast("int")
+    free = F.greatest(F.lit(0), width - PASSAGE) + 1
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.substring(
+        text, (i * width + F.pmod(F.xxhash64(text, i), free) + 1).cast("int"), F.lit(PASSAGE)))
+
+
 class Classifier:
     """Compressors of all languages; made once per task."""
 

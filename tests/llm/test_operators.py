@@ -294,6 +294,30 @@ def test_language_accuracy(spark, odd, none):
     assert kept.columns == docs.columns and kept.count() > 0.98 * docs.count()
 
 
+def test_every_language_is_learnt(spark):
+    """Also the rare ones beyond 64, those with long texts only, and one with a short word only."""
+    def text(k, seed, n):       # own letters per language
+        r = random.Random(seed)
+        return " ".join("".join(chr(0x4e00 + 20 * k + r.randrange(20)) for _ in range(r.randint(1, 2))) for _ in range(n))
+
+    texts, langs = [], []
+    for k in range(70):
+        for j in range(6 if k < 65 else 4):
+            texts.append(text(k, 100 * k + j, 3000 if k >= 67 else 60))
+            langs.append(f"l{k:02}")
+    texts += ["ок"] * 3
+    langs += ["ru"] * 3
+    ids = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % langid.FOLDS != langid.HELD_OUT_FOLD][:len(texts)]
+    docs = docs_df(spark, texts, ids, langs=dict(enumerate(langs)))
+    common.prepare(spark)
+    content = langid.learn(docs)
+    assert set(content) == set(langs)
+    assert sum(map(len, content.values())) <= langid.FULL_LANGUAGES * langid.DICT_BYTES and min(map(len, content.values())) >= 8
+    probe = docs_df(spark, [text(k, 7 + k, 50) for k in range(70)], range(10_000, 10_070), langs={i: None for i in range(70)})
+    got = {r.doc_id: r.lang_pred for r in langid.predicted(docs.unionByName(probe)).collect()}
+    assert [got[10_000 + k] for k in range(70)] == [f"l{k:02}" for k in range(70)]
+
+
 def test_quality_accuracy(spark, odd, none):
     sf = "/root/testdata/sf0.01"
     docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels")
