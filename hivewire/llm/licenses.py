@@ -6,7 +6,10 @@ compared with license templates by the Dice coefficient over sets of word
 bigrams.  Sizes bound the coefficient: a part with n bigrams can only reach
 ``LEAST`` against a template with m if n lies between m * LEAST / (2 - LEAST)
 and m * (2 - LEAST) / LEAST, so most parts are pruned by their word counts and
-most templates by the number of bigrams.  Everything is row-local: no shuffle.
+most templates by the number of bigrams.  A notice among other words is found
+by passages: runs of up to ``RUN`` adjacent lines or sentences of a paragraph,
+made only for paragraphs with one of a few words without which no part reaches
+any template.  Everything is row-local: no shuffle.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import prepare
 
 LEAST = 0.85
+RUN = 4                 # adjacent lines or sentences that are compared together
 
 # Notices and texts of public licenses, as their publishers word them.
 TEMPLATES: dict[str, str] = {
@@ -68,11 +72,59 @@ def bounds(m: int, least: float) -> tuple[int, int]:
     return math.ceil(m * least / (2 - least) - 1e-9), math.floor(m * (2 - least) / least + 1e-9)
 
 
+def needed_words(known: list[tuple[str, list[str], int, int]]) -> list[str]:
+    """Words of which every part that reaches a template has one: without them
+    it would lack more bigrams than the template can spare.  Long words first."""
+    out: set[str] = set()
+    for _, grams, low, _ in known:
+        pairs = [g.split(" ") for g in grams]
+        for w in sorted({w for p in pairs for w in p}, key=lambda w: (w not in out, -len(w), w)):
+            if len(pairs) - sum(not out.isdisjoint(p) for p in pairs) < low:
+                break
+            out.add(w)
+    return sorted(out)
+
+
+def _runs(pieces: Column, most: int = RUN) -> Column:
+    """Words of all runs of up to ``most`` adjacent pieces."""
+    run = lambda k: F.when(F.size(pieces) >= k, F.transform(F.sequence(F.lit(1), F.size(pieces) - k + 1), lambda i: F.flatten(
+        F.slice(pieces, i, F.lit(k))))).otherwise(F.array().cast("array<array<string>>"))
+    return F.concat(*[run(k) for k in range(1, most + 1)])
+
+
+def _passages(docs: DataFrame, known: list, least: float) -> DataFrame:
+    """Best run of every paragraph ``docs(doc_id, part_no, x)`` for every license
+    that neither one of its lines nor the paragraph itself reaches."""
+    low, high = min(k[2] for k in known), max(k[3] for k in known)
+    lower = F.lower("x")
+    has = F.lit(False)
+    for w in needed_words(known):
+        has = has | F.contains(lower, F.lit(w))
+    sized = lambda c: F.transform(F.filter(c, lambda w: (F.size(w) > low) & (F.size(F.array_distinct(w)) - 1 <= high)), _bigrams)
+    rows = docs.where(has).select(
+        "doc_id", "part_no", F.transform(F.split("x", "\n"), _words).alias("lines"),
+        F.transform(F.split(F.regexp_replace("x", r"\s*\n\s*", " "), r"(?<=[.!?])\s+"), _words).alias("sentences"))
+    rows = rows.select("doc_id", "part_no", sized(F.concat("lines", F.array(F.flatten("lines")))).alias("own"),
+                       sized(F.concat(_runs(F.col("lines")), _runs(F.col("sentences")))).alias("runs"))
+
+    def best(c: str, grams: list[str], lo: int, hi: int) -> Column:
+        t = F.array(*[F.lit(g) for g in grams])
+        return F.array_max(F.transform(F.filter(c, lambda b: F.size(b).between(lo, hi)), lambda b: (
+            2 * F.size(F.array_intersect(b, t))) / (F.size(b) + len(grams))))
+
+    hits = [F.when(F.coalesce(best("own", *k[1:]), F.lit(0.0)) < least,
+                   F.struct(F.lit(k[0]).alias("license"), best("runs", *k[1:]).alias("dice"))) for k in known]
+    return rows.select("doc_id", F.lit("passage").alias("part"), "part_no", F.explode(F.filter(
+        F.array(*hits), lambda h: h["dice"] >= least)).alias("h")).select("doc_id", "part", "part_no", "h.license", "h.dice")
+
+
 def scanned(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """``doc_id, part, part_no, license, dice`` for every part of every document
     that reaches ``least`` against a template (``part``: ``line``, ``paragraph``
-    or ``text``, numbered from 0 in the text).
+    or ``text``, numbered from 0 in the text; ``passage``: the best run of lines or
+    sentences of the paragraph of that number, for licenses that no line of it
+    and not the paragraph itself reaches).
 
     Null and empty texts, and parts of fewer than two words, match nothing;
     equal parts of a text, repeated ids and null ids each give their own rows; a
@@ -94,9 +146,8 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
                                       lambda b: F.contains(b["x"], F.lit("\n"))), lambda b: part("paragraph", b["i"], b["x"]))
     whole = F.when(F.size(blocks) > 1, F.array(part("text", F.lit(0), text))).otherwise(F.array().cast(
         "array<struct<part:string,part_no:int,words:array<string>>>"))
-    parts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-             .where("text IS NOT NULL").select("doc_id", F.explode(F.concat(lines, paragraphs, whole)).alias("p"))
-             .select("doc_id", "p.*"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    parts = docs.select("doc_id", F.explode(F.concat(lines, paragraphs, whole)).alias("p")).select("doc_id", "p.*")
     # n words have at most n - 1 bigrams, and at least one less than they have different words
     near = parts.where((F.size("words") - 1 >= low) & (F.size(F.array_distinct("words")) - 1 <= high))
     near = near.select("doc_id", "part", "part_no", _bigrams(F.col("words")).alias("bigrams"))
@@ -104,8 +155,9 @@ def scanned(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     hits = [F.when(n.between(lo, hi), F.struct(F.lit(name).alias("license"), (
         2 * F.size(F.array_intersect("bigrams", F.array(*[F.lit(g) for g in grams]))) / (n + len(grams))).alias("dice")))
         for name, grams, lo, hi in known]
-    return (near.select("doc_id", "part", "part_no", F.explode(F.filter(F.array(*hits), lambda h: h["dice"] >= least)).alias("h"))
-            .select("doc_id", "part", "part_no", "h.license", "h.dice"))
+    whole_parts = (near.select("doc_id", "part", "part_no", F.explode(F.filter(F.array(*hits), lambda h: h["dice"] >= least)).alias("h"))
+                   .select("doc_id", "part", "part_no", "h.license", "h.dice"))
+    return whole_parts.unionByName(_passages(docs.select("doc_id", F.posexplode(blocks).alias("part_no", "x")), known, least))
 
 
 def _sql_text(x: str) -> str:

@@ -180,6 +180,28 @@ def test_licenses(spark, odd, none):
     assert licenses.scanned(odd).count() == 0 and licenses.scanned(none).count() == 0
 
 
+def test_notices_among_other_words(spark):
+    """A notice that shares its line, is wrapped inside a paragraph, or ends a text without line breaks."""
+    texts = ["Copyright 2020 Jane Doe. Released under the MIT License.",
+             "Some words before it\nThis work is licensed under the GNU General\nPublic License, version 3.\nand some words after it",
+             prose(1, 300) + ". " + licenses.TEMPLATES["MIT"] + " " + prose(2, 200),
+             "Title\n\n" + prose(3, 40) + ". " + licenses.TEMPLATES["MPL-2.0"] + " " + prose(4, 40),
+             "Released under the MIT License.\n" + prose(5, 3), "Released to the public under a license that is not named. " + prose(6, 30)]
+    got = {(r.doc_id, r.part, r.part_no, r.license): r.dice for r in licenses.scanned(docs_df(spark, texts)).collect()}
+    assert set(got) == {
+        (0, "passage", 0, "MIT-notice"), (1, "passage", 0, "GPL-3.0-notice"), (2, "passage", 0, "MIT"),
+        (3, "passage", 1, "MPL-2.0"), (4, "line", 0, "MIT-notice")}
+    assert min(got.values()) == 1.0
+
+
+def test_needed_words_are_needed(spark):
+    known = [(k, [f"{a} {b}" for a, b in zip(w, w[1:])], *licenses.bounds(len(w) - 1, licenses.LEAST))
+             for k, w in (("a", "one two three four five".split()), ("b", [f"w{i}" for i in range(60)]))]
+    words = set(licenses.needed_words(known))
+    for _, grams, low, _ in known:
+        assert sum(words.isdisjoint(g.split()) for g in grams) < low
+
+
 def test_size_bounds_are_exact():
     for m in range(1, 60):
         lo, hi = licenses.bounds(m, licenses.LEAST)
