@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontaminate, embed_dedup, langid, licenses, minhash, packing, quality, sharding, url_graph
+from . import (bpe, decontaminate, embed_dedup, langid, licenses, line_dedup, minhash, packing, quality, sharding, spelling,
+               url_graph, whitening)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +64,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the leading whitened components."""
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines dropped from every document, and a digest of what stays."""
+    return line_dedup.deduplicated(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of every frequent word."""
+    return spelling.grouped(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -73,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_graph": op8_url_graph,
     "op9_quality": op9_quality,
     "op10_minhash": op10_minhash,
+    "op11_whitening": op11_whitening,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_spelling": op13_spelling,
 }
 
 # Brute force over all pairs; components by the closure of the links.
@@ -107,4 +128,5 @@ FROM documents d JOIN comp ON comp.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d
 
 # The other operators are no SQL (learnt models, BPE, packing, greedy placement,
 # ranks): tests/llm compares them with brute force and round trips.
-SQL: dict[str, str] = {"op4_licenses": licenses.sql(), "op5_embeddings": _OP5_SQL, "op10_minhash": _OP10_SQL}
+SQL: dict[str, str] = {"op4_licenses": licenses.sql(), "op5_embeddings": _OP5_SQL, "op10_minhash": _OP10_SQL,
+                       "op12_line_dedup": line_dedup.sql()}
