@@ -129,4 +129,4 @@ FROM documents d JOIN comp ON comp.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d
 # The other operators are no SQL (learnt models, BPE, packing, greedy placement,
 # ranks): tests/llm compares them with brute force and round trips.
 SQL: dict[str, str] = {"op4_licenses": licenses.sql(), "op5_embeddings": _OP5_SQL, "op10_minhash": _OP10_SQL,
-                       "op12_line_dedup": line_dedup.sql()}
+                       "op12_line_dedup": line_dedup.sql(), "op13_spelling": spelling.sql()}

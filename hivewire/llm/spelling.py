@@ -191,3 +191,29 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     of_root = join_unique(written(named, "rooted"), v.select(F.col("wid").alias("root"), F.col("word").alias("root_word")), "root")
     return of_root.select("word", F.col("form.word").alias("form"), F.coalesce("root_word", "word").alias("root"), "n", "n_near",
                           F.col("form.n").alias("form_n"))
+
+
+def sql() -> str:
+    """The same rows as DuckDB SQL: checksums bit by bit, and near words by equal
+    deletions (a replacement leaves equal words without the same position)."""
+    return f"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+  CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+runs AS (SELECT doc_id, UNNEST(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, translate(w, '{_UPPER}', '{_LOWER}') AS w, COUNT(*) AS n FROM runs GROUP BY 1, 2),
+b AS (SELECT w, n, flatten(list_transform(string_split(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda c:
+  CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END)) AS bytes FROM r WHERE length(w) >= {LEAST_LENGTH}),
+h AS (SELECT w, n, xor(4294967295, list_reduce(bytes, lambda c, x: xor(t.t[1 + (xor(c, x) & 255)], c >> 8), 4294967295)) AS h FROM b, t),
+k AS (SELECT CASE WHEN h % {DROP_EVERY} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM k WHERE length(word) >= {LEAST_LENGTH} GROUP BY word HAVING SUM(n) >= {LEAST_COUNT}),
+d AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM (SELECT word, UNNEST(range(length(word))) AS i FROM v)),
+near AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, v.word FROM d JOIN v ON d.less = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.less = v.word),
+best AS (SELECT a AS word, COUNT(*) AS n_near, arg_min(struct_pack(b := b, n := v.n), struct_pack(m := -v.n, b := b)) AS top
+  FROM near JOIN v ON v.word = near.b GROUP BY a),
+f AS (SELECT v.word, v.n, COALESCE(n_near, 0) AS n_near, CASE WHEN top.n >= {FACTOR} * v.n THEN top.b END AS form,
+  CASE WHEN top.n >= {FACTOR} * v.n THEN top.n END AS form_n FROM v LEFT JOIN best ON best.word = v.word),
+path AS (SELECT word, word AS at FROM f UNION ALL SELECT path.word, f.form FROM path JOIN f ON f.word = path.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, path.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN path ON path.word = f.word JOIN f AS g ON g.word = path.at AND g.form IS NULL
+"""

@@ -52,7 +52,7 @@ def none(spark):
 
 def test_registered():
     names = [k for k in entry.queries() if k.startswith("op") and k[2].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", ["op4_licenses", "op5_embeddings", "op10_minhash"])
