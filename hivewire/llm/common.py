@@ -15,8 +15,9 @@ from ..session import apply_defaults, ensure_checkpoint_dir, scratch_path, ship_
 ARROW_ROWS, ARROW_BYTES = "500", "4m"
 # A side is broadcast by hint only up to this many (short, fixed-width) rows.
 BROADCAST_ROWS = 500_000
-# A key is hot from this many rows or this share of all rows on.
-HOT_ROWS, HOT_SHARE = 1_000, 1_000
+# A key is hot above a thousandth of all rows, but not below HOT_ROWS and always
+# above HOT_MOST rows (short rows: some hundred MB at most in a task).
+HOT_ROWS, HOT_SHARE, HOT_MOST = 100_000, 1_000, 2_000_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,7 +36,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` gave, once all that reads them is written."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -45,22 +64,27 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left", counts: DataFrame | None = None) -> DataFrame:
     """Join a written ``left`` with ``right`` (one row per ``key``) so that no
-    key of ``left`` meets in one task: keys with over ``total/HOT_SHARE`` rows
-    are at most ``HOT_SHARE`` many, and their ``right`` rows are broadcast;
-    the other keys shuffle.  Null keys match nothing and are not shuffled."""
-    if left.count() <= HOT_ROWS:
+    key of ``left`` meets in one task: the ``right`` rows of keys with over
+    ``HOT_MOST`` rows, or a thousandth of all and ``HOT_ROWS``, are split off
+    and broadcast (a thousand of them, or one for every ``HOT_MOST`` rows; by
+    hint only behind their count); the other keys shuffle.  ``counts(key, n)``
+    is taken where the caller has it.  Null keys match nothing and are not
+    shuffled."""
+    total = left.count()
+    if total <= HOT_ROWS:
         return left.join(right, key, how)
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    bound = max(HOT_ROWS, left.count() // HOT_SHARE)
-    hot = written(counts.where(F.col("_n") > bound).select(key), "hot")
+    if counts is None:
+        counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bound = min(HOT_MOST, max(HOT_ROWS, total // HOT_SHARE))
+    hot = written(counts.where(F.col("n") > bound).select(key), "hot")
     out, rest = [], left.where(F.col(key).isNotNull())
     if how == "left":
         out.append(left.where(F.col(key).isNull()))
     if not hot.isEmpty():
-        hot = F.broadcast(hot)
-        out.append(rest.join(hot, key, "left_semi").join(F.broadcast(right.join(hot, key, "left_semi")), key, how))
+        hot = small(hot)
+        out.append(rest.join(hot, key, "left_semi").join(small(written(right.join(hot, key, "left_semi"), "hot-rows")), key, how))
         rest = rest.join(hot, key, "left_anti")
     whole = rest.join(right, key, how)
     for part in out:

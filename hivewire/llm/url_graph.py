@@ -12,15 +12,18 @@ host's verdict.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_unique, prepare, written
+from .common import discard, join_unique, prepare, written
 
-DAMPING, ROUNDS, STILL = 0.85, 20, 1e-6
+DAMPING = 0.85
 DISTRUST = 1e-3        # least distrust, relative to one blocked seed's own
 SHARE = 0.5            # least share of distrust in distrust plus trust
+LEFT = 1e-3            # mass still to be spread when propagation ends, relative to the least distrust
+FOLD = 16              # rounds after which what came in is added up
 
 
 @dataclass(frozen=True)
@@ -71,29 +74,36 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def personalised_rank(edges: DataFrame, seeds: DataFrame, left: float, damping: float = DAMPING) -> DataFrame:
     """``host, score``: random walk along ``edges(src, dst, n)`` (chosen in proportion
     to ``n``) that restarts at the ``seeds`` with probability 1 - ``damping``;
-    walks that end at a host without links are not continued.  Every round is one
-    join and one grouped sum, written to the shared folder."""
+    walks that end at a host without links are not continued.
+
+    A round spreads what the last one brought in: one join and one grouped sum,
+    written to the shared folder.  All later rounds together bring in at most
+    ``damping / (1 - damping)`` of a round's mass, and rounds end when that is no
+    more than ``left``: no score is short by more, however far the walk goes.
+    The mass falls by ``damping`` a round at least, so that point comes."""
     count = seeds.count()
     start = seeds.select("host", F.lit((1 - damping) / max(1, count)).alias("score"))
     if not count or edges.isEmpty():
         return start
     out = edges.groupBy("src").agg(F.sum("n").alias("out"))
     weight = written(join_unique(edges, out, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("w")), "weights")
-    start = written(start, "seeds")
-    score = start
-    for _ in range(rounds):
-        flow = join_unique(weight, score.select(F.col("host").alias("src"), "score"), "src", "inner").select(
+    summed = lambda parts: reduce(DataFrame.unionByName, parts).groupBy("host").agg(F.sum("score").alias("score"))
+    parts = [written(start, "seeds")]
+    while True:
+        new = written(join_unique(weight, parts[-1].select(F.col("host").alias("src"), "score"), "src", "inner").select(
             F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score"))
-        new = written(flow.unionByName(start).groupBy("host").agg(F.sum("score").alias("score")), "ranks")
-        moved = new.join(score.select("host", F.col("score").alias("old")), "host", "left").agg(
-            F.sum(F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))).alias("d")).first()["d"]
-        score = new
-        if moved < STILL:
-            break
-    return score
+            .groupBy("host").agg(F.sum("score").alias("score")), "spread")
+        mass = new.agg(F.sum("score").alias("s")).first()["s"] or 0.0
+        if mass * damping / (1 - damping) <= left:
+            return summed([*parts, new])
+        if len(parts) >= FOLD:
+            whole = written(summed(parts), "ranks")
+            discard(*parts)
+            parts = [whole]
+        parts.append(new)
 
 
 def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -113,9 +123,9 @@ def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str
     hosts = written(table.where("host <> ''").groupBy("host").agg(
         F.count_if(F.col("action") == "allow").alias("ok"), F.count_if(F.col("action") == "block").alias("bad")), "hosts")
     blocked = hosts.where("bad > 0 AND ok = 0").select("host")
-    trust = personalised_rank(edges, hosts.where("ok > 0 AND bad = 0").select("host"))
-    distrust = personalised_rank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), blocked)
     floor = DISTRUST * (1 - DAMPING) / max(1, blocked.count())
+    trust = personalised_rank(edges, hosts.where("ok > 0 AND bad = 0").select("host"), LEFT * floor)
+    distrust = personalised_rank(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), blocked, LEFT * floor)
     scores = written(hosts.select("host").join(trust.select("host", F.col("score").alias("trust")), "host", "left")
                      .join(distrust.select("host", F.col("score").alias("distrust")), "host", "left")
                      .select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "scores")

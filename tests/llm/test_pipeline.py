@@ -22,7 +22,7 @@ def test_stages(spark):
             docs = spark.createDataFrame(rows, docs.schema)
     before, after = seen["near_dedup"]
     before = sorted(before, key=lambda r: r.doc_id)
-    comp = near_brute([r.text for r in before])[1]
+    comp = near_brute([r.text for r in before], P.NEAR_PERCENT)[1]
     assert sorted(r.doc_id for r in after) == [before[i].doc_id for i in sorted(set(comp))]
     before, after = seen["decontamination"]
     items = [" ".join(r.text.lower().split()) for r in read_table(spark, SF_SMALL, "benchmark").collect()]
