@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, shingle_hashes, word_hashes, written
+from .common import prepare, shingle_hashes, unused, word_hashes, written
 
 SIMILARITY = 0.8
 RADIUS, BLOCKS, BITS = 7, 4, 16
@@ -248,13 +248,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no benchmark item."""
     prepare(docs.sparkSession)
-    names, out = docs.columns, docs
+    names, out, at = docs.columns, docs, unused(docs, "leak_text")
     for last, part in slices(benchmark):
         def keep(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
             index = Index(part, least)
             for b in batches:
-                ok = [not m for m in index.matches(b.column("_leak_text").to_pylist(), least)]
+                ok = [not m for m in index.matches(b.column(at).to_pylist(), least)]
                 yield b.select(names).filter(pa.array(ok, pa.bool_()))
-        out = out.withColumn("_leak_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+        out = out.withColumn(at, F.col("text").cast("string")).mapInArrow(keep, docs.schema)
         out = out if last else written(out, "clean")
     return out

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, unused
 
 SAMPLE_SLOTS = 96           # at most so many sampled texts a language
 SAMPLE_BYTES = 6_000        # texts up to this size are sampled whole, longer ones by passages
@@ -131,12 +131,12 @@ def predicted(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) with a language by a sufficient margin."""
     prepare(docs.sparkSession)
-    content, names = learn(docs), docs.columns
+    content, names, at = learn(docs), docs.columns, unused(docs, "lang_text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(content)
         for b in batches:
-            got = [classify(t) for t in b.column("_lang_text").to_pylist()]
+            got = [classify(t) for t in b.column(at).to_pylist()]
             yield b.select(names).filter(pa.array([x != "und" and s >= MARGIN for x, s in got], pa.bool_()))
 
-    return docs.withColumn("_lang_text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+    return docs.withColumn(at, F.col("text").cast("string")).mapInArrow(keep, docs.schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, word_hashes, written
+from .common import prepare, unused, word_hashes, written
 
 FEATURES = ("log_bytes", "log_words", "word_len", "distinct", "common_word", "repeats", "upper", "digits", "punct",
             "symbols", "spaces", "lines", "sentence_len", "line_repeats")
@@ -170,11 +170,11 @@ def accepted(docs: DataFrame, labels: DataFrame, least: float = REJECT_BELOW) ->
     """The rows of ``docs`` (all columns) whose score is at least ``least``."""
     prepare(docs.sparkSession)
     model = fit(written(feature_table(docs), "features"), labels)
-    names = docs.columns
+    names, at = docs.columns, unused(docs, "quality_text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = model.score(matrix(b.column("_quality_text").to_pylist())) >= least
+            ok = model.score(matrix(b.column(at).to_pylist())) >= least
             yield b.select(names).filter(pa.array(ok))
 
-    return docs.withColumn("_quality_text", F.col("text").cast("string").cast("binary")).mapInArrow(keep, docs.schema)
+    return docs.withColumn(at, F.col("text").cast("string").cast("binary")).mapInArrow(keep, docs.schema)
