@@ -12,7 +12,8 @@ vertices; in every bucket the members are verified on full shingle sets
 against the bucket's smallest vertex (a star, not all pairs).  Buckets whose
 members are then still in several components go through a second pass that
 verifies the pairs across components in blocks.  Only ids and band keys are
-shuffled per band; texts travel once per verified pair.
+shuffled per band; texts travel compressed, once per verified pair or block,
+and intermediates are deleted once nothing reads them any more.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, join_unique, mix64, prepare, seeds, shingle_sets, small, written
+from .common import components, discard, join_unique, mix64, prepare, seeds, shingle_sets, small, unused, written
 
 T, ROWS = 120, 5          # coordinates, coordinates per band (24 bands)
 PERCENT = 85              # links: 100 * intersection >= PERCENT * union, unless the caller says otherwise
@@ -99,12 +101,18 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+def _unpacked(b: pa.RecordBatch) -> list[np.ndarray]:
+    """Shingle sets of a batch's compressed texts."""
+    z = zstandard.ZstdDecompressor()
+    return shingle_sets([z.decompress(t) for t in b.column("text").to_pylist()])
+
+
 def _verify_stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (leader, chunk, kind): the leader's text, then members."""
     head, at = None, None
     for b in batches:
         ea, eb = [], []
-        sets = shingle_sets(b.column("text").to_pylist())
+        sets = _unpacked(b)
         for leader, chunk, kind, v, s in zip(*(b.column(c).to_pylist() for c in ("leader", "chunk", "kind", "v")), sets):
             if kind == 0:
                 if at != (leader, chunk):
@@ -163,7 +171,7 @@ def _verify_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
 
     for b in batches:
         found = []
-        sets = shingle_sets(b.column("text").to_pylist())
+        sets = _unpacked(b)
         for bkey, bi, bj, sub, v, comp, s in zip(*(b.column(c).to_pylist()
                                                    for c in ("bkey", "bi", "bj", "sub", "v", "comp")), sets):
             if at != (bkey, bi, bj):
@@ -179,11 +187,23 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
                                        pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
 
-def _texts(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """``(v, text)`` of the vertices ``need(v, doc_id, th)``."""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    z = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column("v"), pa.array([z.compress(t) for t in b.column("text").to_pylist()], pa.binary())],
+                                         names=["v", "text"])
+
+
+def _texts(docs: DataFrame, need: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(v, text)`` (compressed) of the vertices ``need(v, doc_id, th)``; ``keys``
+    are those of all rows."""
     d = docs.select(F.col("doc_id").alias("_id"), F.col("text"), F.xxhash64("text").alias("th"))
     k = small(need.withColumnRenamed("doc_id", "_doc"))
-    return d.join(k, (d["th"] == k["th"]) & d["_id"].eqNullSafe(k["_doc"])).select("v", F.col("text").cast("binary").alias("text"))
+    got = d.join(k, (d["th"] == k["th"]) & d["_id"].eqNullSafe(k["_doc"])).select("v", F.col("text").cast("binary").alias("text"))
+    packed = got.mapInArrow(_packed, "v long, text binary")
+    # rows that repeat id and text would each give their vertex's text
+    once = keys.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    return packed if once else packed.dropDuplicates(["v"])
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -208,14 +228,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = written(rows.groupBy("bkey").agg(F.min("v").alias("leader"), F.count(F.lit(1)).alias("n"),
                                                F.bit_xor(F.xxhash64("v")).alias("s1"),
                                                F.bit_xor(F.xxhash64(F.col("v") + 1)).alias("s2")).where("n > 1"), "buckets")
-    held = written(join_unique(rows, buckets, "bkey", "inner").select("bkey", "v", "leader"), "held")
+    held = written(join_unique(rows, buckets.drop("n", "s1", "s2"), "bkey", "inner", buckets.select("bkey", "n"))
+                   .select("bkey", "v", "leader"), "held")
+    discard(rows)
     pairs = written(held.where("v <> leader").select("leader", "v").distinct(), "pairs")
     keys = base.select(F.col("rid").alias("v"), "doc_id", "th")
     named = pairs.select("v").unionByName(pairs.select(F.col("leader").alias("v"))).distinct()
-    texts = written(_texts(docs, written(keys.join(named, "v", "left_semi"), "named")), "texts")
+    named = written(keys.join(named, "v", "left_semi"), "named")
+    texts = written(_texts(docs, named, keys), "texts")
     edges = written(_star_edges(pairs, texts, percent), "links")
     comp = components(edges)
     edges2 = _second_pass(held, buckets, comp, texts, percent)
+    discard(held, texts, named)
     if edges2 is not None:
         comp = components(edges.unionByName(edges2))
     of_rep = written(reps.join(comp, "v", "left").select("set_key", "min_doc", F.coalesce("comp", "v").alias("comp"), "v"), "reps2")
@@ -283,6 +307,7 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _with_keys(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-    k = small(keys.select(F.col("doc_id").alias("_k_id"), F.col("th").alias("_k_th")))
-    cond = docs["doc_id"].cast("long").eqNullSafe(k["_k_id"]) & (F.xxhash64(docs["text"].cast("string")) == k["_k_th"])
+    a, b = unused(docs, "key_id"), unused(docs, "key_th")
+    k = small(keys.select(F.col("doc_id").alias(a), F.col("th").alias(b)))
+    cond = docs["doc_id"].cast("long").eqNullSafe(k[a]) & (F.xxhash64(docs["text"].cast("string")) == k[b])
     return docs.join(k, cond, how)
