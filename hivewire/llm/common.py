@@ -64,17 +64,21 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left", counts: DataFrame | None = None) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "left", counts: DataFrame | None = None,
+                fixed: bool = True) -> DataFrame:
     """Join a written ``left`` with ``right`` (one row per ``key``) so that no
     key of ``left`` meets in one task: the ``right`` rows of keys with over
     ``HOT_MOST`` rows, or a thousandth of all and ``HOT_ROWS``, are split off
     and broadcast (a thousand of them, or one for every ``HOT_MOST`` rows; by
     hint only behind their count); the other keys shuffle.  ``counts(key, n)``
     is taken where the caller has it.  Null keys match nothing and are not
-    shuffled."""
+    shuffled.  A ``right`` of ``fixed`` width and at most ``BROADCAST_ROWS`` rows is
+    broadcast whole, so nothing is shuffled."""
     total = left.count()
     if total <= HOT_ROWS:
         return left.join(right, key, how)
+    if fixed and right.count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), key, how)
     if counts is None:
         counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     bound = min(HOT_MOST, max(HOT_ROWS, total // HOT_SHARE))

@@ -188,7 +188,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.col("top.b").alias("b"), F.col("top.word_b").alias("word"), (-F.col("top.m")).alias("n"))).alias("form")), "best")
     roots = _roots(best.where("form IS NOT NULL").select("wid", F.col("form.b").alias("form")))
     named = best.join(roots, "wid", "left")
-    of_root = join_unique(written(named, "rooted"), v.select(F.col("wid").alias("root"), F.col("word").alias("root_word")), "root")
+    of_root = join_unique(written(named, "rooted"), v.select(F.col("wid").alias("root"), F.col("word").alias("root_word")), "root", fixed=False)
     return of_root.select("word", F.col("form.word").alias("form"), F.coalesce("root_word", "word").alias("root"), "n", "n_near",
                           F.col("form.n").alias("form_n"))
 

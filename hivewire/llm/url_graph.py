@@ -89,11 +89,11 @@ def personalised_rank(edges: DataFrame, seeds: DataFrame, left: float, damping:
     if not count or edges.isEmpty():
         return start
     out = edges.groupBy("src").agg(F.sum("n").alias("out"))
-    weight = written(join_unique(edges, out, "src").select("src", "dst", (F.col("n") / F.col("out")).alias("w")), "weights")
+    weight = written(join_unique(edges, out, "src", fixed=False).select("src", "dst", (F.col("n") / F.col("out")).alias("w")), "weights")
     summed = lambda parts: reduce(DataFrame.unionByName, parts).groupBy("host").agg(F.sum("score").alias("score"))
     parts = [written(start, "seeds")]
     while True:
-        new = written(join_unique(weight, parts[-1].select(F.col("host").alias("src"), "score"), "src", "inner").select(
+        new = written(join_unique(weight, parts[-1].select(F.col("host").alias("src"), "score"), "src", "inner", fixed=False).select(
             F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score"))
             .groupBy("host").agg(F.sum("score").alias("score")), "spread")
         mass = new.agg(F.sum("score").alias("s")).first()["s"] or 0.0
@@ -130,7 +130,7 @@ def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str
                      .join(distrust.select("host", F.col("score").alias("distrust")), "host", "left")
                      .select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")), "scores")
     bad = (F.col("distrust") >= floor) & (F.col("distrust") >= SHARE * (F.col("trust") + F.col("distrust")))
-    got = join_unique(table, scores, "host")
+    got = join_unique(table, scores, "host", fixed=False)
     verdict = F.coalesce("action", F.when(bad, "block").otherwise("allow"))
     return got.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"),
                       F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
