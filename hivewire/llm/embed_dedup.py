@@ -6,11 +6,13 @@ are checked by exact cosine in double precision.  With the constants below a
 pair at the threshold is missed by all tables with probability 2e-5, closer
 pairs far less often.
 
-Equal vectors of a label collapse to one weighted vertex.  A bucket is one
-group of rows; a bucket of more than ``BLOCK`` vertices is dealt to pairs of
-blocks.  Inside a group cosines are a matrix product; a pair counts in the
-first table where it meets (both rows carry all their keys), so nothing but
-a count and one link per member leaves the task.
+Equal vectors of a label collapse to one weighted vertex.  Buckets are counted
+by their keys alone; those of one vertex, and those with the members of an
+earlier one, are dropped before any vector moves.
+A bucket of more than ``BLOCK`` vertices is dealt to pairs of blocks, and a
+vector travels once per block it is in.  Inside a group cosines are a matrix
+product; a pair counts in the first table where it meets (both rows carry all
+their keys), so nothing but a count and one link per member leaves the task.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, join_unique, mix64, prepare, seeds, small, written
+from .common import components, discard, join_unique, mix64, prepare, seeds, small, written
 
 COSINE = 0.93
-TABLES, K, WIDTH = 48, 10, 2.0
+TABLES, K, WIDTH = 144, 16, 2.0
 BLOCK = 1_024
 
 _BASE = "rid long, vec_id long, label string, gk binary, vec binary, sig array<int>"
@@ -72,70 +74,76 @@ def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(sig, pa.list_(pa.int32()))], names=["rid", "vec_id", "label", "gk", "vec", "sig"])
 
 
-def group_links(t: int, left: list, right: list | None, least: float = COSINE) -> list[tuple[int, int, int]]:
-    """``(v, links, root)`` of the members ``(v, weight, vector, keys)`` of a block
-    (``right`` None) or of two blocks that are linked and meet in table ``t`` first.
-    ``links`` counts rows; ``root`` is the smallest member linked through."""
-    rows = left + (right or [])
-    n = len(left)
-    sizes = [len(r[2]) for r in rows]
-    if len(set(sizes)) > 1:        # other dimensions never link
-        out = []
-        for d in set(sizes):
-            out += group_links(t, [r for r in left if len(r[2]) == d],
-                               None if right is None else [r for r in right if len(r[2]) == d], least)
-        return out
-    if not n or (right is not None and len(rows) == n):
-        return []
-    x = np.array([np.frombuffer(r[2]) for r in rows])
-    if right is None:
+def group_links(t: int, v: np.ndarray, w: np.ndarray, x: np.ndarray, sig: np.ndarray, left: int | None = None,
+                least: float = COSINE) -> np.ndarray:
+    """``(v, links, root)``, in columns, of the members of a block (``left`` None) or
+    of two blocks (the first ``left`` rows and the rest) that are linked and meet
+    in table ``t`` first.  ``w`` are weights, ``x`` vectors, ``sig`` bucket keys;
+    ``links`` counts rows, ``root`` is the smallest member linked through."""
+    if left is None:
         i, j = np.nonzero(np.triu(x @ x.T >= least, 1))
     else:
-        i, j = np.nonzero(x[:n] @ x[n:].T >= least)
-        j = j + n
-    sig = np.array([r[3] for r in rows], dtype=np.int32)
+        i, j = np.nonzero(x[:left] @ x[left:].T >= least)
+        j = j + left
     if t and i.size:
         first = np.ones(i.size, dtype=bool)
         for at in range(0, i.size, 1 << 16):
             a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
             first[at:at + (1 << 16)] = ~(sig[a, :t] == sig[b, :t]).any(axis=1)
         i, j = i[first], j[first]
-    if not i.size:
-        return []
-    v, w = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-    links = np.bincount(i, w[j], len(rows)) + np.bincount(j, w[i], len(rows))
+    links = np.bincount(i, w[j], len(v)) + np.bincount(j, w[i], len(v))
     root = np.argsort(np.argsort(v, kind="stable"), kind="stable")
-    while True:
+    while i.size:
         low = root.copy()
         np.minimum.at(low, i, root[j])
         np.minimum.at(low, j, root[i])
         if (low == root).all():
             break
         root = low
-    ordered = np.sort(v)
-    return [(int(v[k]), int(links[k]), int(ordered[root[k]])) for k in np.flatnonzero(links)]
+    at = np.flatnonzero(links)
+    return np.stack((v[at], links[at].astype(np.int64), np.sort(v)[root[at]]))
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (label, t, key, bi, bj): a block or pair of blocks comes together."""
-    at, left, right = None, [], []
+def _columns(b: pa.RecordBatch, a: int, z: int) -> tuple:
+    """``sub, v, w``, vectors and keys of rows ``a`` to ``z`` (of one dimension), from the Arrow buffers."""
+    vec = b.column("vec")
+    off = np.frombuffer(vec.buffers()[1], np.int32, count=len(vec) + 1, offset=4 * vec.offset)
+    x = np.frombuffer(vec.buffers()[2], np.float64, count=(int(off[z]) - int(off[a])) // 8, offset=int(off[a]))
+    sig = b.column("sig").slice(a, z - a).flatten().to_numpy(zero_copy_only=False).reshape(z - a, -1)
+    return *(b.column(c).to_numpy()[a:z] for c in ("sub", "v", "w")), x.reshape(z - a, -1), sig
 
-    def close() -> list:
-        return group_links(at[1], left, None if at[3] == at[4] else right) if at and len(left) + len(right) > 1 else []
 
-    def batch(rows: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], names=["v", "links", "root"])
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (bucket, bi, bj): a block or pair of blocks comes together."""
+    at, held = None, []
+
+    def close() -> np.ndarray:
+        if sum(len(h[1]) for h in held) < 2:
+            return np.zeros((3, 0), np.int64)
+        sub, v, w, x, sig = (np.concatenate(c) for c in zip(*held))
+        if at[1] == at[2]:
+            return group_links(at[3], v, w, x, sig)
+        order = np.argsort(sub != at[1], kind="stable")
+        return group_links(at[3], v[order], w[order], x[order], sig[order], int((sub == at[1]).sum()))
+
+    def batch(found: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["v", "links", "root"])
 
     for b in batches:
-        out = []
-        for label, t, key, bi, bj, sub, v, w, vec, sig in zip(*(b.column(c).to_pylist() for c in (
-                "label", "t", "key", "bi", "bj", "sub", "v", "w", "vec", "sig"))):
-            if at != (label, t, key, bi, bj):
-                out += close()
-                at, left, right = (label, t, key, bi, bj), [], []
-            (left if sub == bi else right).append((v, w, vec, sig))
+        if not b.num_rows:
+            continue
+        key = np.stack([b.column(c).to_numpy() for c in ("bucket", "bi", "bj", "t")])
+        cut = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+        out = [np.zeros((3, 0), np.int64)]
+        for a, z in zip(cut[:-1], cut[1:]):
+            here = tuple(key[:, a].tolist())
+            if here != at:
+                out.append(close())
+                at, held = here, []
+            held.append(_columns(b, a, z))
         yield batch(out)
-    yield batch(close())
+    yield batch([close()])
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -153,17 +161,24 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     base = written(d.mapInArrow(_base, _BASE), "vectors")
     reps = written(base.where("gk IS NOT NULL").groupBy("gk").agg(F.min("rid").alias("v"), F.min("vec_id").alias("min_id"),
                                                                  F.count(F.lit(1)).alias("w")), "vertices")
-    rows = written(base.join(reps.select(F.col("v").alias("rid"), "w"), "rid").select(F.col("rid").alias("v"), "w", "label", "vec", "sig"), "reps")
-    table = rows.select("*", F.posexplode("sig").alias("t", "key"))
-    bucket = ["label", "t", "key"]
-    hot = written(table.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-                  .select(*bucket, F.ceil(F.col("n") / BLOCK).alias("blocks")), "hot-buckets")
-    dealt = table.join(small(hot), bucket, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
-    dealt = dealt.withColumn("sub", F.pmod(F.xxhash64("v"), F.col("blocks")))
+    rows = written(base.join(reps.select(F.col("v").alias("rid"), "w"), "rid").select(
+        F.col("rid").alias("v"), "w", F.concat("label", F.lit("\0"), F.octet_length("vec").cast("string")).alias("group"), "vec", "sig"), "reps")
+    keyed = rows.select("v", "group", F.posexplode("sig").alias("t", "key"))
+    # only keys are counted: a bucket of one vertex has nothing to compare, and of
+    # buckets with the same members the one of the first table does
+    shared = keyed.groupBy("group", "t", "key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("v")).alias("s1"),
+                                                    F.bit_xor(F.xxhash64(F.lit(5), "v")).alias("s2")).where("n > 1")
+    shared = shared.groupBy("n", "s1", "s2").agg(F.min(F.struct("t", "group", "key")).alias("k"))
+    shared = written(shared.select(F.monotonically_increasing_id().alias("bucket"), "k.group", "k.t", "k.key",
+                                   F.ceil(F.col("n") / BLOCK).alias("blocks")), "buckets")
+    held = keyed.join(small(shared), ["group", "t", "key"]).select("bucket", F.col("t").cast("long").alias("t"), "v", "blocks")
+    dealt = held.withColumn("sub", F.pmod(F.xxhash64("v"), F.col("blocks")))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select(*bucket, F.least("sub", "o").alias("bi"), F.greatest("sub", "o").alias("bj"), "sub", "v", "w", "vec", "sig")
-    key = [*bucket, "bi", "bj"]
-    links = written(dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_links, "v long, links long, root long"), "links")
+    dealt = written(dealt.select("bucket", "t", F.least("sub", "o").alias("bi"), F.greatest("sub", "o").alias("bj"), "sub", "v"), "dealt")
+    work = dealt.join(rows.select("v", "w", "vec", "sig"), "v")
+    links = written(work.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj")
+                    .mapInArrow(_links, "v long, links long, root long"), "links")
+    discard(dealt)
     comp = components(links.select(F.col("v").alias("a"), F.col("root").alias("b")))
     of_rep = written(reps.join(links.groupBy("v").agg(F.sum("links").alias("links")), "v", "left").join(comp, "v", "left").select(
         "gk", "min_id", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("comp", "v").alias("comp")), "of-rep")
