@@ -7,14 +7,16 @@ and an item has a window for each of ``STRIDE`` shifts, so an item at any place
 of a text meets one of its windows word for word (short items: steps of one).
 Steps start at each text's own first word.  Smaller windows of every item, in
 runs of ``STRIDE`` successive shifts, lie in whatever part of it is left when
-words are missing at its ends: a copy that is still similar enough meets one
-word for word too, alone or inside other text.
+words are missing at its ends, or between and beside one or two edits inside it:
+a copy that is still similar enough with up to ``EDITS`` such edits, of any kind
+and length, meets one word for word too, alone or inside other text.
 The 64-bit SimHash of a window comes from prefix sums.  A multi-index over four 16-bit
 blocks, each with all values one bit away, finds every fingerprint within
 ``RADIUS`` = 7 bits (of 8 differing bits at most one block can have two or
 more without another having one or none).  Candidates are then verified
 exactly: weighted Jaccard similarity (weights: occurrences) of the five-word
-shingles of the item and of the item-sized window around the match.
+shingles of the item and of the item-sized window around the match, or of that
+window or a wider one cut to the item's first and last shingle in it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from .common import prepare, shingle_hashes, unused, word_hashes, written
 
 SIMILARITY = 0.8
 RADIUS, BLOCKS, BITS = 7, 4, 16
+EDITS = 2                           # inner edits after which a similar copy is found for certain
 MIN_WORDS = 5                       # shorter items have no five-word shingle and match nothing
 MAX_WINDOW = 4_096                  # words of the largest size class
 STRIDE, SHORT = 4, 11               # items under SHORT words are searched in steps of one
@@ -79,6 +82,29 @@ def part_windows(n: int, least: float) -> tuple[int, int, list[int]]:
     return c, STRIDE, sorted(shifts)
 
 
+def inner_windows(n: int, least: float) -> list[tuple[int, int, list[int]]]:
+    """Window sizes, steps and shifts such that a copy of an item of ``n`` words
+    that is similar enough after one to ``EDITS`` inner edits holds one of the
+    windows unedited.  ``k`` edits break ``4 k`` shingles beside those of the words
+    they take and add at least as many, which bounds the words taken; the longest
+    of the ``k + 1`` parts left has its share of the others."""
+    out = []
+    for k in range(1, EDITS + 1):
+        taken = math.floor((1 - least) * (n - MIN_WORDS + 1) - (MIN_WORDS - 1) * k * (1 + least) + 1e-9)
+        run = math.ceil((n - taken) / (k + 1))
+        if taken < 0 or run < 3 * STRIDE:
+            break
+        if k == 1:              # the longest part is at one of the ends
+            c = size_class(run - STRIDE + 1)
+            out.append((c, STRIDE, sorted({*range(STRIDE), *range(n - c - STRIDE + 1, n - c + 1)})))
+            continue
+        c = size_class(max(2 * STRIDE, run - max(STRIDE - 1, run // 3)))
+        room = run - c - STRIDE + 2
+        first = {min(a + room - 1, n - c - STRIDE + 1) for a in range(0, n - run + 1, room)}
+        out.append((c, STRIDE, sorted({a + i for a in first for i in range(STRIDE)})))
+    return out
+
+
 def prefix_sums(h: np.ndarray, step: int) -> np.ndarray:
     """Running counts of set bits of the words' hashes, every ``step`` words
     (16 bits hold a segment)."""
@@ -115,7 +141,7 @@ class Index:
             self.items.append((item_id, h.size, Counter(shingle_hashes(h).tolist())))
             last = h.size - c
             for c, stride, shifts in ((c, stride, {*range(stride), *range(last - stride + 1, last + 1)}),
-                                      part_windows(h.size, least)):
+                                      part_windows(h.size, least), *inner_windows(h.size, least)):
                 fp = fingerprints(prefix_sums(h, 1), c, 1)
                 by_class.setdefault((c, stride), set()).update((int(fp[back]), i, back) for back in shifts)
         self.classes = []
@@ -170,22 +196,47 @@ class Index:
         common = sum(min(n, mine[k]) for k, n in theirs.items() if k in mine)
         return common / (sum(mine.values()) + len(shingles) - common)
 
+    def best_at(self, run: list[int], at: int, item: int, least: float) -> tuple[float, int]:
+        """Best (similarity, -start) of the windows of the text's shingles ``run`` around
+        ``at``: the item-sized one, and that and a wider one cut to the item's shingles."""
+        n, mine = self.items[item][1] - MIN_WORDS + 1, self.items[item][2]
+        best = (self.similarity(run[at:max(at + 1, at + n)], item), -at)
+        slack = math.ceil(n * (1 / least - 1))      # words that may be put in
+        for a, b in ((at, at + n), (max(0, at - slack), at + n + slack)):
+            hits = [i for i in range(a, min(b, len(run))) if run[i] in mine]
+            if hits:
+                best = max(best, (self.similarity(run[hits[0]:hits[-1] + 1], item), -hits[0]))
+        return best
+
     def matches(self, texts: list[str | None], least: float = SIMILARITY) -> list[dict[int, tuple[float, int]]]:
         """Per text the best (similarity, -start word) per item of its verified matches."""
         best: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
         for lo, hi in _runs(texts):
             h, doc, begin, end = _aligned(*words(texts[lo:hi]))
-            runs: dict[int, np.ndarray] = {}
-            for d, at, item in self.candidates(h, doc):
+            runs: dict[int, list[int]] = {}
+            for d, at, item in sorted(self.candidates(h, doc)):
                 start = max(0, at - int(begin[d]))
                 if d not in runs:
-                    runs[d] = shingle_hashes(h[begin[d]:end[d]])
-                s = self.similarity(runs[d][start:max(start + 1, start + self.items[item][1] - 4)].tolist(), item)
-                if s >= least:
-                    best[lo + d][item] = max(best[lo + d].get(item, (0.0, 0)), (s, -start))
+                    runs = {d: shingle_hashes(h[begin[d]:end[d]]).tolist()}
+                found = self.best_at(runs[d], start, item, least)
+                if found[0] >= least:
+                    best[lo + d][item] = max(best[lo + d].get(item, (0.0, 0)), found)
         return best
 
 
+_INDEX: dict[tuple[int, float], Index] = {}
+
+
+def _index(part: list[tuple[int, str]], least: float) -> Index:
+    """The index of a part of the benchmark, built once per Python worker; a worker
+    keeps that of one part."""
+    key = (hash(tuple(part)), least)
+    if key not in _INDEX:
+        _INDEX.clear()
+        _INDEX[key] = Index(part, least)
+    return _INDEX[key]
+
+
 def _aligned(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words with every text moved to a multiple of ``STRIDE``, the text of every
     word (-1 in between), and where each text begins and ends."""
@@ -232,7 +283,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for last, part in slices(benchmark):
         def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            index = Index(part, least)
+            index = _index(part, least)
             for b in batches:
                 rows = [(i, index.items[k][0], s, -start)
                         for i, m in zip(b.column("doc_id").to_pylist(), index.matches(b.column("text").to_pylist(), least))
@@ -251,7 +302,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> D
     names, out, at = docs.columns, docs, unused(docs, "leak_text")
     for last, part in slices(benchmark):
         def keep(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            index = Index(part, least)
+            index = _index(part, least)
             for b in batches:
                 ok = [not m for m in index.matches(b.column(at).to_pylist(), least)]
                 yield b.select(names).filter(pa.array(ok, pa.bool_()))
