@@ -1,15 +1,15 @@
-"""Carry-forward (running "last non-null") per key, split by time bucket.
+"""Carry-forward (running "last non-null", sum, min or max) per key, split by time bucket.
 
 The closed form of most per-device folds here is ``last(x, ignoreNulls)``
-over the rows of a key ordered by time.  A plain window partitions by the
+(or another associative merge) over the rows of a key ordered by time.  A plain window partitions by the
 key, so one hot device (a third of all rows, say) would be sorted and
 scanned by one task.  Instead the rows are cut into (key, time bucket)
 partitions:
 
-1. per (key, bucket): the last non-null value in the bucket -- an
+1. per (key, bucket): the merged value of the bucket -- an
    aggregation with a map-side partial step;
 2. per key, over those bucket summaries (one row per bucket that has rows):
-   the last value of all *earlier* buckets -- a small window;
+   the merged value of all *earlier* buckets -- a small window;
 3. per (key, bucket): a window over the bucket's own rows, falling back to
    the carried-in value.
 
@@ -43,6 +43,28 @@ class Carry:
     value: str            # column carried forward (any type, NULL = no value)
     out: str              # output column
     inclusive: bool = True  # include the current row (False: strictly earlier rows)
+    how: str = "last"     # how values merge: last non-null, or sum, min, max of the non-null ones
+
+    def summary(self, order: str) -> Column:
+        """The values of a group of rows as one."""
+        v = F.col(self.value)
+        if self.how == "last":
+            return F.max_by(v, F.when(v.isNotNull(), F.col(order)))
+        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](v)
+
+    def over(self, value: str, window) -> Column:
+        """The values of a window frame as one."""
+        if self.how == "last":
+            return F.last(value, ignorenulls=True).over(window)
+        return {"sum": F.sum, "min": F.min, "max": F.max}[self.how](F.col(value)).over(window)
+
+    def merge(self, earlier: Column, later: Column) -> Column:
+        """Two adjacent runs as one; NULL is the empty run."""
+        if self.how == "last":
+            return F.coalesce(later, earlier)
+        if self.how == "sum":
+            return F.coalesce(earlier + later, later, earlier)
+        return (F.least if self.how == "min" else F.greatest)(earlier, later)
 
 
 def epoch_seconds(ts: str) -> Column:
@@ -85,22 +107,18 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], carries: lis
     else:
         d = df.withColumn(b, time_bucket(ts, bucket_seconds))
     d = d.withColumn(o, F.struct(*order))
-    # 1. last non-null value of every bucket (NULL when the bucket has none)
-    summaries = d.groupBy(*keys, b).agg(*[
-        F.max_by(F.col(c.value), F.when(F.col(c.value).isNotNull(), F.col(o))).alias(f"_cf_last{i}")
-        for i, c in enumerate(carries)])
+    # 1. merged value of every bucket (NULL when the bucket has none)
+    summaries = d.groupBy(*keys, b).agg(*[c.summary(o).alias(f"_cf_last{i}") for i, c in enumerate(carries)])
     # 2. value carried into each bucket from the earlier buckets of the key
     before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carried_in = summaries.select(*keys, b, *[
-        F.last(f"_cf_last{i}", ignorenulls=True).over(before).alias(f"_cf_in{i}")
-        for i in range(len(carries))])
+        c.over(f"_cf_last{i}", before).alias(f"_cf_in{i}") for i, c in enumerate(carries)])
     # 3. within the bucket, fall back to the carried-in value
     j = d.join(carried_in, [*keys, b], "left")
     within = Window.partitionBy(*keys, b).orderBy(*order)
     out = j
     for i, c in enumerate(carries):
         frame = within.rowsBetween(Window.unboundedPreceding, 0 if c.inclusive else -1)
-        out = out.withColumn(c.out, F.coalesce(F.last(c.value, ignorenulls=True).over(frame),
-                                               F.col(f"_cf_in{i}")))
+        out = out.withColumn(c.out, c.merge(F.col(f"_cf_in{i}"), c.over(c.value, frame)))
     out = out.drop(o, *[f"_cf_in{i}" for i in range(len(carries))])
     return out if keep_bucket else out.drop(b)

@@ -4,7 +4,7 @@ Dispatch (J7) and validity (P10) are independent: the building forwards any
 command of a known device and reports success on publish; the device then
 parses it and ignores what it cannot execute.  State is as of the command's
 time, like queries.  Expected device state (W3) folds the executed commands
-into the readings with the carry-forward operator (no per-device window).
+into the readings by the types' state rules (``fold``; no per-device window).
 """
 
 from __future__ import annotations
@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import topics as T
-from .carry import DEFAULT_BUCKET_SECONDS, Carry, carry_forward
+from .carry import DEFAULT_BUCKET_SECONDS
+from .decode import reading_columns
 from .devices import DEFAULT_REGISTRY, Registry
 from .envelopes import COMMAND_BODY, explode_commands, explode_envelope, route_to_registered_buildings
+from .fold import COMMAND, READING, STATE, expected_columns, fold_states
 from .latest import valid_readings
 from .registry import DEVICE_KEY
 
 DOC_KEY = ["event_id", "building"]
+STATE_KINDS = {"expected_status": "string"}     # other expected columns are numbers
 
 
 def routed_commands(commands_raw: DataFrame, buildings: DataFrame) -> DataFrame:
@@ -133,15 +136,36 @@ def gather_command_status(rows: DataFrame) -> DataFrame:
                              F.lit("])")).alias("status")))
 
 
-def _crossing(prev: Column) -> Column:
-    return (F.when(prev <= K.BATTERY_LOW, F.lit(K.CHARGING))
-            .when(prev >= K.BATTERY_HIGH, F.lit(K.DISCHARGING)))
+def device_events(valid: DataFrame, validated: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """One log of the devices' valid readings and executed commands, as ``fold`` reads it."""
+    readings = valid.select(*DEVICE_KEY, "dev_type", "ts", F.lit(READING).alias("_kind"), F.col("msg_offset").alias("seq"),
+                            *reading_columns(registry))
+    executed = validated.where("valid").select(
+        "building", "group_id", F.col("device_id").alias("dev_id"), "dev_type", "ts",
+        F.lit(COMMAND).alias("_kind"), F.col("event_id").alias("seq"), "set_value", "new_status")
+    return readings.unionByName(executed, allowMissingColumns=True)
+
+
+def expected_states(events: DataFrame, registry: Registry = DEFAULT_REGISTRY, state: DataFrame | None = None,
+                    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Expected state after every one of ``events``, continuing from ``state``
+    (``DEVICE_KEY, dev_type, ts`` no later than any event of the device, and the
+    expected columns; None: from the start)."""
+    columns = expected_columns(registry)
+    u = events.select("*", *[F.lit(None).cast(STATE_KINDS.get(c, "double")).alias(c) for c in columns])
+    if state is not None:
+        u = u.unionByName(state.select(*DEVICE_KEY, "dev_type", "ts", F.lit(STATE).alias("_kind"), F.lit(-1).cast("long").alias("seq"),
+                                       *columns), allowMissingColumns=True)
+    out = fold_states(u, DEVICE_KEY, registry, bucket_seconds).where(F.col("_kind") != STATE)
+    return out.select(*DEVICE_KEY, "dev_type", "ts", F.when(F.col("_kind") == READING, F.lit("reading")).otherwise(
+        F.lit("command")).alias("kind"), "seq", *columns)
 
 
 def reconcile_commands(telemetry: DataFrame, routed: DataFrame, groups: DataFrame,
                        registry_df: DataFrame, registry: Registry = DEFAULT_REGISTRY,
                        bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Expected device state after every reading and executed command.
+    """Expected device state after every reading and executed command, by the
+    state rule of the device's type.
 
     Thermostat: the state is the row's own value (a reading, or the 'set'
     value).  Battery: percentage = last reading (100 before any); status =
@@ -149,34 +173,6 @@ def reconcile_commands(telemetry: DataFrame, routed: DataFrame, groups: DataFram
     after the last command (previous reading <= 20 -> charging, >= 80 ->
     discharging), else the last command's status, else 'discharging'.
     """
-    readings = valid_readings(telemetry, registry_df, registry).select(
-        *DEVICE_KEY, "dev_type", "ts", F.lit(0).alias("_kind"), F.col("msg_offset").alias("seq"),
-        "value", "percentage", F.col("status").alias("reported_status"))
-    executed = validate_commands(routed, groups, registry_df, registry).where("valid").select(
-        "building", "group_id", F.col("device_id").alias("dev_id"), "dev_type", "ts",
-        F.lit(1).alias("_kind"), F.col("event_id").alias("seq"), "set_value", "new_status")
-    u = readings.unionByName(executed, allowMissingColumns=True)
-    order = ["ts", "_kind", "seq"]
-    u = carry_forward(u, DEVICE_KEY, order, [Carry("percentage", "_prev_pct", inclusive=False)],
-                      ts="ts", bucket_seconds=bucket_seconds, keep_bucket=True)
-    prev = F.coalesce(F.col("_prev_pct"), F.lit(K.BATTERY_INITIAL_PERCENTAGE))
-    at = F.struct(*order)
-    u = (u.withColumn("_cross", F.when(F.col("_kind") == 0, F.struct(at.alias("o"), _crossing(prev).alias("s"))))
-         .withColumn("_cross", F.when(F.col("_cross.s").isNotNull(), F.col("_cross")))
-         .withColumn("_cmd", F.when(F.col("new_status").isNotNull(), F.struct(at.alias("o"), F.col("new_status").alias("s")))))
-    u = carry_forward(u, DEVICE_KEY, order, [Carry("_cross", "_last_cross"), Carry("_cmd", "_last_cmd"),
-                                             Carry("percentage", "_last_pct")],
-                      ts="ts", bucket_seconds=bucket_seconds)
-    x, c = F.col("_last_cross"), F.col("_last_cmd")
-    status = (F.when(c.isNotNull() & (c.s == K.OFF), F.lit(K.OFF))
-              .when(x.isNotNull() & (c.isNull() | (x.o > c.o)), x.s)
-              .when(c.isNotNull(), c.s)
-              .otherwise(F.lit(K.BATTERY_INITIAL_STATUS)))
-    is_battery = F.col("dev_type") == K.BATTERY
-    is_thermo = F.col("dev_type") == K.THERMOSTAT
-    return u.select(
-        *DEVICE_KEY, "dev_type", "ts", F.when(F.col("_kind") == 0, F.lit("reading")).otherwise(F.lit("command")).alias("kind"),
-        "seq",
-        F.when(is_thermo, F.coalesce(F.col("set_value"), F.col("value"))).alias("expected_value"),
-        F.when(is_battery, F.coalesce(F.col("_last_pct"), F.lit(K.BATTERY_INITIAL_PERCENTAGE))).alias("expected_percentage"),
-        F.when(is_battery, status).alias("expected_status"))
+    events = device_events(valid_readings(telemetry, registry_df, registry),
+                           validate_commands(routed, groups, registry_df, registry), registry)
+    return expected_states(events, registry, bucket_seconds=bucket_seconds)

@@ -1,7 +1,8 @@
 """Device type registry (X1): per type, the reading schema, a strict decoder
-with one reason per failure, a canonical encoder and an optional command
-parser.  Everything is a Column expression, so decoding stays inside
-whole-stage codegen; a type is plugged in by adding a ``DeviceType``.
+with one reason per failure, a canonical encoder, an optional command
+parser and an optional state rule (``fold``).  Everything is a Column
+expression, so decoding stays inside whole-stage codegen; a type is plugged in
+by adding a ``DeviceType``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import json as J
+from .fold import READING, Lift, StateRule, is_kind, merged, stamped
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,8 @@ class DeviceType:
     # Constructor invariant checked after all fields decoded: (predicate, reason).
     invariant: tuple[Callable[[dict[str, Column]], Column], str] | None = None
     command: Command | None = None
+    # What readings and executed commands make of the device (None: no state).
+    state: StateRule | None = None
 
     def decode(self, st: Staged) -> tuple[Column, dict[str, Column]]:
         """Strict decode over staged members: (reason or NULL, typed columns).
@@ -141,11 +145,43 @@ def _battery_command(v: Column) -> tuple[Column, Column, Column, Column]:
     return reason.isNull(), reason, F.lit(None).cast("double"), F.when(shape & known, status)
 
 
+# A thermostat shows the value of its last event: a reading, or what a command set.
+_THERMOSTAT_STATE = StateRule({"expected_value": lambda: F.coalesce("set_value", "value")})
+
+
+def crossing(prev: Column) -> Column:
+    """The status a battery switches to after a reading of ``prev`` (NULL: none)."""
+    return F.when(prev <= K.BATTERY_LOW, F.lit(K.CHARGING)).when(prev >= K.BATTERY_HIGH, F.lit(K.DISCHARGING))
+
+
+def _battery_status() -> Column:
+    """'off' while the last command said so; else the later of the last command and
+    the last crossing."""
+    x, c = merged(K.BATTERY, "cross"), merged(K.BATTERY, "cmd")
+    return (F.when(c.isNotNull() & (c.s == K.OFF), F.lit(K.OFF)).when(x.isNotNull() & (c.isNull() | (x.o > c.o)), x.s)
+            .when(c.isNotNull(), c.s).otherwise(F.lit(K.BATTERY_INITIAL_STATUS)))
+
+
+def _battery_percentage() -> Column:
+    return F.coalesce("percentage", "expected_percentage")
+
+
+_BATTERY_STATE = StateRule(
+    {"expected_percentage": lambda: F.coalesce(merged(K.BATTERY, "pct"), F.lit(K.BATTERY_INITIAL_PERCENTAGE)),
+     "expected_status": _battery_status},
+    ((Lift("prev", _battery_percentage, inclusive=False),),
+     (Lift("cross", lambda: F.when(is_kind(READING), stamped(crossing(F.coalesce(
+         merged(K.BATTERY, "prev"), F.lit(K.BATTERY_INITIAL_PERCENTAGE)))))),
+      # the status where an earlier fold ended acts as a command would
+      Lift("cmd", lambda: stamped(F.coalesce("new_status", "expected_status"))),
+      Lift("pct", _battery_percentage))))
+
 THERMOSTAT = DeviceType(
     K.THERMOSTAT,
     (Field("deviceId", "string"), Field("value", "number"), Field("unit", "string"),
      Field("timestamp", "string")),
     command=Command(_thermostat_command),
+    state=_THERMOSTAT_STATE,
 )
 
 BATTERY = DeviceType(
@@ -155,6 +191,7 @@ BATTERY = DeviceType(
      Field("timestamp", "string")),
     invariant=(lambda t: (t["percentage"] >= 0) & (t["percentage"] <= 100), "range"),
     command=Command(_battery_command),
+    state=_BATTERY_STATE,
 )
 
 

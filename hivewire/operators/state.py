@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from .carry import DEFAULT_BUCKET_SECONDS, Carry, carry_forward
-from .command import _crossing
+from .devices import crossing
 from .latest import valid_readings
 from .registry import DEVICE_KEY
 
@@ -25,7 +25,7 @@ def battery_expected_status(telemetry: DataFrame, registry_df: DataFrame,
     r = carry_forward(r, DEVICE_KEY, order, [Carry("percentage", "_prev", inclusive=False)],
                       ts="ts", bucket_seconds=bucket_seconds, keep_bucket=True)
     prev = F.coalesce(F.col("_prev"), F.lit(K.BATTERY_INITIAL_PERCENTAGE))
-    r = r.withColumn("prev_percentage", prev).withColumn("_cross", _crossing(prev))
+    r = r.withColumn("prev_percentage", prev).withColumn("_cross", crossing(prev))
     r = carry_forward(r, DEVICE_KEY, order, [Carry("_cross", "_last")], ts="ts", bucket_seconds=bucket_seconds)
     exp = F.coalesce(F.col("_last"), F.lit(K.BATTERY_INITIAL_STATUS))
     return r.select(*DEVICE_KEY, "msg_offset", "ts", "percentage", "status", "prev_percentage",
