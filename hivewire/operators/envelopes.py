@@ -95,6 +95,13 @@ def route_to_registered_buildings(entries: DataFrame, buildings: DataFrame) -> D
     return entries.join(buildings.select("building").distinct(), "building", "left_semi")
 
 
+def route_as_of(entries: DataFrame, instants: DataFrame) -> DataFrame:
+    """J1 over buildings that come to exist (``building, since``): an entry is routed
+    if its building exists at the document's ``ts``."""
+    since = instants.groupBy("building").agg(F.min("since").alias("_since"))
+    return entries.join(since, "building").where(F.col("_since") <= F.col("ts")).select(*entries.columns)
+
+
 # --- building query documents (P7) -----------------------------------------
 
 def _query_ok(b: Column, groups: Column) -> Column:

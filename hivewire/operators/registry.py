@@ -9,6 +9,8 @@ side of the join-back).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,3 +136,12 @@ def merged_buildings(seed: DataFrame, requests: DataFrame) -> DataFrame:
     """The registry after U2: seed plus successfully registered buildings."""
     added = merge_building_registry(seed, requests).where("ok").select("building", "region")
     return seed.select("building", "region").unionByName(added)
+
+
+def building_instants(seed: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """``building, since``: seeded buildings since ever, others (U2) since their first request."""
+    out = seed.select("building", F.lit(dt.datetime(1, 1, 1)).cast("timestamp_ntz").alias("since")).distinct()
+    if requests is None:
+        return out
+    first = requests.groupBy("building").agg(F.min("ts").alias("since"))
+    return out.unionByName(first.join(out, "building", "left_anti"))

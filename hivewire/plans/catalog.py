@@ -63,6 +63,10 @@ class Ctx:
     @property
     def buildings(self): return self._keep("buildings", lambda: feeds.buildings(self.spark, self.sf))
     @property
+    def building_requests(self): return feeds.building_requests(self.spark, self.sf)
+    @property
+    def live_buildings(self): return R.building_instants(self.buildings, self.building_requests)
+    @property
     def decoded_requests(self): return self._keep("decoded_requests", lambda: R.decoded_requests(self.requests))
     @property
     def registry(self): return self._keep("registry", lambda: R.registry_of(self.decoded_requests, self.types))

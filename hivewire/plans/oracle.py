@@ -203,6 +203,15 @@ def envelope_ctes(p: str, src: str, body: str) -> str:
 {p}route AS (SELECT * FROM {p}last WHERE building IN (SELECT building FROM bl))"""
 
 
+def live(sql: str) -> str:
+    """The same query with documents routed to the buildings that exist at their time."""
+    sql = sql.replace(f"bl AS ({FD.BUILDINGS_SQL})", f"bl AS ({FD.LIVE_BUILDINGS_SQL})")
+    for p in ("q", "c"):
+        sql = sql.replace(f"{p}route AS (SELECT * FROM {p}last WHERE building IN (SELECT building FROM bl))",
+                          f"{p}route AS (SELECT l.* FROM {p}last l JOIN bl ON bl.building = l.building AND bl.since <= l.ts)")
+    return sql
+
+
 def W(body: str, types=TYPES) -> str:
     return "WITH " + ctes(types).strip() + "\n" + body
 
@@ -505,4 +514,8 @@ def oracle_sql() -> dict[str, str]:
                "stream_device_state": "reconcile_commands"}
     for k, v in same_as.items():
         o[k] = o[v]
+    # Streams of documents learn buildings as they register; a device runs from its registration on.
+    for k in ("stream_route_envelopes", "stream_query_answers", "stream_command_status", "stream_device_state"):
+        o[k] = live(o[k])
+    o["stream_device_state"] = o["stream_device_state"].replace("FROM tvalid\n", "FROM tvalid WHERE ts > reg_ts\n")
     return o

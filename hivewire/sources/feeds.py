@@ -153,6 +153,13 @@ BUILDING_REQUESTS_SQL = (
     + BUILDING_REQUESTS.sql() + ") b JOIN region USING (r_regionkey)"
 )
 
+# Buildings as a stream learns them: the registered ones from the start, others
+# since their first request.
+LIVE_BUILDINGS_SQL = (
+    "SELECT building, min(since) AS since FROM (SELECT building, TIMESTAMP '0001-01-01' AS since FROM (" + BUILDINGS_SQL
+    + ") UNION ALL SELECT building, ts FROM (" + BUILDING_REQUESTS_SQL + ")) GROUP BY building"
+)
+
 # Request/reply feed of the idle-timeout gatherer (W4/T5): the request is the
 # first purchase of each user, replies are that user's later 'view' events.
 GATHER_EXPECTED = 5

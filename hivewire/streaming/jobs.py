@@ -23,12 +23,14 @@ from ..operators import latest as L
 from ..operators import query as Q
 from ..operators import registry as R
 from ..operators.registry import DEVICE_KEY
+from ..operators.fold import expected_columns
 from ..plans import catalog as CAT
 from ..session import scratch_path
 from ..sources import feeds
 from ..sources.topic_log import idempotent_batch_writer
 from . import replay as RP
 from . import stateful as ST
+from .tables import JobTable
 
 
 class Run:
@@ -85,26 +87,11 @@ def committed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_sink(run).select("msg_offset", "ts", "topic", "payload")
 
 
-def _table(run: Run, name: str, schema: str):
-    """A table of the job, written one folder per batch id: ``(before, write)``,
-    ``before(batch_id)`` reading what earlier batches wrote.  It exists from the
-    start, so an error while reading it is an error and never means "empty"."""
-    path = run.path(name)
-    run.spark.createDataFrame([], schema).write.parquet(f"{path}/batch=-1")
-    write = idempotent_batch_writer(path)
-
-    def before(batch_id: int) -> DataFrame:
-        # a replayed batch ignores what its own earlier try left
-        return run.spark.read.schema(schema + ", batch LONG").parquet(path).where(F.col("batch") < batch_id)
-
-    return before, write
-
-
 _REGISTRY = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING, module_path STRING, "
              "reg_ts TIMESTAMP_NTZ, reg_event_id LONG")
 _GROUPS = "building STRING, group_id STRING, created_ts TIMESTAMP_NTZ"
 _RETAINED = "msg_offset LONG, ts TIMESTAMP_NTZ, topic STRING, payload STRING"
-READING, REQUEST, QUERY, COMMAND = "reading", "request", "query", "command"
+READING, REQUEST, QUERY, COMMAND, BUILDING = "reading", "request", "query", "command", "building"
 
 
 def _log(**feeds_of: DataFrame) -> DataFrame:
@@ -114,16 +101,16 @@ def _log(**feeds_of: DataFrame) -> DataFrame:
     for kind, df in feeds_of.items():
         has = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
         part = df.select(F.lit(kind).alias("kind"), F.col("msg_offset" if kind == READING else "event_id").alias("id"),
-                         "ts", has("topic").alias("topic"), has("building").alias("building"), "payload")
+                         "ts", has("topic").alias("topic"), has("building").alias("building"), has("payload").alias("payload"))
         log = part if log is None else log.unionByName(part)
     return log
 
 
 class Fleet:
-    """What a job knows of the devices, kept in tables that its own micro-batches
-    advance: registry and groups (a batch adds the new ones), the last message of every topic
-    (what a broker retains) and the last valid delivered reading of every
-    device (each batch writes them whole: one row per topic or device).
+    """What a job knows of the devices, kept in tables (``JobTable``) that its own
+    micro-batches advance: registry and groups (a batch adds the new ones), the
+    last message of every topic (what a broker retains) and the last valid
+    delivered reading of every device (a batch writes those it has seen).
 
     ``see`` reads a micro-batch against what earlier batches left; ``commit``
     writes the batch's additions after the job's outputs, so a replayed batch
@@ -131,69 +118,95 @@ class Fleet:
 
     def __init__(self, run: Run, types, readings: bool = True, latest: bool = False):
         self.types, self.readings, self.keeps_latest = types, readings, latest
-        self.before_registry, self._registry_w = _table(run, "registry", _REGISTRY)
-        self.before_groups, self._groups_w = _table(run, "groups", _GROUPS)
+        self._kept: list[DataFrame] = []
+        self.known_devices = JobTable(run.spark, run.path("registry"), _REGISTRY, DEVICE_KEY)
+        self.known_groups = JobTable(run.spark, run.path("groups"), _GROUPS, ["building", "group_id"])
         if readings:
-            self.before_retained, self._retained_w = _table(run, "retained", _RETAINED)
+            self.retained = JobTable(run.spark, run.path("retained"), _RETAINED, ["topic"], ["ts", "msg_offset"])
         if latest:
             schema = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING, msg_offset LONG, "
                       "ts TIMESTAMP_NTZ, " + D.reading_schema(types))
-            self.before_latest, self._latest_w = _table(run, "latest", schema)
+            self.latest = JobTable(run.spark, run.path("latest"), schema, DEVICE_KEY, ["ts", "msg_offset"])
 
     def see(self, batch: DataFrame, batch_id: int) -> None:
         """Registry and groups with this batch's registrations; ``delivered``:
         what subscriptions deliver in this batch (J3), decoded, bad rows with
         their reason.  A device that registers in the batch receives the
         retained message and every later one, others every reading."""
-        self._kept: list[DataFrame] = []
         requests = batch.where(F.col("kind") == REQUEST).select(F.col("id").alias("event_id"), "ts", "building", "topic", "payload")
         decoded = self._keep(R.decoded_requests(requests))
-        known = self.before_registry(batch_id).drop("batch")
+        known = self.known_devices.before(batch_id)
         self.fresh = self._keep(R.registry_of(decoded, self.types).join(known, DEVICE_KEY, "left_anti"))
         self.registry = known.unionByName(self.fresh)
-        had = self.before_groups(batch_id).drop("batch")
+        had = self.known_groups.before(batch_id)
         self.new_groups = R.groups_of(decoded).join(had, ["building", "group_id"], "left_anti")
         self.groups = had.unionByName(self.new_groups)
         if not self.readings:
             return
-        readings = batch.where(F.col("kind") == READING).select(F.col("id").alias("msg_offset"), "ts", "topic", "payload")
-        self.log = self._last(self.before_retained, batch_id).unionByName(readings)
-        delivered = L.replay_since_registration(self.log, self.fresh).unionByName(
-            L.telemetry_of_registered(readings, known).withColumn("retained", F.lit(False)))
+        self.messages = batch.where(F.col("kind") == READING).select(F.col("id").alias("msg_offset"), "ts", "topic", "payload")
+        log = self.retained.before(batch_id).unionByName(self.messages)
+        delivered = L.replay_since_registration(log, self.fresh).unionByName(
+            L.telemetry_of_registered(self.messages, known).withColumn("retained", F.lit(False)))
         self.delivered = self._keep(D.decode_by_type(delivered, registry=self.types))
         if self.keeps_latest:
             cols = [*DEVICE_KEY, "dev_type", "msg_offset", "ts", *D.reading_columns(self.types)]
+            self.valid = self.delivered.where("reason IS NULL").select(*cols)
             # a value as of a time in this batch is the last one before it or one of its own
-            self.values = self._last(self.before_latest, batch_id).select(*cols).unionByName(
-                self.delivered.where("reason IS NULL").select(*cols))
+            self.values = self.latest.before(batch_id).select(*cols).unionByName(self.valid)
 
     def commit(self, batch_id: int) -> None:
-        self._registry_w(self.fresh, batch_id)
-        self._groups_w(self.new_groups, batch_id)
+        self.known_devices.write(self.fresh, batch_id)
+        self.known_groups.write(self.new_groups, batch_id)
         if self.readings:
-            self._retained_w(L.retained_snapshot(self.log).select("msg_offset", "ts", "topic", "payload"), batch_id)
+            self.retained.write(L.retained_snapshot(self.messages), batch_id)
         if self.keeps_latest:
-            self._latest_w(L.latest_of(self.values, self.types), batch_id)
-        for df in self._kept:
-            df.unpersist()
+            self.latest.write(L.latest_of(self.valid, self.types), batch_id)
+
+    def release(self) -> None:
+        """Let go of what ``see`` keeps in memory, also when the batch failed."""
+        while self._kept:
+            self._kept.pop().unpersist()
 
     def _keep(self, df: DataFrame) -> DataFrame:
         self._kept.append(df.persist())
         return self._kept[-1]
 
-    @staticmethod
-    def _last(before, batch_id: int) -> DataFrame:
-        return before(batch_id).where(F.col("batch") == batch_id - 1).drop("batch")
 
+class Buildings:
+    """The buildings that exist, each since an instant: those of the start, and
+    every other one since its first registration request in the stream (U2)."""
+
+    def __init__(self, run: Run, seed: DataFrame):
+        self.seed = seed
+        self.added = JobTable(run.spark, run.path("buildings"), "building STRING, since TIMESTAMP_NTZ", ["building"])
+
+    def see(self, batch: DataFrame, batch_id: int) -> None:
+        known = R.building_instants(self.seed).unionByName(self.added.before(batch_id))
+        asked = batch.where(F.col("kind") == BUILDING).groupBy("building").agg(F.min("ts").alias("since"))
+        self.fresh = asked.join(known, "building", "left_anti")
+        self.instants = known.unionByName(self.fresh)
+
+    def commit(self, batch_id: int) -> None:
+        self.added.write(self.fresh, batch_id)
 
-def _run_fleet(src: DataFrame, run: Run, fleet: Fleet, job: Callable[[DataFrame, int], None]) -> None:
-    """Every micro-batch: see it, run ``job`` (which writes the outputs), commit the fleet's state."""
+    def release(self) -> None:
+        pass
+
+
+def _run_stateful(src: DataFrame, run: Run, states: list, job: Callable[[DataFrame, int], None]) -> None:
+    """Every micro-batch: ``states`` see it, ``job`` writes the outputs, the states commit."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        fleet.see(batch, batch_id)
-        job(batch, batch_id)
-        fleet.commit(batch_id)
-        batch.unpersist()
+        try:
+            for x in states:
+                x.see(batch, batch_id)
+            job(batch, batch_id)
+            for x in states:
+                x.commit(batch_id)
+        finally:
+            for x in states:
+                x.release()
+            batch.unpersist()
 
     _run_batches(src, run, sink)
 
@@ -216,23 +229,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         bad_w(fleet.delivered.where("reason IS NOT NULL").select("msg_offset", "topic", "building", "group_id", "dev_id",
                                                                  "dev_type", "reason"), batch_id)
 
-    _run_fleet(src, run, fleet, job)
+    _run_stateful(src, run, [fleet], job)
     return _read_sink(run)
 
 
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Continuously updated latest value per device, devices registering
-    inside the stream.  Every micro-batch merges its valid delivered readings
-    into the table of latest values and writes it whole (one row per device):
-    the newest folder is the current table."""
+    inside the stream.  Every micro-batch adds the latest of its valid delivered
+    readings to the table of latest values (``Fleet``), which is the result."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t3")
     src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests), _bounds(c))
     fleet = Fleet(run, c.types, latest=True)
-    newest = [-1]
-    _run_fleet(src, run, fleet, lambda batch, batch_id: newest.append(batch_id))
-    return (Fleet._last(fleet.before_latest, max(newest) + 1)
-            .select(*DEVICE_KEY, "dev_type", "msg_offset", "ts", "value", "unit", "percentage", "status"))
+    _run_stateful(src, run, [fleet], lambda batch, batch_id: None)
+    return fleet.latest.current().select(*DEVICE_KEY, "dev_type", "msg_offset", "ts", "value", "unit", "percentage", "status")
 
 
 # --- T4 / T6 / T7: region documents ---------------------------------------------------
@@ -242,52 +252,54 @@ def _documents(batch: DataFrame, kind: str) -> DataFrame:
 
 
 def _decoded(docs: DataFrame, body: str, buildings: DataFrame, keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(persisted decoded documents, their entries routed to registered
-    buildings); documents that do not decode are in the first for the quarantine."""
+    """(persisted decoded documents, their entries routed to the buildings that exist
+    at the documents' time); documents that do not decode are in the first for
+    the quarantine."""
     decoded = E.decode_envelope(docs, body).persist()
     entries = E.explode_decoded(decoded, body, last_wins=True, keep_text=keep_text)
-    return decoded, E.route_to_registered_buildings(entries, buildings)
+    return decoded, E.route_as_of(entries, buildings)
 
 
 def stream_route_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: region query and command documents -> per-building topics (one folder
-    per topic); documents that do not decode go to a quarantine folder."""
+    per topic), buildings registering inside the stream; documents that do not
+    decode go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir)
     run = Run(spark, "t4")
-    src = _replay(run, "documents", _log(query=c.queries_raw, command=c.commands_raw), _bounds(c))
-    buildings = c.buildings
+    src = _replay(run, "documents", _log(query=c.queries_raw, command=c.commands_raw, building=c.building_requests), _bounds(c))
+    buildings = Buildings(run, c.buildings)
     routed_w = idempotent_batch_writer(run.path("out"), topic_col="out_topic")
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        queries, routed_q = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings)
-        commands, routed_c = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings)
+    def job(batch: DataFrame, batch_id: int) -> None:
+        queries, routed_q = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings.instants)
+        commands, routed_c = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings.instants)
         routed_w(CAT.to_topics(routed_q, K.QUERY_PREFIX).unionByName(CAT.to_topics(routed_c, K.COMMAND_PREFIX)), batch_id)
         bad_w(E.envelope_quarantine(queries).unionByName(E.envelope_quarantine(commands)), batch_id)
-        for df in (queries, commands, batch):
+        for df in (queries, commands):
             df.unpersist()
 
-    _run_batches(src, run, sink)
+    _run_stateful(src, run, [buildings], job)
     return CAT.bodies_of(_read_sink(run))
 
 
 def stream_query_answers(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
-    """One log of registrations, readings and query documents; every query
-    is answered with the latest values as of its time, from what the stream
+    """One log of building and device registrations, readings and query
+    documents; every query to a building that exists by then is answered with the latest values as of its time, from what the stream
     has seen (``Fleet``), as JSON under Query-results-{building} in
     ``messages``; bad documents go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir)
     run = run or Run(spark, "t6")
-    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests, query=c.queries_raw), _bounds(c))
-    buildings = c.buildings
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests, query=c.queries_raw, building=c.building_requests),
+                  _bounds(c))
+    buildings = Buildings(run, c.buildings)
     fleet = Fleet(run, c.types, latest=True)
     out_w = idempotent_batch_writer(run.path("out"))
     message_w = idempotent_batch_writer(run.path("messages"), topic_col="out_topic")
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings)
+        decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings.instants)
         groups = E.explode_query_groups(routed).persist()
         known = Q.query_known_devices(E.devices_of_groups(groups), fleet.registry)
         asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id")).distinct()
@@ -299,25 +311,25 @@ def stream_query_answers(spark: SparkSession, sf_dir: str, run: Run | None = Non
         for df in (replies, groups, decoded):
             df.unpersist()
 
-    _run_fleet(src, run, fleet, job)
+    _run_stateful(src, run, [fleet, buildings], job)
     return _read_sink(run)
 
 
 def stream_command_status(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
-    """One log of registrations and command documents; commands for known
-    devices are dispatched on ``{path}/cmd`` (folder ``dispatch``), every
+    """One log of building and device registrations and command documents;
+    commands for known devices are dispatched on ``{path}/cmd`` (folder ``dispatch``), every
     document gets its status roll-up, bad ones go to a quarantine folder."""
     c = CAT.Ctx(spark, sf_dir)
     run = run or Run(spark, "t7")
-    src = _replay(run, "log", _log(request=c.requests, command=c.commands_raw), _bounds(c))
-    buildings = c.buildings
+    src = _replay(run, "log", _log(request=c.requests, command=c.commands_raw, building=c.building_requests), _bounds(c))
+    buildings = Buildings(run, c.buildings)
     fleet = Fleet(run, c.types, readings=False)
     out_w = idempotent_batch_writer(run.path("out"))
     dispatch_w = idempotent_batch_writer(run.path("dispatch"))
     bad_w = idempotent_batch_writer(run.path("quarantine"))
 
     def job(batch: DataFrame, batch_id: int) -> None:
-        decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings, keep_text=True)
+        decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings.instants, keep_text=True)
         rows = C.command_rows(routed, fleet.groups, fleet.registry, c.types).persist()
         out_w(C.gather_command_status(rows), batch_id)
         dispatch_w(C.dispatch_statuses(rows).where("ok").select("event_id", "building", "group_pos", "device_pos", "device_id",
@@ -326,7 +338,7 @@ def stream_command_status(spark: SparkSession, sf_dir: str, run: Run | None = No
         for df in (rows, decoded):
             df.unpersist()
 
-    _run_fleet(src, run, fleet, job)
+    _run_stateful(src, run, [fleet, buildings], job)
     return _read_sink(run)
 
 
@@ -349,9 +361,8 @@ def stream_registration(spark: SparkSession, sf_dir: str, state: str = "table")
     """Registration requests -> one reply per request; requests that do not
     decode go to a quarantine folder.
 
-    ``state="table"`` (default) keeps the registry as a table written one
-    folder per batch id next to the checkpoint: each micro-batch is answered
-    with the batch operator (JVM only, no per-key Python) against the devices
+    ``state="table"`` (default) keeps the registry as a ``JobTable`` next to the
+    checkpoint: each micro-batch is answered with the batch operator (JVM only, no per-key Python) against the devices
     registered by earlier batches.  ``state="store"`` keeps a flag per device
     in the RocksDB state store (``transformWithStateInPandas``)."""
     c = CAT.Ctx(spark, sf_dir)
@@ -362,15 +373,15 @@ def stream_registration(spark: SparkSession, sf_dir: str, state: str = "table")
         _run_batches(ST.registration_replies(src, c.types), run, out_w)
     else:
         src = _replay(run, "requests", c.requests, _bounds(c))
-        registry, registry_w = _table(run, "registry", "building STRING, group_id STRING, dev_id STRING")
+        registry = JobTable(spark, run.path("registry"), "building STRING, group_id STRING, dev_id STRING", DEVICE_KEY)
         bad_w = idempotent_batch_writer(run.path("quarantine"))
 
         def sink(batch: DataFrame, batch_id: int) -> None:
             good, bad = (df.persist() for df in D.split(D.decode_register(batch)))
-            replies, fresh = registration_batch(good, registry(batch_id), c.types)
+            replies, fresh = registration_batch(good, registry.before(batch_id), c.types)
             out_w(replies, batch_id)
             bad_w(bad, batch_id)
-            registry_w(fresh.select(*DEVICE_KEY), batch_id)
+            registry.write(fresh.select(*DEVICE_KEY), batch_id)
             good.unpersist()
             bad.unpersist()
 
@@ -396,23 +407,42 @@ def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_sink(run)
 
 
-def stream_device_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings and executed commands folded per device into the expected
-    state, one output row per event (equal to the batch W3)."""
+def stream_device_state(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """One log of building and device registrations, readings and command
+    documents, folded into the devices' expected state, one output row per event.
+    A device runs from its registration on.
+
+    A micro-batch is folded by the batch operator (``expected_states``) from the
+    states that earlier ones left, so a hot device is folded in as many parts as
+    it has time buckets and no row passes Python; the last state of every device
+    it has touched is added to the table of states.  Within a micro-batch events
+    are in time order, across micro-batches in arrival order."""
     c = CAT.Ctx(spark, sf_dir)
-    run = Run(spark, "t8")
-    readings = L.valid_readings(c.telemetry, c.registry, c.types).select(
-        *DEVICE_KEY, "dev_type", "ts", F.lit(0).alias("kind"), F.col("msg_offset").alias("seq"),
-        "value", "percentage", F.lit(None).cast("double").alias("set_value"),
-        F.lit(None).cast("string").alias("new_status"))
-    executed = C.validate_commands(c.routed_commands, c.groups, c.registry, c.types).where("valid").select(
-        "building", "group_id", F.col("device_id").alias("dev_id"), "dev_type", "ts", F.lit(1).alias("kind"),
-        F.col("event_id").alias("seq"), F.lit(None).cast("double").alias("value"),
-        F.lit(None).cast("double").alias("percentage"), "set_value", "new_status")
-    # one log of both kinds, so every micro-batch holds one time slice of each
-    src = _replay(run, "device-events", readings.unionByName(executed), _bounds(c))
-    out = ST.device_state(src)
-    _run_batches(out, run, idempotent_batch_writer(run.path("out")))
+    run = run or Run(spark, "t8")
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests, command=c.commands_raw, building=c.building_requests),
+                  _bounds(c))
+    fleet, buildings = Fleet(run, c.types, readings=False), Buildings(run, c.buildings)
+    columns = expected_columns(c.types)
+    states = JobTable(spark, run.path("states"), "building STRING, group_id STRING, dev_id STRING, dev_type STRING, " + ", ".join(
+        f"{x} {C.STATE_KINDS.get(x, 'double')}" for x in columns), DEVICE_KEY, order=[])
+    out_w = idempotent_batch_writer(run.path("out"))
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        readings = batch.where(F.col("kind") == READING).select(F.col("id").alias("msg_offset"), "ts", "topic", "payload")
+        valid = L.valid_readings(readings, fleet.registry, c.types).where("ts > reg_ts")
+        decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings.instants, keep_text=True)
+        events = C.device_events(valid, C.validate_commands(routed, fleet.groups, fleet.registry, c.types), c.types).persist()
+        first = events.agg(F.min("ts").alias("t")).first()["t"]     # one value: before it all earlier states stand
+        touched = events.select(*DEVICE_KEY).distinct()
+        before = states.before(batch_id).join(touched, DEVICE_KEY, "left_semi").withColumn("ts", F.lit(first).cast("timestamp_ntz"))
+        out = C.expected_states(events, c.types, before).persist()
+        out_w(out, batch_id)
+        last = F.max_by(F.struct(*columns), F.struct("ts", F.col("kind") == "command", "seq"))
+        states.write(out.groupBy(*DEVICE_KEY, "dev_type").agg(last.alias("s")).select(*DEVICE_KEY, "dev_type", "s.*"), batch_id)
+        for df in (out, events, decoded):
+            df.unpersist()
+
+    _run_stateful(src, run, [fleet, buildings], job)
     return _read_sink(run).drop("ts")
 
 
