@@ -12,6 +12,7 @@ document.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -117,13 +118,32 @@ def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: D
 
 def gather_with(items: DataFrame, keys: list[str], order: list[str], item: Column,
                 fold: Callable[[Column], Column], name: str = "gathered") -> DataFrame:
-    """Gather items per key in ``order`` and apply a user fold (a Column
-    function over the ordered array, e.g. via ``F.aggregate``)."""
+    """Gather items per key in ``order`` and apply a user fold that needs it (a
+    Column function over the ordered array, e.g. via ``F.aggregate``).  A key's
+    items come together: for bounded keys, as the items of one document; other
+    folds go through ``gather_fold``."""
     arr = F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], item.alias("_item")))),
                       lambda s: s["_item"])
     return items.groupBy(*keys).agg(fold(arr).alias(name))
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A user fold that does not need the items' order: ``parts`` are aggregates, each
+    of which Spark merges from partial ones; ``finish`` makes the result of their
+    values (default: a struct of them)."""
+
+    parts: dict[str, Column]
+    finish: Callable[[dict[str, Column]], Column] = lambda p: F.struct(*[c.alias(n) for n, c in p.items()])
+
+
+def gather_fold(items: DataFrame, keys: list[str], fold: Fold, name: str = "gathered") -> DataFrame:
+    """X3 with a mergeable fold: items are folded where they are, and one partial
+    result per key and task is shuffled, however many items a key has."""
+    g = items.groupBy(*keys).agg(*[c.alias(f"_fold_{n}") for n, c in fold.parts.items()])
+    return g.select(*keys, fold.finish({n: F.col(f"_fold_{n}") for n in fold.parts}).alias(name))
+
+
 def query_keys(qgroups: DataFrame) -> DataFrame:
     """One row per good routed building query: its first group row (or the
     single NULL row of a query without groups); no shuffle."""

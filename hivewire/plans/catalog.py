@@ -21,7 +21,9 @@ from ..operators import latest as L
 from ..operators import query as Q
 from ..operators import registry as R
 from ..operators import state as S
-from ..operators.devices import BATTERY, THERMOSTAT, DeviceType, Field, Registry
+from ..operators.devices import BATTERY, THERMOSTAT, Command, DeviceType, Field, Registry
+from ..operators.fold import STATE, Lift, StateRule, is_kind, merged
+from ..operators.registry import DEVICE_KEY
 from ..session import scratch_path
 from ..sources import feeds
 from ..sources import topic_log as TL
@@ -355,6 +357,65 @@ def device_type_registry(c: Ctx) -> DataFrame:
                  "device_id", "ok", "message")
 
 
+# The same type name as a full plug-in: a number field of its own (power), a
+# command and a state rule whose values merge as last, sum and maximum.
+TOASTER_LIMIT = 100.0
+
+
+def _limit_command(v):
+    """'set' with a number from 0 to ``TOASTER_LIMIT``."""
+    name, value = J.field(v, "name"), J.field(v, "value")
+    shape = J.is_object(v) & J.is_string(name) & (J.get_string(name) == K.SET) & J.is_number(value)
+    ok = F.coalesce(shape & J.get_double(value).between(0.0, TOASTER_LIMIT), F.lit(False))
+    return ok, F.when(~ok, F.lit("unsupported command")), F.when(ok, J.get_double(value)), F.lit(None).cast("string")
+
+
+POWERED_TOASTER = DeviceType(
+    "toaster", (Field("deviceId", "string"), Field("power", "number"), Field("timestamp", "string")),
+    command=Command(_limit_command),
+    state=StateRule(
+        {"expected_limit": lambda: F.coalesce(merged("toaster", "limit"), F.lit(TOASTER_LIMIT)),
+         "expected_used": lambda: F.coalesce(merged("toaster", "used"), F.lit(0.0)),
+         "expected_peak": lambda: merged("toaster", "peak")},
+        ((Lift("limit", lambda: F.coalesce("set_value", "expected_limit")),
+          Lift("used", lambda: F.when(is_kind(STATE), F.col("expected_used")).otherwise(F.col("power")), how="sum"),
+          Lift("peak", lambda: F.coalesce("power", "expected_peak"), how="max")),)))
+POWERED = Registry((THERMOSTAT, BATTERY, POWERED_TOASTER))
+
+
+class PoweredCtx(Ctx):
+    """Readings that also carry a ``power`` member."""
+
+    @property
+    def telemetry(self): return self.feed("telemetry_raw").selectExpr(*feeds.POWERED_TELEMETRY)
+
+
+def device_type_plugin(c: Ctx) -> DataFrame:
+    """A plugged-in type through A3 (``latest``), J6 (``value``), A4 (``result``) and
+    W3 (``state``), as rows of one table."""
+    e = PoweredCtx(c.spark, c.sf, POWERED)
+    ours = F.col("dev_type") == POWERED_TOASTER.name
+    none = lambda kind: F.lit(None).cast(kind)       # noqa: E731
+
+    def rows(df, section, key, a, b=none("double"), more=none("double"), text=none("string"), keys=DEVICE_KEY):
+        return df.select(F.lit(section).alias("section"), *[F.col(k) if k in keys else none("string").alias(k) for k in DEVICE_KEY],
+                         F.col(key).alias("key"), a.cast("double").alias("a"), b.cast("double").alias("b"),
+                         more.cast("double").alias("c"), text.alias("text"))
+
+    latest = L.latest_per_device(e.telemetry, e.registry, e.types).where(ours)
+    values = Q.query_latest_values(e.known_devices, e.asked_readings, e.types).where(ours).withColumnsRenamed(
+        {"group": "group_id", "device": "dev_id"})
+    place = F.concat_ws(":", "query_id", "group_pos", "device_pos")
+    replies = Q.query_replies(e.query_groups, e.asked_readings, e.registry, e.groups, e.types)
+    results = Q.gather_query_results(replies, e.query_groups)
+    states = C.reconcile_commands(e.telemetry, e.routed_commands, e.groups, e.registry, e.types).where(ours)
+    return (rows(latest, "latest", "msg_offset", F.col("power"))
+            .unionByName(rows(values, "value", "event_id", F.col("power"), F.col("reading_offset"), text=place))
+            .unionByName(rows(results, "result", "event_id", F.size("results"), text=F.col("query_id"), keys=["building"]))
+            .unionByName(rows(states, "state", "seq", F.col("expected_limit"), F.col("expected_used"), F.col("expected_peak"),
+                              F.col("kind"))))
+
+
 def _has_device(p):
     """A user parse function for X2: the message must name a device."""
     v = J.parse(p)
@@ -367,14 +428,12 @@ def parse_with(c: Ctx) -> DataFrame:
 
 
 def gather_with(c: Ctx) -> DataFrame:
+    """Replies of a query counted by a mergeable fold."""
     rep = Q.query_replies(c.query_groups, c.asked_readings, c.registry, c.groups, c.types)
-    item = F.struct(F.col("kind"), F.col("reading_offset"))
-    zero = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e"))
-    fold = lambda a: F.aggregate(a, zero, lambda acc, x: F.struct(
-        (acc.d + F.when((x.kind == "data") & x.reading_offset.isNotNull(), 1).otherwise(0)).alias("d"),
-        (acc.n + F.when((x.kind == "data") & x.reading_offset.isNull(), 1).otherwise(0)).alias("n"),
-        (acc.e + F.when(x.kind == "error", 1).otherwise(0)).alias("e")))
-    g = Q.gather_with(rep, Q.QUERY_KEY, ["group_pos", "device_pos"], item, fold, "f")
+    has = F.col("reading_offset").isNotNull()
+    fold = Q.Fold({"d": F.count_if((F.col("kind") == "data") & has), "n": F.count_if((F.col("kind") == "data") & ~has),
+                   "e": F.count_if(F.col("kind") == "error")})
+    g = Q.gather_fold(rep, Q.QUERY_KEY, fold, "f")
     return g.select(*Q.QUERY_KEY, F.col("f.d").alias("n_with_data"), F.col("f.n").alias("n_no_data"),
                     F.col("f.e").alias("n_errors"))
 
@@ -421,6 +480,7 @@ BATCH: dict[str, Callable[[Ctx], DataFrame]] = {
     "union_building_feeds": union_building_feeds,
     "merge_building_registry": merge_building_registry,
     "device_type_registry": device_type_registry,
+    "device_type_plugin": device_type_plugin,
     "parse_with": parse_with,
     "gather_with": gather_with,
 }

@@ -368,6 +368,42 @@ gw AS (SELECT q.user_id, q.request_ts, CAST(coalesce(coalesce(g.first_late - 1,
        FROM greq q LEFT JOIN gg g USING (user_id))"""
 
 
+def _plugin() -> str:
+    """A type with a number field, a command and a state of its own."""
+    c = "command"
+    valid = (f"({is_obj(c)} AND {kind(c, '$.name')} = 'string' AND json_extract_string({c}, '$.name') = 'set' "
+             f"AND {kind(c, '$.value')} = 'number' AND {jnum(c, '$.value')} BETWEEN 0 AND 100)")
+    fields = (("deviceId", "string", None), ("power", "number", None), ("timestamp", "string", None))
+    part = "PARTITION BY building, group_id, dev_id ORDER BY ts, k, key ROWS UNBOUNDED PRECEDING"
+    feed = FD.TELEMETRY_RAW.sql()
+    common = ctes(TYPES_X).strip().replace(f"tr AS ({feed})", f"tr AS (SELECT {', '.join(FD.POWERED_TELEMETRY)} FROM ({feed}))")
+    return f"""WITH {common},
+{_j6()},
+px AS (SELECT *, {jnum('j', '$.power')} AS power, {reason('j', fields)} AS why
+       FROM (SELECT msg_offset, ts, building, group_id, dev_id, reg_ts, {valid_json('payload')} AS j FROM tj WHERE dev_type = 'toaster')),
+p3 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY building, group_id, dev_id, ts <= reg_ts
+                                          ORDER BY ts DESC, msg_offset DESC) AS rn FROM px)
+       WHERE (ts > reg_ts OR rn = 1) AND why IS NULL),
+pe AS (SELECT building, group_id, dev_id, ts, 0 AS k, msg_offset AS key, power, CAST(NULL AS DOUBLE) AS lim FROM px WHERE why IS NULL
+       UNION ALL SELECT building, group_id, device_id, ts, 1, event_id, NULL, {jnum(c, '$.value')} FROM cknown
+       WHERE dev_type = 'toaster' AND coalesce({valid}, false))
+SELECT 'latest' AS section, building, group_id, dev_id, msg_offset AS key, power AS a, CAST(NULL AS DOUBLE) AS b,
+       CAST(NULL AS DOUBLE) AS c, CAST(NULL AS VARCHAR) AS text
+FROM (SELECT *, row_number() OVER (PARTITION BY building, group_id, dev_id ORDER BY ts DESC, msg_offset DESC) AS rn FROM p3) WHERE rn = 1
+UNION ALL
+SELECT 'value', k.building, k."group", k.device, k.event_id, v.power, CAST(v.msg_offset AS DOUBLE), NULL,
+       concat_ws(':', k.query_id, k.group_pos, k.device_pos)
+FROM (SELECT * FROM known WHERE dev_type = 'toaster') k ASOF LEFT JOIN p3 v
+ON k.building = v.building AND k."group" = v.group_id AND k.device = v.dev_id AND k.ts >= v.ts
+UNION ALL
+SELECT 'result', k.building, NULL, NULL, k.event_id, CAST(count(i.kind) AS DOUBLE), NULL, NULL, k.query_id
+FROM qgood k LEFT JOIN items i USING (event_id, building, query_id) GROUP BY k.event_id, k.building, k.query_id
+UNION ALL
+SELECT 'state', building, group_id, dev_id, key, coalesce(last_value(lim IGNORE NULLS) OVER ({part}), 100),
+       coalesce(sum(power) OVER ({part}), 0), max(power) OVER ({part}), CASE WHEN k = 0 THEN 'reading' ELSE 'command' END FROM pe
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     o["read_topic_log"] = FD.TELEMETRY_RAW.sql()
@@ -497,6 +533,7 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN (SELECT DISTINCT region, building FROM bl) s USING (region, building)"""
     o["device_type_registry"] = "WITH " + ctes(TYPES_X).strip() + ",\n" + _dispatch(TYPES_X) + """
         SELECT event_id, building, group_pos, device_pos, device_id, ok, message FROM st WHERE device_pos IS NOT NULL"""
+    o["device_type_plugin"] = _plugin()
     o["parse_with"] = f"""SELECT msg_offset, {jstr('j', '$.deviceId')} AS device_id,
         CASE WHEN j IS NULL THEN 'malformed' WHEN coalesce({kind('j', '$.deviceId')} <> 'string', true) THEN 'no device' END AS reason
         FROM (SELECT *, {valid_json('payload')} AS j FROM ({FD.TELEMETRY_RAW.sql()}))"""

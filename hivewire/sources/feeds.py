@@ -64,6 +64,13 @@ TELEMETRY_RAW = Feed(
     ),
 )
 
+# Readings with one more member, for a plugged-in type; broken payloads stay as they are.
+POWERED_TELEMETRY = (
+    "msg_offset", "ts", "topic",
+    "CASE WHEN payload LIKE '%}' THEN concat(substr(payload, 1, length(payload) - 1), ',\"power\":', msg_offset % 100, '}') "
+    "ELSE payload END AS payload",
+)
+
 # Region query envelopes: % 3 adds an unknown group, % 7 repeats the building
 # (last wins), % 10 = 8 lacks groupList (whole document to quarantine).
 QUERIES_RAW = Feed(

@@ -10,6 +10,7 @@ back; they must equal the batch results.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,9 +113,9 @@ class Fleet:
     last message of every topic (what a broker retains) and the last valid
     delivered reading of every device (a batch writes those it has seen).
 
-    ``see`` reads a micro-batch against what earlier batches left; ``commit``
-    writes the batch's additions after the job's outputs, so a replayed batch
-    starts from the same state."""
+    ``see`` reads a micro-batch against what earlier batches left; ``additions``
+    are the batch's, written after the job's outputs, so a replayed batch starts
+    from the same state."""
 
     def __init__(self, run: Run, types, readings: bool = True, latest: bool = False):
         self.types, self.readings, self.keeps_latest = types, readings, latest
@@ -134,9 +135,9 @@ class Fleet:
         their reason.  A device that registers in the batch receives the
         retained message and every later one, others every reading."""
         requests = batch.where(F.col("kind") == REQUEST).select(F.col("id").alias("event_id"), "ts", "building", "topic", "payload")
-        decoded = self._keep(R.decoded_requests(requests))
+        decoded = self.keep(R.decoded_requests(requests))
         known = self.known_devices.before(batch_id)
-        self.fresh = self._keep(R.registry_of(decoded, self.types).join(known, DEVICE_KEY, "left_anti"))
+        self.fresh = self.keep(R.registry_of(decoded, self.types).join(known, DEVICE_KEY, "left_anti"))
         self.registry = known.unionByName(self.fresh)
         had = self.known_groups.before(batch_id)
         self.new_groups = R.groups_of(decoded).join(had, ["building", "group_id"], "left_anti")
@@ -147,27 +148,27 @@ class Fleet:
         log = self.retained.before(batch_id).unionByName(self.messages)
         delivered = L.replay_since_registration(log, self.fresh).unionByName(
             L.telemetry_of_registered(self.messages, known).withColumn("retained", F.lit(False)))
-        self.delivered = self._keep(D.decode_by_type(delivered, registry=self.types))
+        self.delivered = self.keep(D.decode_by_type(delivered, registry=self.types))
         if self.keeps_latest:
             cols = [*DEVICE_KEY, "dev_type", "msg_offset", "ts", *D.reading_columns(self.types)]
             self.valid = self.delivered.where("reason IS NULL").select(*cols)
             # a value as of a time in this batch is the last one before it or one of its own
             self.values = self.latest.before(batch_id).select(*cols).unionByName(self.valid)
 
-    def commit(self, batch_id: int) -> None:
-        self.known_devices.write(self.fresh, batch_id)
-        self.known_groups.write(self.new_groups, batch_id)
+    def additions(self) -> list[tuple[JobTable, DataFrame]]:
+        out = [(self.known_devices, self.fresh), (self.known_groups, self.new_groups)]
         if self.readings:
-            self.retained.write(L.retained_snapshot(self.messages), batch_id)
+            out.append((self.retained, L.retained_snapshot(self.messages)))
         if self.keeps_latest:
-            self.latest.write(L.latest_of(self.valid, self.types), batch_id)
+            out.append((self.latest, L.latest_of(self.valid, self.types)))
+        return out
 
     def release(self) -> None:
         """Let go of what ``see`` keeps in memory, also when the batch failed."""
         while self._kept:
             self._kept.pop().unpersist()
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame) -> DataFrame:
         self._kept.append(df.persist())
         return self._kept[-1]
 
@@ -186,23 +187,27 @@ class Buildings:
         self.fresh = asked.join(known, "building", "left_anti")
         self.instants = known.unionByName(self.fresh)
 
-    def commit(self, batch_id: int) -> None:
-        self.added.write(self.fresh, batch_id)
+    def additions(self) -> list[tuple[JobTable, DataFrame]]:
+        return [(self.added, self.fresh)]
 
     def release(self) -> None:
         pass
 
 
-def _run_stateful(src: DataFrame, run: Run, states: list, job: Callable[[DataFrame, int], None]) -> None:
-    """Every micro-batch: ``states`` see it, ``job`` writes the outputs, the states commit."""
+def _run_stateful(src: DataFrame, run: Run, states: list, job: Callable[[DataFrame, int], list | None]) -> None:
+    """Every micro-batch: ``states`` see it, ``job`` writes the outputs (and may give
+    rows for tables of its own), then all additions are written side by side.
+    Any failure fails the batch; its replay ignores what it left."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             for x in states:
                 x.see(batch, batch_id)
-            job(batch, batch_id)
-            for x in states:
-                x.commit(batch_id)
+            writes = job(batch, batch_id) or []
+            writes += [w for x in states for w in x.additions()]
+            if writes:
+                with ThreadPoolExecutor(len(writes)) as pool:
+                    list(pool.map(lambda w: w[0].write(w[1], batch_id), writes))
         finally:
             for x in states:
                 x.release()
@@ -427,7 +432,7 @@ def stream_device_state(spark: SparkSession, sf_dir: str, run: Run | None = None
         f"{x} {C.STATE_KINDS.get(x, 'double')}" for x in columns), DEVICE_KEY, order=[])
     out_w = idempotent_batch_writer(run.path("out"))
 
-    def job(batch: DataFrame, batch_id: int) -> None:
+    def job(batch: DataFrame, batch_id: int) -> list:
         readings = batch.where(F.col("kind") == READING).select(F.col("id").alias("msg_offset"), "ts", "topic", "payload")
         valid = L.valid_readings(readings, fleet.registry, c.types).where("ts > reg_ts")
         decoded, routed = _decoded(_documents(batch, COMMAND), E.COMMAND_BODY, buildings.instants, keep_text=True)
@@ -435,12 +440,12 @@ def stream_device_state(spark: SparkSession, sf_dir: str, run: Run | None = None
         first = events.agg(F.min("ts").alias("t")).first()["t"]     # one value: before it all earlier states stand
         touched = events.select(*DEVICE_KEY).distinct()
         before = states.before(batch_id).join(touched, DEVICE_KEY, "left_semi").withColumn("ts", F.lit(first).cast("timestamp_ntz"))
-        out = C.expected_states(events, c.types, before).persist()
+        out = fleet.keep(C.expected_states(events, c.types, before))
         out_w(out, batch_id)
-        last = F.max_by(F.struct(*columns), F.struct("ts", F.col("kind") == "command", "seq"))
-        states.write(out.groupBy(*DEVICE_KEY, "dev_type").agg(last.alias("s")).select(*DEVICE_KEY, "dev_type", "s.*"), batch_id)
-        for df in (out, events, decoded):
+        for df in (events, decoded):
             df.unpersist()
+        last = F.max_by(F.struct(*columns), F.struct("ts", F.col("kind") == "command", "seq"))
+        return [(states, out.groupBy(*DEVICE_KEY, "dev_type").agg(last.alias("s")).select(*DEVICE_KEY, "dev_type", "s.*"))]
 
     _run_stateful(src, run, [fleet, buildings], job)
     return _read_sink(run).drop("ts")
