@@ -31,6 +31,7 @@ from ..sources import feeds
 from ..sources.topic_log import idempotent_batch_writer
 from . import replay as RP
 from . import stateful as ST
+from .gather import Gathers
 from .tables import JobTable
 
 
@@ -207,7 +208,7 @@ def _run_stateful(src: DataFrame, run: Run, states: list, job: Callable[[DataFra
             writes += [w for x in states for w in x.additions()]
             if writes:
                 with ThreadPoolExecutor(len(writes)) as pool:
-                    list(pool.map(lambda w: w[0].write(w[1], batch_id), writes))
+                    list(pool.map(lambda w: w[0].write(w[1], batch_id, *w[2:]), writes))
         finally:
             for x in states:
                 x.release()
@@ -394,21 +395,37 @@ def stream_registration(spark: SparkSession, sf_dir: str, state: str = "table")
     return _read_sink(run).select("event_id", "building", "group_id", "dev_id", "reply_topic", "status")
 
 
-def stream_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: request/reply gather with an idle timeout, event-time timers; every
-    request gets one result row, at the expected count or at the timeout.
+def stream_gather(spark: SparkSession, sf_dir: str, state: str = "table", run: Run | None = None) -> DataFrame:
+    """T5: request/reply gather with an idle timeout; every request gets one result
+    row, at the expected count or at the timeout; late rows go to a quarantine.
 
-    A tick behind the last event (later than timeout and lateness) tells the
-    stream that time has passed, so the last gathers time out as well."""
+    ``state="table"`` (default) folds every micro-batch with joins and windows from
+    the open gathers (``Gathers``, JVM only); ``state="store"`` keeps a gather per
+    key in the RocksDB state store with event-time timers.  A tick behind the last
+    event (later than timeout and lateness) tells the stream that time has
+    passed, so the last gathers time out as well."""
     c = CAT.Ctx(spark, sf_dir)
-    run = Run(spark, "t5")
+    run = run or Run(spark, "t5")
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").where(
         "event_type IN ('purchase', 'view')").select("user_id", "event_id", "ts", "event_type")
     timeout = feeds.GATHER_TIMEOUT_HOURS * 3600
     late = F.make_dt_interval(secs=F.lit(2 * (timeout + ST.LATENESS_SECONDS)))
     tick = ev.agg((F.max("ts") + late).alias("ts"), F.max("user_id").alias("user_id")).where("ts IS NOT NULL").withColumn("event_type", F.lit("tick"))
     src = _replay(run, "events", ev.unionByName(tick, allowMissingColumns=True), _bounds(c))
-    _run_batches(ST.idle_gather(src, feeds.GATHER_EXPECTED, timeout), run, idempotent_batch_writer(run.path("out")))
+    out_w = idempotent_batch_writer(run.path("out"))
+    if state == "store":
+        _run_batches(ST.idle_gather(src, feeds.GATHER_EXPECTED, timeout), run, out_w)
+        return _read_sink(run)
+    late_w = idempotent_batch_writer(run.path("quarantine"))
+    gathers = Gathers(spark, run.path("state"), feeds.GATHER_EXPECTED, timeout)
+
+    def job(batch: DataFrame, batch_id: int) -> list:
+        done, behind, writes = gathers.fold(batch, batch_id)
+        out_w(done, batch_id)
+        late_w(behind, batch_id)
+        return writes
+
+    _run_stateful(src, run, [], job)
     return _read_sink(run)
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS, EVERY = 8, 8
@@ -100,19 +100,25 @@ class JobTable:
     def current(self) -> DataFrame:
         return self.before(max(self._ids()) + 1)
 
-    def write(self, rows: DataFrame, batch_id: int) -> None:
-        """Commit the rows that batch ``batch_id`` adds or replaces."""
+    def write(self, rows: DataFrame, batch_id: int, keep: Column | None = None) -> None:
+        """Commit the rows that batch ``batch_id`` adds or replaces.  Where buckets are
+        rewritten, rows that ``keep`` is not true for have had their time and go; with
+        ``keep``, every ``every ** 2`` batches all buckets are."""
         v = self._version(batch_id)
         delta = f"delta-{batch_id}"
         self._save(rows.select(*self.columns).withColumn("batch", F.lit(batch_id).cast("long")), delta)
         touched = [n[7:] for n in self._names(delta) if n.startswith("bucket=")]
         if touched:
             v["deltas"].append([delta, touched])
-        if len(v["deltas"]) >= self.every:
-            hit = sorted({b for _, of in v["deltas"] for b in of})
+        sweep = keep is not None and (batch_id + 1) % self.every ** 2 == 0 and (v["base"] or v["deltas"])
+        if sweep or len(v["deltas"]) >= self.every:
+            hit = sorted({b for _, of in v["deltas"] for b in of} | (set(v["base"]) if sweep else set()))
             base = f"base-{batch_id}"
-            self._save(self._rows([f"{v['base'][b]}/bucket={b}" for b in hit if b in v["base"]], [d for d, _ in v["deltas"]]), base)
-            v = {"base": {**v["base"], **{b: base for b in hit}}, "deltas": []}
+            whole = self._rows([f"{v['base'][b]}/bucket={b}" for b in hit if b in v["base"]], [d for d, _ in v["deltas"]])
+            self._save(whole if keep is None else whole.where(keep), base)
+            left = {n[7:] for n in self._names(base) if n.startswith("bucket=")}     # a bucket may have no row left
+            kept = {b: f for b, f in v["base"].items() if b not in hit}
+            v = {"base": {**kept, **{b: base for b in hit if b in left}}, "deltas": []}
         self._put(batch_id, v)
         self._clean()
 
