@@ -144,10 +144,10 @@ def gather_fold(items: DataFrame, keys: list[str], fold: Fold, name: str = "gath
     return g.select(*keys, fold.finish({n: F.col(f"_fold_{n}") for n in fold.parts}).alias(name))
 
 
-def query_keys(qgroups: DataFrame) -> DataFrame:
+def query_keys(qgroups: DataFrame, *more: str) -> DataFrame:
     """One row per good routed building query: its first group row (or the
     single NULL row of a query without groups); no shuffle."""
-    return qgroups.where("group_pos = 0 OR group_pos IS NULL").select(*QUERY_KEY)
+    return qgroups.where("group_pos = 0 OR group_pos IS NULL").select(*QUERY_KEY, *more)
 
 
 def gather_query_results(replies: DataFrame, qgroups: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from .decode import decode_register, filter_known_types, split
 from .devices import DEFAULT_REGISTRY, Registry
 
 DEVICE_KEY = ["building", "group_id", "dev_id"]
+START = dt.datetime(1, 1, 1)        # before any message
 
 
 def decoded_requests(requests: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ def merged_buildings(seed: DataFrame, requests: DataFrame) -> DataFrame:
 
 def building_instants(seed: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """``building, since``: seeded buildings since ever, others (U2) since their first request."""
-    out = seed.select("building", F.lit(dt.datetime(1, 1, 1)).cast("timestamp_ntz").alias("since")).distinct()
+    out = seed.select("building", F.lit(START).cast("timestamp_ntz").alias("since")).distinct()
     if requests is None:
         return out
     first = requests.groupBy("building").agg(F.min("ts").alias("since"))

@@ -554,5 +554,13 @@ def oracle_sql() -> dict[str, str]:
     # Streams of documents learn buildings as they register; a device runs from its registration on.
     for k in ("stream_route_envelopes", "stream_query_answers", "stream_command_status", "stream_device_state"):
         o[k] = live(o[k])
+    o["stream_region_view"] = live("WITH " + ctes().strip() + f""",
+        rg AS (SELECT region, building, min(since) AS since FROM (
+                 SELECT region, building, TIMESTAMP '0001-01-01' AS since FROM ({FD.BUILDINGS_SQL})
+                 UNION ALL SELECT region, building, ts FROM ({FD.BUILDING_REQUESTS_SQL})) GROUP BY region, building),
+        u AS (SELECT building, concat('Data-', building) AS out_topic, 'data' AS kind, msg_offset AS key, greatest(ts, reg_ts) AS at
+              FROM j3valid
+              UNION ALL SELECT building, concat('Query-results-', building), 'query-results', event_id, ts FROM qgood)
+        SELECT rg.region, u.building, u.out_topic, u.kind, u.key FROM u JOIN rg ON rg.building = u.building AND rg.since <= u.at""")
     o["stream_device_state"] = o["stream_device_state"].replace("FROM tvalid\n", "FROM tvalid WHERE ts > reg_ts\n")
     return o

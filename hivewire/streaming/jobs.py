@@ -103,7 +103,8 @@ def _log(**feeds_of: DataFrame) -> DataFrame:
     for kind, df in feeds_of.items():
         has = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
         part = df.select(F.lit(kind).alias("kind"), F.col("msg_offset" if kind == READING else "event_id").alias("id"),
-                         "ts", has("topic").alias("topic"), has("building").alias("building"), has("payload").alias("payload"))
+                         "ts", has("topic").alias("topic"), has("building").alias("building"),
+                         has("region").alias("region"), has("payload").alias("payload"))
         log = part if log is None else log.unionByName(part)
     return log
 
@@ -195,6 +196,34 @@ class Buildings:
         pass
 
 
+class Regions:
+    """The regions' buildings, each in its region since an instant: the start, or the
+    first registration request there (U2).  A region's view follows the topics of
+    its buildings, so its set of sources grows between micro-batches."""
+
+    KEY = ["region", "building"]
+
+    def __init__(self, run: Run, seed: DataFrame):
+        self.seed = seed.select(*self.KEY, F.lit(R.START).cast("timestamp_ntz").alias("since")).distinct()
+        self.added = JobTable(run.spark, run.path("regions"), "region STRING, building STRING, since TIMESTAMP_NTZ", self.KEY)
+
+    def see(self, batch: DataFrame, batch_id: int) -> None:
+        known = self.seed.unionByName(self.added.before(batch_id))
+        asked = batch.where(F.col("kind") == BUILDING).groupBy(*self.KEY).agg(F.min("ts").alias("since"))
+        self.fresh = asked.join(known, self.KEY, "left_anti")
+        self.instants = known.unionByName(self.fresh)
+
+    def of(self, messages: DataFrame) -> DataFrame:
+        """``messages(building, at, ...)`` once for every region that has the building by then."""
+        return messages.join(self.instants, "building").where(F.col("since") <= F.col("at")).drop("since", "at")
+
+    def additions(self) -> list[tuple[JobTable, DataFrame]]:
+        return [(self.added, self.fresh)]
+
+    def release(self) -> None:
+        pass
+
+
 def _run_stateful(src: DataFrame, run: Run, states: list, job: Callable[[DataFrame, int], list | None]) -> None:
     """Every micro-batch: ``states`` see it, ``job`` writes the outputs (and may give
     rows for tables of its own), then all additions are written side by side.
@@ -348,6 +377,32 @@ def stream_command_status(spark: SparkSession, sf_dir: str, run: Run | None = No
     return _read_sink(run)
 
 
+def stream_region_view(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """U1 live: what each region sees of its buildings' topics, Data-{building} and
+    Query-results-{building}.  A building that registers inside the stream is
+    followed from then on, next to those followed already; readings count at
+    their arrival, the retained one at the device's registration."""
+    c = CAT.Ctx(spark, sf_dir)
+    run = run or Run(spark, "u1")
+    src = _replay(run, "log", _log(reading=c.telemetry, request=c.requests, query=c.queries_raw, building=c.building_requests),
+                  _bounds(c))
+    fleet, regions = Fleet(run, c.types), Regions(run, c.buildings)
+    out_w = idempotent_batch_writer(run.path("out"))
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, regions.instants)
+        answered = Q.query_keys(E.explode_query_groups(routed), "ts")
+        data = L.published(fleet.delivered, c.types).select(
+            "building", "out_topic", F.lit("data").alias("kind"), F.col("msg_offset").alias("key"), F.greatest("ts", "reg_ts").alias("at"))
+        results = answered.select("building", F.concat(F.lit(K.QUERY_RESULTS_PREFIX + "-"), "building").alias("out_topic"),
+                                  F.lit("query-results").alias("kind"), F.col("event_id").alias("key"), F.col("ts").alias("at"))
+        out_w(regions.of(data.unionByName(results)).select("region", "building", "out_topic", "kind", "key"), batch_id)
+        decoded.unpersist()
+
+    _run_stateful(src, run, [fleet, regions], job)
+    return _read_sink(run)
+
+
 # --- T2 / T5 / T8: custom state -------------------------------------------------
 
 def registration_batch(batch: DataFrame, registry_so_far: DataFrame, types) -> tuple[DataFrame, DataFrame]:
@@ -478,6 +533,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_query_answers": stream_query_answers,
     "stream_command_status": stream_command_status,
     "stream_device_state": stream_device_state,
+    "stream_region_view": stream_region_view,
 }
 
 

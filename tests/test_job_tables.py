@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from hivewire.operators import command as C
 from hivewire.operators import envelopes as E
+from hivewire.operators import latest as L
 from hivewire.operators import query as Q
 from hivewire.operators.registry import DEVICE_KEY, building_instants
 from hivewire.plans import catalog as CAT
+from hivewire.sources import feeds
 from hivewire.sources.topic_log import idempotent_batch_writer
 from hivewire.streaming import jobs
 from hivewire.streaming.gather import Gathers
@@ -203,7 +205,6 @@ def statuses(c):
 
 
 def states(c):
-    from hivewire.operators import latest as L
     routed = live(c, c.commands_raw, E.COMMAND_BODY, keep_text=True)
     valid = L.valid_readings(c.telemetry, c.registry, c.types).where("ts > reg_ts")
     events = C.device_events(valid, C.validate_commands(routed, c.groups, c.registry, c.types), c.types)
@@ -271,6 +272,27 @@ def test_a_building_gets_only_documents_after_its_registration(spark):
     assert got.columns == entries.columns and sorted(r.event_id for r in got.collect()) == [0, 2, 3]
 
 
+def test_a_region_follows_buildings_as_they_register(spark, monkeypatch):
+    """Also when a micro-batch fails; nothing of a building is seen before, nothing twice."""
+    monkeypatch.setattr(feeds, "buildings", lambda spark, sf: feeds.all_buildings(spark, sf, "n_nationkey < 3"))
+    failures = breaking(monkeypatch, 6, True)
+    got = rows(jobs.stream_region_view(spark, SF_SMALL))
+    c = CAT.Ctx(spark, SF_SMALL)
+    seed = {(r.region, r.building) for r in c.buildings.collect()}
+    since = {}
+    for r in c.building_requests.collect():
+        since[r.region, r.building] = min(since.get((r.region, r.building), r.ts), r.ts)
+    want = []
+    regions = seed | set(since)
+    reg = {(r.building, r.group_id, r.dev_id): r.reg_ts for r in c.registry.collect()}
+    for r in L.delivered_readings(c.telemetry, c.registry, c.types).where("reason IS NULL").collect():
+        when = max(r.ts, reg[r.building, r.group_id, r.dev_id])
+        want += [(r.building, "data", r.msg_offset, f"Data-{r.building}", g) for g, b in regions
+                 if b == r.building and ((g, b) in seed or since[g, b] <= when)]
+    assert len(failures) == 1 and any(k not in seed for k in regions)
+    assert [x for x in got if x[1] == "data"] == sorted(want, key=str)
+
+
 # --- gathers -----------------------------------------------------------------------------------
 
 GATHER = "user_id LONG, event_id LONG, ts TIMESTAMP_NTZ, event_type STRING"
