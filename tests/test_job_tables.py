@@ -287,10 +287,10 @@ def test_a_region_follows_buildings_as_they_register(spark, monkeypatch):
     reg = {(r.building, r.group_id, r.dev_id): r.reg_ts for r in c.registry.collect()}
     for r in L.delivered_readings(c.telemetry, c.registry, c.types).where("reason IS NULL").collect():
         when = max(r.ts, reg[r.building, r.group_id, r.dev_id])
-        want += [(r.building, "data", r.msg_offset, f"Data-{r.building}", g) for g, b in regions
+        want += [(r.building, r.msg_offset, "data", f"Data-{r.building}", g) for g, b in regions
                  if b == r.building and ((g, b) in seed or since[g, b] <= when)]
     assert len(failures) == 1 and any(k not in seed for k in regions)
-    assert [x for x in got if x[1] == "data"] == sorted(want, key=str)
+    assert [x for x in got if x[2] == "data"] == sorted(want, key=str)
 
 
 # --- gathers -----------------------------------------------------------------------------------
