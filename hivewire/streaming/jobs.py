@@ -138,10 +138,10 @@ class Fleet:
         retained message and every later one, others every reading."""
         requests = batch.where(F.col("kind") == REQUEST).select(F.col("id").alias("event_id"), "ts", "building", "topic", "payload")
         decoded = self.keep(R.decoded_requests(requests))
-        known = self.known_devices.before(batch_id)
+        known = self.keep(self.known_devices.before(batch_id))
         self.fresh = self.keep(R.registry_of(decoded, self.types).join(known, DEVICE_KEY, "left_anti"))
         self.registry = known.unionByName(self.fresh)
-        had = self.known_groups.before(batch_id)
+        had = self.keep(self.known_groups.before(batch_id))
         self.new_groups = R.groups_of(decoded).join(had, ["building", "group_id"], "left_anti")
         self.groups = had.unionByName(self.new_groups)
         if not self.readings:
