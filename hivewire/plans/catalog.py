@@ -9,7 +9,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -18,6 +18,7 @@ from ..operators import command as C
 from ..operators import decode as D
 from ..operators import envelopes as E
 from ..operators import latest as L
+from ..operators import nested as N
 from ..operators import query as Q
 from ..operators import registry as R
 from ..operators import state as S
@@ -323,6 +324,37 @@ def device_lifecycle(c: Ctx) -> DataFrame:
     return R.device_lifecycle(c.requests, c.types)
 
 
+def _after(ts: str, milliseconds) -> Column:
+    return F.timestamp_add("MILLISECOND", milliseconds, F.col(ts))
+
+
+def device_replies(c: Ctx, qgroups: DataFrame) -> DataFrame:
+    """The replies of the asked devices (J6), each ``delay_ms`` after the one before."""
+    known = Q.query_known_devices(E.devices_of_groups(qgroups), c.registry)
+    values = Q.query_latest_values(known, Q.asked_readings(c.telemetry, known, c.registry, c.types), c.types)
+    text = _item_text()
+    return (values.withColumn("kind", F.lit("data")).join(c.feed("reply_delays"), "event_id")
+            .select(*N.GROUP_KEY, "device_pos", _after("ts", (F.col("device_pos") + 1) * F.col("delay_ms")).alias("ts"), text.alias("text"))
+            .where("ts IS NOT NULL"))
+
+
+def gather_two_level(c: Ctx) -> DataFrame:
+    """A4/A5 with the timers of groups and buildings."""
+    return N.two_level_gather(N.asked_groups(c.query_groups, c.registry, c.groups), device_replies(c, c.query_groups))
+
+
+def registration_replies(c: Ctx) -> DataFrame:
+    """Replies to registration requests (W1), each ``delay_ms`` after its request."""
+    delays = c.feed("edge_requests").select("event_id", "delay_ms")
+    return (R.registration_status(c.requests, c.types).join(delays, "event_id")
+            .select("event_id", _after("ts", F.col("delay_ms")).alias("ts"), "building", "dev_id", "status").where("ts IS NOT NULL"))
+
+
+def device_attempts(c: Ctx) -> DataFrame:
+    """W5 with retries and deadlines."""
+    return N.device_attempts(c.feed("edge_requests").drop("delay_ms"), registration_replies(c), feeds.REGISTER_TIMEOUT_SECONDS)
+
+
 # --- set operations ----------------------------------------------------------
 
 def union_building_feeds(c: Ctx) -> DataFrame:
@@ -476,6 +508,8 @@ BATCH: dict[str, Callable[[Ctx], DataFrame]] = {
     "reconcile_commands": reconcile_commands,
     "gather_idle_cutoff": gather_idle_cutoff,
     "device_lifecycle": device_lifecycle,
+    "gather_two_level": gather_two_level,
+    "device_attempts": device_attempts,
     "first_message_per_topic": first_message_per_topic,
     "union_building_feeds": union_building_feeds,
     "merge_building_registry": merge_building_registry,

@@ -368,6 +368,51 @@ gw AS (SELECT q.user_id, q.request_ts, CAST(coalesce(coalesce(g.first_late - 1,
        FROM greq q LEFT JOIN gg g USING (user_id))"""
 
 
+def _two_level() -> str:
+    """Idle gathers by windows: a reply is in while no gap up to it was too long."""
+    def rule(src: str, name: str, by: str, order: str, seconds: int) -> str:
+        return f"""{name}_gap AS (SELECT *, epoch_us(due) - epoch_us(coalesce(lag(due) OVER (PARTITION BY {by} ORDER BY {order}), ts)) AS gap
+              FROM {src}),
+{name}_in AS (SELECT * FROM (SELECT *, max(gap) OVER (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS worst FROM {name}_gap)
+              WHERE worst <= {seconds} * 1000000)"""
+    key = "event_id, building, query_id"
+    return f"""resp AS (SELECT j.*, j.ts + to_milliseconds((j.device_pos + 1) * d.delay_ms) AS due
+         FROM j6 j JOIN ({FD.REPLY_DELAYS.sql()}) d USING (event_id) WHERE d.delay_ms IS NOT NULL),
+{rule("resp", "dev", key + ", group_pos", "due, device_pos", 5)},
+ga AS (SELECT {key}, group_pos, count(*) AS n, max(due) AS last FROM dev_in GROUP BY ALL),
+ge AS (SELECT {key}, group_pos, count(*) AS n FROM known GROUP BY ALL),
+gc AS (SELECT g.{key.replace(", ", ", g.")}, g.ts, g.group_pos, g."group", coalesce(ge.n, 0) AS expected,
+              CASE WHEN ge.n IS NULL THEN g.ts WHEN ga.n = ge.n THEN ga.last ELSE coalesce(ga.last, g.ts) + INTERVAL 5 SECOND END AS due
+       FROM qgroups g LEFT JOIN ge USING ({key}, group_pos) LEFT JOIN ga USING ({key}, group_pos)
+       WHERE EXISTS (SELECT 1 FROM grp x WHERE x.building = g.building AND x.group_id = g."group" AND x.created_ts <= g.ts)),
+{rule("gc", "grp", key, "due, group_pos", 10)},
+parts AS (SELECT i.{key.replace(", ", ", i.")}, i.group_pos, d.device_pos, concat('data:', d."group", ':', d.device, ':',
+                 coalesce(CAST(d.reading_offset AS VARCHAR), '-')) AS text FROM grp_in i JOIN dev_in d USING ({key}, group_pos)
+          UNION ALL SELECT {key}, group_pos, NULL, concat('error:', "group", '::-') FROM grp_in WHERE expected = 0),
+pt AS (SELECT {key}, count(*) AS n_items, string_agg(text, ';' ORDER BY group_pos, device_pos) AS items FROM parts GROUP BY ALL),
+ba AS (SELECT {key}, count(*) AS n, max(due) AS last FROM grp_in GROUP BY ALL),
+be AS (SELECT k.{key.replace(", ", ", k.")}, k.ts, count(g.group_pos) AS n FROM qgood k LEFT JOIN qgroups g USING ({key}) GROUP BY ALL),
+answered AS (SELECT {key}, CASE WHEN ba.n = be.n THEN ba.last ELSE coalesce(ba.last, be.ts) + INTERVAL 10 SECOND END AS answered_at,
+             be.n AS expected_groups, coalesce(ba.n, 0) AS received_groups, coalesce(ba.n = be.n, false) AS complete,
+             coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items
+             FROM be LEFT JOIN ba USING ({key}) LEFT JOIN pt USING ({key}))"""
+
+
+def _attempts() -> str:
+    seconds = f"INTERVAL {FD.REGISTER_TIMEOUT_SECONDS} SECOND"
+    return f"""er AS ({FD.EDGE_REQUESTS.sql()}),
+rp AS (SELECT w.event_id, w.building, w.dev_id, w.status IN ('REGISTERED', 'DEVICE ALREADY RUNNING') AS good,
+              w.ts + to_milliseconds(e.delay_ms) AS due FROM w1 w JOIN er e USING (event_id) WHERE e.delay_ms IS NOT NULL),
+rs AS (SELECT building, dev_id, min(due) AS since FROM rp WHERE good GROUP BY ALL)
+SELECT building, dev_id, min(e.ts) AS first_request_ts, any_value(rs.since) AS running_since,
+       count(*) FILTER (WHERE since IS NULL OR e.ts < since) AS n_attempts,
+       count(*) FILTER (WHERE NOT rp.good AND (since IS NULL OR rp.due < since)) AS n_rejected,
+       count(*) FILTER (WHERE (since IS NULL OR e.ts + {seconds} < since) AND (rp.due IS NULL OR rp.due > e.ts + {seconds})) AS n_timeouts,
+       CASE WHEN any_value(rs.since) IS NULL THEN 'registering' ELSE 'running' END AS state
+FROM er e LEFT JOIN (SELECT event_id, good, due FROM rp) rp USING (event_id) LEFT JOIN rs USING (building, dev_id)
+GROUP BY building, dev_id"""
+
+
 def _plugin() -> str:
     """A type with a number field, a command and a state of its own."""
     c = "command"
@@ -519,6 +564,8 @@ def oracle_sql() -> dict[str, str]:
         FROM u3"""
     o["gather_idle_cutoff"] = f"""WITH {_w4()}
         SELECT user_id, request_ts, accepted, accepted = {FD.GATHER_EXPECTED} AS complete FROM gw"""
+    o["gather_two_level"] = "WITH " + ctes().strip() + ",\n" + _j6() + ",\n" + _two_level() + "\nSELECT * FROM answered"
+    o["device_attempts"] = "WITH " + ctes().strip() + ",\n" + _status_of_w1() + ",\n" + _attempts()
     o["union_building_feeds"] = "WITH " + ctes().strip() + ",\n" + _encode() + ",\n" + _j6() + ",\n" + _items_text() + """,
         u AS (SELECT building, out_topic, 'data' AS kind, msg_offset AS key FROM enc
               UNION ALL SELECT building, concat('Query-results-', building), 'query-results', event_id FROM gq)
@@ -548,11 +595,12 @@ def oracle_sql() -> dict[str, str]:
                "stream_registration": "registration_status", "stream_latest": "latest_per_device",
                "stream_route_envelopes": "route_to_topics", "stream_gather": "gather_idle_cutoff",
                "stream_query_answers": "gather_query_results", "stream_command_status": "gather_command_status",
-               "stream_device_state": "reconcile_commands"}
+               "stream_device_state": "reconcile_commands", "stream_two_level_gather": "gather_two_level",
+               "stream_device_attempts": "device_attempts"}
     for k, v in same_as.items():
         o[k] = o[v]
     # Streams of documents learn buildings as they register; a device runs from its registration on.
-    for k in ("stream_route_envelopes", "stream_query_answers", "stream_command_status", "stream_device_state"):
+    for k in ("stream_route_envelopes", "stream_query_answers", "stream_command_status", "stream_device_state", "stream_two_level_gather"):
         o[k] = live(o[k])
     o["stream_region_view"] = live("WITH " + ctes().strip() + f""",
         rg AS (SELECT region, building, min(since) AS since FROM (

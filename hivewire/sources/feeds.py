@@ -129,6 +129,22 @@ BUILDING_REQUESTS = Feed(
     ),
 )
 
+# Replies of asked devices, one after the other: a tenth of the purchase's value in seconds each, so that
+# some come in time, some after their group's or building's timer.
+REPLY_DELAYS = Feed(
+    "reply_delays", "events", "event_type = 'purchase'",
+    ("event_id", "CAST(round(value * 100) AS BIGINT) AS delay_ms"),
+)
+
+# Registration requests as the devices send them (the sender knows its own name, whatever the payload), and
+# how long the reply takes: a tenth of the event's value in seconds; unreadable requests get none.
+EDGE_REQUESTS = Feed(
+    "edge_requests", "events", "event_type = 'signup'",
+    ("event_id", "ts", "concat('building', user_id % 25) AS building", "concat('d', user_id) AS dev_id",
+     "CAST(round(value * 100) AS BIGINT) AS delay_ms"),
+)
+REGISTER_TIMEOUT_SECONDS = 5
+
 # Region of every building; documents also name buildings that are not
 # registered (nations 20..24), so the registered ones are nations 0..19.
 ALL_BUILDINGS_SQL = (
@@ -187,7 +203,7 @@ def gather_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 GATHER_REQUESTS_SQL = "SELECT user_id, min(ts) AS request_ts FROM events WHERE event_type = 'purchase' GROUP BY user_id"
 GATHER_REPLIES_SQL = "SELECT user_id, event_id, ts FROM events WHERE event_type = 'view'"
 
-FEEDS = {f.name: f for f in (REGISTER_REQUESTS, TELEMETRY_RAW, QUERIES_RAW, COMMANDS_RAW, DEVICE_LISTS)}
+FEEDS = {f.name: f for f in (REGISTER_REQUESTS, TELEMETRY_RAW, QUERIES_RAW, COMMANDS_RAW, DEVICE_LISTS, REPLY_DELAYS, EDGE_REQUESTS)}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

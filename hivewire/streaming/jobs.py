@@ -21,6 +21,7 @@ from ..operators import command as C
 from ..operators import decode as D
 from ..operators import envelopes as E
 from ..operators import latest as L
+from ..operators import nested as N
 from ..operators import query as Q
 from ..operators import registry as R
 from ..operators.registry import DEVICE_KEY
@@ -33,6 +34,7 @@ from . import replay as RP
 from . import stateful as ST
 from .gather import Gathers
 from .tables import JobTable
+from .timers import Attempts, NestedGathers
 
 
 class Run:
@@ -93,7 +95,7 @@ _REGISTRY = ("building STRING, group_id STRING, dev_id STRING, dev_type STRING,
              "reg_ts TIMESTAMP_NTZ, reg_event_id LONG")
 _GROUPS = "building STRING, group_id STRING, created_ts TIMESTAMP_NTZ"
 _RETAINED = "msg_offset LONG, ts TIMESTAMP_NTZ, topic STRING, payload STRING"
-READING, REQUEST, QUERY, COMMAND, BUILDING = "reading", "request", "query", "command", "building"
+READING, REQUEST, QUERY, COMMAND, BUILDING, REPLY = "reading", "request", "query", "command", "building", "reply"
 
 
 def _log(**feeds_of: DataFrame) -> DataFrame:
@@ -523,6 +525,90 @@ def stream_device_state(spark: SparkSession, sf_dir: str, run: Run | None = None
     return _read_sink(run).drop("ts")
 
 
+def _tick(df: DataFrame, seconds: float = 24 * 3600) -> DataFrame:
+    """A row behind the last of ``df``: time has passed, timers that are set fire."""
+    late = F.make_dt_interval(secs=F.lit(float(seconds)))
+    return df.agg((F.max("ts") + late).alias("ts")).where("ts IS NOT NULL").withColumn("event_id", F.lit(None).cast("long"))
+
+
+_REPLY_BODY = "query_id STRING, group_pos LONG, device_pos LONG, text STRING"
+
+
+def stream_two_level_gather(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """A4/A5 live: query documents are routed to the buildings that exist by then, groups and
+    buildings gather the devices' replies with timers of their own, and
+    every query is answered once, completely or with what came in time.  Replies
+    without an open query and documents that do not decode go to quarantine folders."""
+    c = CAT.Ctx(spark, sf_dir)
+    run = run or Run(spark, "a4")
+    routed = E.route_as_of(E.explode_envelope(c.queries_raw, E.QUERY_BODY, last_wins=True), c.live_buildings)
+    replies = CAT.device_replies(c, E.explode_query_groups(routed)).withColumn(
+        "payload", F.to_json(F.struct("query_id", "group_pos", "device_pos", "text")))
+    src = _replay(run, "log", _log(request=c.requests, query=c.queries_raw, building=c.building_requests, reply=replies,
+                                   tick=_tick(replies.select("ts").unionByName(c.queries_raw.select("ts")))), _bounds(c))
+    fleet, buildings = Fleet(run, c.types, readings=False), Buildings(run, c.buildings)
+    gathers = NestedGathers(spark, run.path("gathers"))
+    out_w = idempotent_batch_writer(run.path("out"))
+    stray_w = idempotent_batch_writer(run.path("strays"))
+    bad_w = idempotent_batch_writer(run.path("quarantine"))
+
+    def job(batch: DataFrame, batch_id: int) -> list:
+        decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings.instants)
+        asked = N.asked_groups(E.explode_query_groups(routed), fleet.registry, fleet.groups)
+        came = batch.where(F.col("kind") == REPLY).select(F.col("id").alias("event_id"), "ts", "building",
+                                                          F.from_json("payload", _REPLY_BODY).alias("r")).select("*", "r.*")
+        done, strays, writes = gathers.fold(batch, asked, came, batch_id, fleet.keep)
+        out_w(done, batch_id)
+        stray_w(strays, batch_id)
+        bad_w(E.envelope_quarantine(decoded), batch_id)
+        decoded.unpersist()
+        return writes
+
+    _run_stateful(src, run, [fleet, buildings], job)
+    return _read_sink(run)
+
+
+def stream_device_attempts(spark: SparkSession, sf_dir: str, run: Run | None = None) -> DataFrame:
+    """W5 live: devices ask to be registered until a reply tells them that they run.
+    Requests without a reply by their deadline time out; transitions
+    (running, rejected, timed out) are written as they happen, the table of
+    devices is the result."""
+    c = CAT.Ctx(spark, sf_dir)
+    run = run or Run(spark, "w5")
+    sent, replies = c.feed("edge_requests"), CAT.registration_replies(c)
+    log = lambda df, kind, status: df.select(F.lit(kind).alias("kind"), "event_id", "ts", "building", "dev_id", status.alias("status"))     # noqa: E731
+    none = F.lit(None).cast("string")
+    tick = _tick(sent.select("ts").unionByName(replies.select("ts"))).withColumns({"building": none, "dev_id": none})
+    messages = log(sent, "request", none).unionByName(log(replies, "reply", F.col("status"))).unionByName(log(tick, "tick", none))
+    src = _replay(run, "log", messages, _bounds(c))
+    attempts = Attempts(spark, run.path("attempts"), feeds.REGISTER_TIMEOUT_SECONDS)
+    out_w = idempotent_batch_writer(run.path("transitions"))
+    late_w = idempotent_batch_writer(run.path("quarantine"))
+    kept: list[DataFrame] = []
+
+    class Kept:
+        see = staticmethod(lambda batch, batch_id: None)
+        additions = staticmethod(list)
+
+        @staticmethod
+        def release() -> None:
+            while kept:
+                kept.pop().unpersist()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist())
+        return kept[-1]
+
+    def job(batch: DataFrame, batch_id: int) -> list:
+        transitions, late, writes = attempts.fold(batch, batch.where("kind <> 'tick'"), batch_id, keep)
+        out_w(transitions, batch_id)
+        late_w(late, batch_id)
+        return writes
+
+    _run_stateful(src, run, [Kept], job)
+    return attempts.current()
+
+
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "committed_sink": committed_sink,
     "stream_ingest": stream_ingest,
@@ -534,6 +620,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_command_status": stream_command_status,
     "stream_device_state": stream_device_state,
     "stream_region_view": stream_region_view,
+    "stream_two_level_gather": stream_two_level_gather,
+    "stream_device_attempts": stream_device_attempts,
 }
 
 
