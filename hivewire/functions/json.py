@@ -8,7 +8,7 @@ array -- or SQL NULL when the field is absent.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
@@ -19,6 +19,14 @@ def parse(text: Column | str) -> Column:
     return F.try_parse_json(text)
 
 
+def once(df: DataFrame, *cols: Column) -> DataFrame:
+    """``df`` with computed columns that are evaluated once per row, whatever is filtered
+    on them: Catalyst pushes a filter below a projection and writes the column's
+    whole expression into it, with one parse of the message for every time that
+    names a member (20 and more in a decoder).  It does not look into a generated row."""
+    return df.select("*", F.inline(F.array(F.struct(*cols))))
+
+
 def field(v: Column, name: str) -> Column:
     """Raw VARIANT of member ``name`` (SQL NULL when absent)."""
     return F.variant_get(v, f"$.{name}", "variant")

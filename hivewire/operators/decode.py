@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions import json as J
 from .devices import BATTERY, DEFAULT_REGISTRY, THERMOSTAT, DeviceType, Field, Registry, Staged
 
 # Registration request record: four required string members.
@@ -52,7 +53,7 @@ def decode_as(df: DataFrame, dtype: DeviceType, payload: str = "payload") -> Dat
     st = Staged([f.name for f in dtype.fields])
     staged = st.stage(df, payload)
     reason, typed = dtype.decode(st)
-    out = st.drop(staged.select("*", *[c.alias(n) for n, c in typed.items()], reason.alias("reason")))
+    out = st.drop(J.once(staged, *[c.alias(n) for n, c in typed.items()], reason.alias("reason")))
     if "timestamp" in out.columns:
         out = out.withColumn("event_ts", F.expr("try_cast(timestamp AS TIMESTAMP_NTZ)"))
     return out
@@ -85,8 +86,7 @@ def decode_by_type(df: DataFrame, type_col: str = "dev_type", payload: str = "pa
                 c = (F.when if c is None else c.when)(tcol == t.name, per[t.name][1][n])
         cols.append((c if c is not None else F.lit(None)).alias(n))
     reason = F.when(~F.coalesce(tcol.isin(*registry.names), F.lit(False)), F.lit("unknown type")).otherwise(reason)
-    out = staged.select("*", *cols, reason.alias("reason"))
-    return st.drop(out).withColumn("event_ts", F.expr("try_cast(timestamp AS TIMESTAMP_NTZ)"))
+    return st.drop(J.once(staged, *cols, reason.alias("reason"))).withColumn("event_ts", F.expr("try_cast(timestamp AS TIMESTAMP_NTZ)"))
 
 
 def encode_by_type(df: DataFrame, type_col: str = "dev_type",

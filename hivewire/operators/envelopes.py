@@ -32,12 +32,12 @@ def _entries(v: Column, bl: Column, body: str) -> tuple[Column, Column]:
 
 def last_wins_entries(entries: Column) -> Column:
     """Keep, per building, the entry at the highest position (row-local, n log n)."""
-    by_key = F.array_sort(entries, lambda l, r: F.when(l.building < r.building, -1)
+    sorted_ = F.array_sort(entries, lambda l, r: F.when(l.building < r.building, -1)
                           .when(l.building > r.building, 1)
                           .otherwise(F.signum(l.pos - r.pos).cast("int")))
-    n = F.size(by_key)
-    kept = F.filter(by_key, lambda x, i: (i == n - 1)
-                    | (F.element_at(by_key, i + 2).getField("building") != x.building))
+    # the sorted entries as a variable, so that they are sorted once and not per entry
+    kept = F.transform(F.array(sorted_), lambda by_key: F.filter(by_key, lambda x, i: (
+        (i == F.size(by_key) - 1) | (F.element_at(by_key, i + 2).getField("building") != x.building))))[0]
     return F.array_sort(kept, lambda l, r: F.signum(l.pos - r.pos).cast("int"))
 
 
@@ -46,8 +46,7 @@ def decode_envelope(docs: DataFrame, body: str, payload: str = "payload") -> Dat
     staged = (docs.withColumn("_v", J.parse(F.col(payload)))
               .withColumn("_bl", J.as_array(J.field(F.col("_v"), "buildings"))))
     ok, entries = _entries(F.col("_v"), F.col("_bl"), body)
-    return (staged.withColumn("env_ok", ok).withColumn("entries", F.when(F.col("env_ok"), entries))
-            .drop("_v", "_bl"))
+    return J.once(staged, ok.alias("env_ok")).withColumn("entries", F.when(F.col("env_ok"), entries)).drop("_v", "_bl")
 
 
 def envelope_quarantine(decoded: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def explode_decoded(decoded: DataFrame, body: str, last_wins: bool = False,
     entries = F.col("entries")
     if keep_text:
         texts = F.from_json(F.col(payload), f"buildings ARRAY<STRUCT<`{body}`: STRING>>").getField("buildings")
-        d = d.withColumn("_texts", texts)
+        d = J.once(d, texts.alias("_texts"))
         entries = F.transform(entries, lambda e, i: e.withField(
             "body_text", F.element_at(F.col("_texts"), i + 1).getField(body)))
     if last_wins:
@@ -118,7 +117,7 @@ def parse_query(entries: DataFrame) -> DataFrame:
     groups = F.transform("_groups", lambda g: F.struct(
         J.get_string(J.field(g, "group")).alias("group"),
         F.transform(J.as_array(J.field(g, "devices")), lambda d: J.get_string(d)).alias("devices")))
-    return (staged.withColumn("query_ok", _query_ok(b, F.col("_groups")))
+    return (J.once(staged, _query_ok(b, F.col("_groups")).alias("query_ok"))
             .withColumn("query_id", F.when(F.col("query_ok"), J.get_string(J.field(b, "queryId"))))
             .withColumn("groups", F.when(F.col("query_ok"), groups)).drop("_groups"))
 
@@ -160,14 +159,15 @@ def explode_commands(entries: DataFrame) -> DataFrame:
     """(group_pos, group_id, device_pos, device_id, command VARIANT); a
     group with no commands keeps one row with NULL device."""
     b = F.col("body")
-    staged = entries.withColumn("_cmds", J.as_array(J.field(b, "commands")))
+    cmds = [J.as_array(J.field(b, "commands")).alias("_cmds")]
     if "body_text" in entries.columns:
-        staged = staged.withColumn("_texts", F.from_json(
-            "body_text", "commands ARRAY<STRUCT<devices: ARRAY<STRUCT<command: STRING>>>>").getField("commands"))
+        cmds.append(F.from_json("body_text", "commands ARRAY<STRUCT<devices: ARRAY<STRUCT<command: STRING>>>>")
+                    .getField("commands").alias("_texts"))
         text_of = lambda gi, di: F.element_at(F.element_at(F.col("_texts"), gi + 1).getField("devices"),
                                               di + 1).getField("command")
     else:
         text_of = lambda gi, di: F.lit(None).cast("string")
+    staged = J.once(entries, *cmds)
     groups = F.transform("_cmds", lambda g, gi: F.struct(
         J.get_string(J.field(g, "groupId")).alias("group_id"),
         F.transform(J.as_array(J.field(g, "devices")), lambda d, di: F.struct(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from ..functions import json as J
 from .decode import decode_by_type, encode_by_type, reading_columns
 from .devices import DEFAULT_REGISTRY, Registry
 from .registry import DEVICE_KEY
@@ -36,7 +37,11 @@ def replay_since_registration(telemetry: DataFrame, registry_df: DataFrame) -> D
 
     The retained message is a ``max_by`` aggregation per registration, the
     later ones a filter; no window over the topic."""
-    j = telemetry_of_registered(telemetry, registry_df)
+    return since_registration(telemetry_of_registered(telemetry, registry_df))
+
+
+def since_registration(j: DataFrame) -> DataFrame:
+    """J3 over readings of registered devices (J2), decoded or not."""
     later = j.where(F.col("ts") > F.col("reg_ts")).withColumn("retained", F.lit(False))
     cols = [c for c in j.columns if c not in (*DEVICE_KEY, "reg_ts")]
     retained = (j.where(F.col("ts") <= F.col("reg_ts"))
@@ -47,23 +52,32 @@ def replay_since_registration(telemetry: DataFrame, registry_df: DataFrame) -> D
     return later.unionByName(retained)
 
 
+def decoded_readings(telemetry: DataFrame, registry_df: DataFrame,
+                     registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+    """Readings of registered devices (J2) decoded by device type, with ``reason``
+    (NULL = valid).  A job that uses them more than once persists this and hands
+    it on as ``decoded``, so that a message is parsed once."""
+    return decode_by_type(telemetry_of_registered(telemetry, registry_df), "dev_type", "payload", registry)
+
+
 def delivered_readings(telemetry: DataFrame, registry_df: DataFrame,
-                       registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+                       registry: Registry = DEFAULT_REGISTRY, decoded: DataFrame | None = None) -> DataFrame:
     """J3 rows decoded by device type, with ``reason`` (NULL = valid)."""
+    if decoded is not None:
+        return since_registration(decoded)
     return decode_by_type(replay_since_registration(telemetry, registry_df), "dev_type", "payload", registry)
 
 
 def valid_readings(telemetry: DataFrame, registry_df: DataFrame,
                    registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """Valid readings of registered devices, whole log (the device's own states)."""
-    d = decode_by_type(telemetry_of_registered(telemetry, registry_df), "dev_type", "payload", registry)
-    return d.where("reason IS NULL").drop("reason")
+    return decoded_readings(telemetry, registry_df, registry).where("reason IS NULL").drop("reason")
 
 
 def latest_per_device(telemetry: DataFrame, registry_df: DataFrame,
-                      registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+                      registry: Registry = DEFAULT_REGISTRY, decoded: DataFrame | None = None) -> DataFrame:
     """A3: last valid delivered reading per registered device (arrival order)."""
-    return latest_of(delivered_readings(telemetry, registry_df, registry).where("reason IS NULL"), registry)
+    return latest_of(delivered_readings(telemetry, registry_df, registry, decoded).where("reason IS NULL"), registry)
 
 
 def latest_of(valid: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
@@ -114,6 +128,6 @@ def encode_telemetry(telemetry: DataFrame, registry_df: DataFrame,
 def published(delivered: DataFrame, registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
     """P4 over decoded delivered readings (batch and stream)."""
     d = delivered.where("reason IS NULL")
-    return (d.withColumn("json", encode_by_type(d, "dev_type", registry))
+    return (J.once(d, encode_by_type(d, "dev_type", registry).alias("json"))
             .where("json IS NOT NULL")
             .withColumn("out_topic", F.concat(F.lit(K.DATA_PREFIX + "-"), F.col("building"))))

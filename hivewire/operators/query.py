@@ -57,13 +57,16 @@ def query_unknown_groups(query_groups: DataFrame, groups: DataFrame) -> DataFram
 
 
 def asked_readings(telemetry: DataFrame, known: DataFrame, registry_df: DataFrame,
-                   registry: Registry = DEFAULT_REGISTRY) -> DataFrame:
+                   registry: Registry = DEFAULT_REGISTRY, decoded: DataFrame | None = None) -> DataFrame:
     """Valid delivered readings of the devices that ``known`` (J4) asks about:
-    the registry is cut to them first, so only messages of their topics are
+    the registry (or what is ``decoded`` of it) is cut to them first, so only messages of their topics are
     joined, decoded and sorted."""
     asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id")).distinct()
-    return (delivered_readings(telemetry, registry_df.join(asked, DEVICE_KEY, "left_semi"), registry)
-            .where("reason IS NULL").drop("reason"))
+    if decoded is None:
+        registry_df = registry_df.join(asked, DEVICE_KEY, "left_semi")
+    else:
+        decoded = decoded.join(asked, DEVICE_KEY, "left_semi")
+    return delivered_readings(telemetry, registry_df, registry, decoded).where("reason IS NULL").drop("reason")
 
 
 def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
@@ -95,13 +98,17 @@ def query_latest_values(known: DataFrame, delivered_valid: DataFrame,
 
 def query_replies(qgroups: DataFrame, delivered_valid: DataFrame, registry_df: DataFrame,
                   groups: DataFrame, registry: Registry = DEFAULT_REGISTRY,
-                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                  known: DataFrame | None = None, values: DataFrame | None = None) -> DataFrame:
     """Every reply item of every routed query (``qgroups``: requested group
     rows): device values (J6) and one error item per existing group that has
     no known requested device.  ``delivered_valid`` needs the readings of the
-    asked devices only (``asked_readings``)."""
-    known = query_known_devices(devices_of_groups(qgroups), registry_df)
-    values = query_latest_values(known, delivered_valid, registry, bucket_seconds)
+    asked devices only (``asked_readings``).  ``known`` (J4) and ``values`` (J6) of these
+    queries are computed here unless the caller has them."""
+    if known is None:
+        known = query_known_devices(devices_of_groups(qgroups), registry_df)
+    if values is None:
+        values = query_latest_values(known, delivered_valid, registry, bucket_seconds)
     item_cols = [*QUERY_KEY, "ts", "group_pos", "group", "device_pos", "device"]
     dev_items = values.select(*item_cols, F.lit("data").alias("kind"), "reading_offset", "json")
     qg = qgroups.where("group IS NOT NULL")

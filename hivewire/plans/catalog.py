@@ -52,6 +52,12 @@ class Ctx:
             self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
         return self._memo[key]
 
+    def release(self, *keys: str) -> None:
+        """Let go of kept intermediates that nothing reads any more."""
+        for k in keys:
+            if k in self._memo:
+                self._memo.pop(k).unpersist()
+
     def feed(self, name: str) -> DataFrame:
         return feeds.load(self.spark, self.sf, name)
 
@@ -83,10 +89,22 @@ class Ctx:
     def routed_commands(self): return self._keep("routed_commands", lambda: C.routed_commands(self.commands_raw, self.buildings))
     @property
     def known_devices(self):
-        return Q.query_known_devices(E.devices_of_groups(self.query_groups), self.registry)
+        return self._keep("known_devices", lambda: Q.query_known_devices(E.devices_of_groups(self.query_groups), self.registry))
     @property
     def asked_readings(self):
-        return Q.asked_readings(self.telemetry, self.known_devices, self.registry, self.types)
+        """Kept with what replies are made of: the carry of J6 reads them twice."""
+        cols = [*DEVICE_KEY, "dev_type", "msg_offset", "ts", *D.reading_columns(self.types)]
+        return self._keep("asked_readings", lambda: Q.asked_readings(
+            self.telemetry, self.known_devices, self.registry, self.types, self._memo.get("decoded_readings")).select(*cols))
+    @property
+    def latest_values(self):
+        return self._keep("latest_values", lambda: Q.query_latest_values(self.known_devices, self.asked_readings, self.types))
+    @property
+    def replies(self):
+        return Q.query_replies(self.query_groups, self.asked_readings, self.registry, self.groups, self.types, known=self.known_devices)
+    @property
+    def decoded_readings(self):
+        return self._keep("decoded_readings", lambda: L.decoded_readings(self.telemetry, self.registry, self.types))
 
 
 def _cols(df: DataFrame, *cols: str) -> DataFrame:
@@ -274,7 +292,7 @@ def _item_text():
 
 
 def gather_query_results(c: Ctx) -> DataFrame:
-    return results_text(Q.query_replies(c.query_groups, c.asked_readings, c.registry, c.groups, c.types), c.query_groups)
+    return results_text(c.replies, c.query_groups)
 
 
 def results_text(rep: DataFrame, query_groups: DataFrame) -> DataFrame:
@@ -328,10 +346,16 @@ def _after(ts: str, milliseconds) -> Column:
     return F.timestamp_add("MILLISECOND", milliseconds, F.col(ts))
 
 
+REPLY_PARTS = ("replying_devices", "replied_readings")
+
+
 def device_replies(c: Ctx, qgroups: DataFrame) -> DataFrame:
-    """The replies of the asked devices (J6), each ``delay_ms`` after the one before."""
-    known = Q.query_known_devices(E.devices_of_groups(qgroups), c.registry)
-    values = Q.query_latest_values(known, Q.asked_readings(c.telemetry, known, c.registry, c.types), c.types)
+    """The replies of the asked devices (J6), each ``delay_ms`` after the one before.
+    What they are made of is kept (``REPLY_PARTS``): several branches read it."""
+    known = c._keep("replying_devices", lambda: Q.query_known_devices(E.devices_of_groups(qgroups), c.registry))
+    cols = [*DEVICE_KEY, "dev_type", "msg_offset", "ts", *D.reading_columns(c.types)]
+    readings = c._keep("replied_readings", lambda: Q.asked_readings(c.telemetry, known, c.registry, c.types).select(*cols))
+    values = Q.query_latest_values(known, readings, c.types)
     text = _item_text()
     return (values.withColumn("kind", F.lit("data")).join(c.feed("reply_delays"), "event_id")
             .select(*N.GROUP_KEY, "device_pos", _after("ts", (F.col("device_pos") + 1) * F.col("delay_ms")).alias("ts"), text.alias("text"))
@@ -424,7 +448,8 @@ class PoweredCtx(Ctx):
 
 def device_type_plugin(c: Ctx) -> DataFrame:
     """A plugged-in type through A3 (``latest``), J6 (``value``), A4 (``result``) and
-    W3 (``state``), as rows of one table."""
+    W3 (``state``), as rows of one table.  All four read the same decoded readings,
+    the results the same values, so a message is parsed once and J6 runs once."""
     e = PoweredCtx(c.spark, c.sf, POWERED)
     ours = F.col("dev_type") == POWERED_TOASTER.name
     none = lambda kind: F.lit(None).cast(kind)       # noqa: E731
@@ -434,11 +459,12 @@ def device_type_plugin(c: Ctx) -> DataFrame:
                          F.col(key).alias("key"), a.cast("double").alias("a"), b.cast("double").alias("b"),
                          more.cast("double").alias("c"), text.alias("text"))
 
-    latest = L.latest_per_device(e.telemetry, e.registry, e.types).where(ours)
-    values = Q.query_latest_values(e.known_devices, e.asked_readings, e.types).where(ours).withColumnsRenamed(
+    latest = L.latest_per_device(e.telemetry, e.registry, e.types, e.decoded_readings).where(ours)
+    values = e.latest_values.where(ours).withColumnsRenamed(
         {"group": "group_id", "device": "dev_id"})
     place = F.concat_ws(":", "query_id", "group_pos", "device_pos")
-    replies = Q.query_replies(e.query_groups, e.asked_readings, e.registry, e.groups, e.types)
+    replies = Q.query_replies(e.query_groups, e.asked_readings, e.registry, e.groups, e.types, known=e.known_devices,
+                              values=e.latest_values)
     results = Q.gather_query_results(replies, e.query_groups)
     states = C.reconcile_commands(e.telemetry, e.routed_commands, e.groups, e.registry, e.types).where(ours)
     return (rows(latest, "latest", "msg_offset", F.col("power"))
@@ -461,7 +487,7 @@ def parse_with(c: Ctx) -> DataFrame:
 
 def gather_with(c: Ctx) -> DataFrame:
     """Replies of a query counted by a mergeable fold."""
-    rep = Q.query_replies(c.query_groups, c.asked_readings, c.registry, c.groups, c.types)
+    rep = c.replies
     has = F.col("reading_offset").isNotNull()
     fold = Q.Fold({"d": F.count_if((F.col("kind") == "data") & has), "n": F.count_if((F.col("kind") == "data") & ~has),
                    "e": F.count_if(F.col("kind") == "error")})
