@@ -338,10 +338,10 @@ def stream_query_answers(spark: SparkSession, sf_dir: str, run: Run | None = Non
     def job(batch: DataFrame, batch_id: int) -> None:
         decoded, routed = _decoded(_documents(batch, QUERY), E.QUERY_BODY, buildings.instants)
         groups = E.explode_query_groups(routed).persist()
-        known = Q.query_known_devices(E.devices_of_groups(groups), fleet.registry)
+        known = fleet.keep(Q.query_known_devices(E.devices_of_groups(groups), fleet.registry))
         asked = known.select("building", F.col("group").alias("group_id"), F.col("device").alias("dev_id")).distinct()
-        values = fleet.values.join(asked, DEVICE_KEY, "left_semi")
-        replies = Q.query_replies(groups, values, fleet.registry, fleet.groups, c.types).persist()
+        values = fleet.keep(fleet.values.join(asked, DEVICE_KEY, "left_semi"))      # the carry of J6 reads them twice
+        replies = Q.query_replies(groups, values, fleet.registry, fleet.groups, c.types, known=known).persist()
         out_w(CAT.results_text(replies, groups), batch_id)
         message_w(Q.query_results_json(Q.gather_query_results(replies, groups)), batch_id)
         bad_w(E.envelope_quarantine(decoded), batch_id)
@@ -543,9 +543,11 @@ def stream_two_level_gather(spark: SparkSession, sf_dir: str, run: Run | None =
     run = run or Run(spark, "a4")
     routed = E.route_as_of(E.explode_envelope(c.queries_raw, E.QUERY_BODY, last_wins=True), c.live_buildings)
     replies = CAT.device_replies(c, E.explode_query_groups(routed)).withColumn(
-        "payload", F.to_json(F.struct("query_id", "group_pos", "device_pos", "text")))
+        "payload", F.to_json(F.struct("query_id", "group_pos", "device_pos", "text"))).persist()      # the log and its tick
     src = _replay(run, "log", _log(request=c.requests, query=c.queries_raw, building=c.building_requests, reply=replies,
                                    tick=_tick(replies.select("ts").unionByName(c.queries_raw.select("ts")))), _bounds(c))
+    replies.unpersist()
+    c.release(*CAT.REPLY_PARTS)
     fleet, buildings = Fleet(run, c.types, readings=False), Buildings(run, c.buildings)
     gathers = NestedGathers(spark, run.path("gathers"))
     out_w = idempotent_batch_writer(run.path("out"))
